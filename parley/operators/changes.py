@@ -148,19 +148,29 @@ def soft_delete(c: DataFrame, reqs: DataFrame, as_of) -> tuple[DataFrame, DataFr
     return out.select(*c.columns), misses
 
 
-def refresh_conversations(c: DataFrame, m: DataFrame, as_of) -> DataFrame:
-    """M6: apply sent messages to their conversations.
+def conversation_updates(m: DataFrame) -> DataFrame:
+    """Per conversation: first usable user message and latest reply time.
 
-    A conversation with a completed exchange (an assistant message) in ``m`` gets
-    ``last_message_at`` = latest reply time (never moved back), an open title
-    replaced by the first usable user message (A2 rule), and ``updated_at``.
-    One aggregation over ``m``: conditional ``min_by``/``max`` (map-side partial).
+    One aggregation with conditional ``min_by``/``max`` (map-side partial); the
+    same expression runs as a streaming aggregation in ``streaming.conversation_state``.
     """
     usable = (F.col("role") == "user") & (F.col("content") != K.DEFAULT_TITLE) & (F.col("content") != "")
-    agg = m.groupBy("conversation_id").agg(
-        F.min_by(F.col("content"), F.when(usable, F.struct("created_at", "message_id"))).alias("_first"),
-        F.max(F.when(F.col("role") == "assistant", F.col("created_at"))).alias("_last"))
-    out = c.join(agg, "conversation_id", "left")
+    return m.groupBy("conversation_id").agg(
+        F.min_by(F.col("content"), F.when(usable, F.struct("created_at", "message_id"))).alias("first_content"),
+        F.min(F.when(usable, F.struct("created_at", "message_id"))).alias("first_at"),
+        F.max(F.when(F.col("role") == "assistant", F.col("created_at"))).alias("last_reply_at"))
+
+
+def apply_conversation_updates(c: DataFrame, updates: DataFrame, as_of) -> DataFrame:
+    """M6 core: fold per-conversation updates into the snapshot.
+
+    A conversation with a completed exchange (a reply) gets ``last_message_at``
+    = latest reply time (never moved back), an open title replaced by the cut
+    first usable user message (A2 rule), and ``updated_at`` = ``as_of``.
+    """
+    u = updates.select("conversation_id", F.col("first_content").alias("_first"),
+                       F.col("last_reply_at").alias("_last"))
+    out = c.join(u, "conversation_id", "left")
     hit = F.col("_last").isNotNull()
     new_title = F.when(hit & title_open("title") & F.col("_first").isNotNull(), title_of(F.col("_first")))
     out = (out.withColumn("title", F.coalesce(new_title, F.col("title")))
@@ -168,3 +178,8 @@ def refresh_conversations(c: DataFrame, m: DataFrame, as_of) -> DataFrame:
                           .otherwise(F.col("last_message_at")))
               .withColumn("updated_at", F.when(hit, _ts(as_of)).otherwise(F.col("updated_at"))))
     return out.select(*c.columns)
+
+
+def refresh_conversations(c: DataFrame, m: DataFrame, as_of) -> DataFrame:
+    """M6: apply sent messages to their conversations (A2 title, A3 activity, M7)."""
+    return apply_conversation_updates(c, conversation_updates(m), as_of)

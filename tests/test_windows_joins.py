@@ -1,0 +1,86 @@
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from parley.operators import joins as J
+from parley.operators import rooms as R
+from parley.operators import windows as W
+from parley.operators import lookups as P
+from conftest import rows
+
+T0 = datetime(2024, 1, 1)
+MSG = "message_id long, conversation_id long, user_id long, role string, content string, ai_model string, created_at timestamp_ntz"
+
+
+def _m(spark, data):
+    return spark.createDataFrame(data, MSG)
+
+
+def test_exchanges_edge_rows(spark):
+    t = lambda s: T0 + timedelta(seconds=s)
+    m = _m(spark, [
+        (1, 1, 1, "user", "a", None, t(0)), (2, 1, 1, "user", "b", None, t(1)),   # two user turns in a row
+        (3, 1, 1, "assistant", "r", "gpt-4", t(6)), (4, 1, 1, "user", "c", None, t(7)),  # trailing user turn
+        (5, 2, 1, "user", "x", None, t(0)), (6, 2, 1, "assistant", "y", "gpt-4", t(0)),  # equal timestamps, id order
+    ])
+    got = rows(W.exchanges(m).select("user_message_id", "reply_message_id"))
+    assert got == [(1, None), (2, 3), (4, None), (5, 6)]
+    d = rows(W.response_delay(m).select("user_message_id", "delay_s"))
+    assert d == [(2, 5.0), (5, 0.0)]
+    hist = rows(W.message_history(m, max_rows=1).select("message_id", "ordinal"))
+    assert hist == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 1), (6, 2)]
+
+
+def test_visible_messages_ignores_soft_delete(spark):
+    c = spark.createDataFrame([(1, 7, False), (2, 8, True)], "conversation_id long, user_id long, is_active boolean")
+    m = _m(spark, [(10, 1, 7, "user", "hi", None, T0), (11, 2, 8, "user", "yo", None, T0),
+                   (12, 3, 7, "user", "lost", None, T0)])
+    assert rows(J.visible_messages(m, c, user_id=7).select("message_id")) == [(10,)]
+    assert rows(P.owned_conversations(c, [(1, 7), (2, 7)]).select("conversation_id")) == [(1,)]
+    assert rows(J.orphan_messages(m, c).select("message_id")) == [(12,)]
+
+
+def test_token_life(spark):
+    day = 86400
+    r = spark.createDataFrame([
+        (1, 5, "login", T0), (2, 5, "call", T0), (3, 5, "call", T0 + timedelta(seconds=7 * day)),
+        (4, 5, "call", T0 + timedelta(seconds=7 * day - 1)), (5, 6, "call", T0),
+        (6, 5, "login", T0 + timedelta(seconds=10 * day)), (7, 5, "call", T0 + timedelta(seconds=16 * day))],
+        "request_id long, user_id long, kind string, ts timestamp_ntz")
+    valid, invalid = J.valid_token_requests(r)
+    assert rows(valid.select("request_id")) == [(2,), (4,), (7,)]
+    assert rows(invalid.select("request_id")) == [(3,), (5,)]
+
+
+EV = "event_id long, conversation_id long, client_id long, kind string, ts timestamp_ntz"
+
+
+def test_fan_out_join_leave_join(spark):
+    t = lambda s: T0 + timedelta(seconds=s)
+    e = spark.createDataFrame([
+        (1, 1, 10, "join", t(0)), (2, 1, 11, "join", t(0)),
+        (3, 1, 10, "message", t(0)),              # same instant, after both joins (id order)
+        (4, 1, 11, "leave", t(5)), (5, 1, 10, "message", t(6)),
+        (6, 1, 11, "join", t(7)), (7, 1, 12, "message", t(8)),  # sender not a member
+        (8, 1, 10, "typing_on", t(9)),
+        (9, 1, 13, "message", t(9)), (10, 1, 13, "join", t(9)),  # join right after the message
+    ], EV)
+    got = rows(R.fan_out(e, bucket_seconds=3).select("event_id", "recipient_id"))
+    assert got == [(3, 10), (3, 11), (5, 10), (7, 10), (7, 11), (9, 10), (9, 11)]
+    typing = rows(R.typing_fan_out(e).select("event_id", "recipient_id", "is_typing"))
+    assert typing == [(8, 11, True)]  # 13 joins after the typing event (same instant, later id)
+    assert rows(R.room_members(e).select("client_id")) == [(10,), (11,), (13,)]
+
+
+def test_rate_limit_batch(spark):
+    t = lambda s: T0 + timedelta(seconds=s)
+    r = spark.createDataFrame([(i, 1, 1, "call", t(i), 1.0) for i in range(1, 103)] + [(200, 1, 1, "call", t(61), 1.0)],
+                              "request_id long, client_ip long, user_id long, kind string, ts timestamp_ntz, response_ms double")
+    counts = rows(R.rate_limit(r).select("window_start", "requests", "remaining", "limited"))
+    assert counts == [(t(0), 59, 41, False), (t(60), 44, 56, False)]
+    r2 = r.filter("request_id < 60 OR request_id = 200").withColumn("ts", F.lit(t(1)).cast("timestamp_ntz"))
+    extra = spark.createDataFrame([(300 + i, 1, 1, "call", t(2), 1.0) for i in range(50)], r.schema)
+    rejected = R.rate_limited_requests(r2.unionByName(extra), max_rows=10)
+    # 110 requests in one minute: the 10 latest (by ts, id) are past the limit of 100
+    assert rejected.count() == 10
+    assert rows(rejected.select("position")) == [(p,) for p in range(101, 111)]
