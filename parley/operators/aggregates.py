@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from parley import catalog as K
 from parley.functions.scalars import effective_model, outcome_of, provider_of, title_of
-from parley.operators.stats import exact_percentiles, null_safe_join
+from parley.operators.stats import exact_percentiles
 from parley.operators.windows import message_history
 
 _OUTCOMES = ["error", "unconfigured", "mock", "empty", "ok"]
@@ -88,6 +88,22 @@ def last_preview(m: DataFrame) -> DataFrame:
                      F.col("_l.role").alias("last_role"), F.col("_l.created_at").alias("last_message_at")))
 
 
+def conversation_summary(m: DataFrame) -> DataFrame:
+    """A2 + A3 + A4 in one aggregation over the messages (one scan, one shuffle).
+
+    Columns: conversation_id, title_candidate (cut first usable user message),
+    last_message_at (latest reply), last_message, last_role (latest message).
+    """
+    usable = (F.col("role") == "user") & (F.col("content") != K.DEFAULT_TITLE) & (F.col("content") != "")
+    order = F.struct("created_at", "message_id")
+    agg = m.groupBy("conversation_id").agg(
+        F.min_by(F.col("content"), F.when(usable, order)).alias("_first"),
+        F.max(F.when(F.col("role") == "assistant", F.col("created_at"))).alias("last_message_at"),
+        F.max_by(F.struct("content", "role"), order).alias("_last"))
+    return agg.select("conversation_id", title_of(F.col("_first")).alias("title_candidate"), "last_message_at",
+                      F.col("_last.content").alias("last_message"), F.col("_last.role").alias("last_role"))
+
+
 def outcome_rates(responses: DataFrame) -> DataFrame:
     """A5: replies per sent model and provider by outcome, plus the share of 'ok'."""
     r = responses.select(effective_model(F.col("ai_model")).alias("model"), outcome_of(F.col("content")).alias("_o"))
@@ -151,19 +167,13 @@ def latency_stats(r: DataFrame, limit_ms: float = K.LATENCY_TARGET_MS, by: Seque
     """
     by = list(by)
     ms = F.col("response_ms")
-    basic = r.groupBy(*by).agg(
-        F.count(ms).alias("requests"),
-        F.round(F.avg(ms), 6).alias("mean_ms"),
-        F.round(F.count_if(ms < F.lit(limit_ms)) / F.count(ms), 6).alias("share_under_limit"))
     ps = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    counts = {"requests": F.count(ms),
+              "mean_ms": F.round(F.avg(ms), 6),
+              "share_under_limit": F.round(F.count_if(ms < F.lit(limit_ms)) / F.count(ms), 6)}
     if approx:
-        pct = r.groupBy(*by).agg(*[F.percentile_approx(ms, p, 10000).alias(n) for n, p in ps.items()])
+        out = r.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()],
+                                 *[F.percentile_approx(ms, p, 10000).alias(n) for n, p in ps.items()])
     else:
-        pct = exact_percentiles(r, by, "response_ms", ["request_id"], ps, max_rows=max_rows)
-    pct = pct.select(*by, *[F.round(F.col(n), 6).alias(n) for n in ps])
-    return null_safe_join(basic, pct, by) if by else _single(basic, pct)
-
-
-def _single(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Combine two one-row frames without a join: b's columns as scalar subqueries."""
-    return a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])
+        out = exact_percentiles(r, by, "response_ms", ["request_id"], ps, max_rows=max_rows, extra=counts)
+    return out.select(*by, *counts, *[F.round(F.col(n), 6).alias(n) for n in ps])

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.plans.skew import ordinal
@@ -33,41 +33,41 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, ties: Sequence[str],
-                      ps: Mapping[str, float], max_rows: int | None = None) -> DataFrame:
+                      ps: Mapping[str, float], max_rows: int | None = None,
+                      extra: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per group with one column per entry of ``ps`` (name -> fraction).
 
     Null values are ignored, as in SQL aggregates. ``ties`` must make the order
-    unique inside a group (an id column).
+    unique inside a group (an id column). ``extra`` aggregates (name -> Column
+    over ``df``'s columns) are computed in the same pass that counts the group.
     """
     groups = list(groups)
     gkey = "_g"
-    vals = df.filter(F.col(value).isNotNull()).select(
-        F.struct(*[F.col(g) for g in groups]).alias(gkey) if groups else F.lit(0).alias(gkey),
-        F.col(value).alias("_v"), *[F.col(t) for t in ties])
-    # struct keys keep null-valued groups together in the window and joins
-    vals = vals.withColumn(gkey, F.to_json(F.col(gkey))) if groups else vals
-    ranked = ordinal(vals, [gkey], ["_v", *ties], out="_r", max_rows=max_rows)
-    sizes = vals.groupBy(gkey).agg(F.count(F.lit(1)).alias("_n"))
+    # a JSON key keeps null-valued groups together through the equi-joins
+    key_col = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
+    base = df.withColumn(gkey, key_col).withColumn("_v", F.col(value))
+    sizes = base.groupBy(gkey).agg(
+        F.count("_v").alias("_n"),
+        *[c.alias(n) for n, c in (extra or {}).items()],
+        *[F.first(F.col(g)).alias(g) for g in groups])
+    ranked = ordinal(base.filter(F.col("_v").isNotNull()).select(gkey, "_v", *ties),
+                     [gkey], ["_v", *ties], out="_r", max_rows=max_rows)
     wanted = F.array(*[F.struct(F.lit(name).alias("_p"), F.lit(float(p)).alias("_q"))
                        for name, p in ps.items()])
     targets = (sizes.select(gkey, "_n", F.explode(wanted).alias("_t"))
-                    .select(gkey, F.col("_t._p").alias("_p"),
-                            ((F.col("_n") - 1) * F.col("_t._q")).alias("_h")))
-    targets = targets.select(gkey, "_p", "_h",
-                             (F.floor("_h") + 1).cast("long").alias("_lo"),
-                             (F.ceil("_h") + 1).cast("long").alias("_hi"))
-    ends = targets.select(gkey, "_p", "_h", "_lo", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
-    hit = ends.join(ranked.select(gkey, "_r", "_v"), [gkey, "_r"])
-    per_p = (hit.groupBy(gkey, "_p", "_h", "_lo")
-                .agg(F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-                     F.max("_v").alias("_vhi"))
-                .select(gkey, "_p",
-                        (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo"))
-                         * (F.col("_h") - (F.col("_lo") - 1))).alias("_val")))
-    wide = per_p.groupBy(gkey).pivot("_p", list(ps)).agg(F.first("_val"))
-    if not groups:
-        return wide.drop(gkey)
-    # recover the group columns from the JSON key
-    schema = df.select(*groups).schema
-    parsed = wide.withColumn("_s", F.from_json(gkey, schema))
-    return parsed.select(*[F.col(f"_s.{g}").alias(g) for g in groups], *list(ps))
+                    .select(gkey, F.col("_t._p").alias("_p"), ((F.col("_n") - 1) * F.col("_t._q")).alias("_h")))
+    ends = targets.select(gkey, "_p", "_h", (F.floor("_h") + 1).cast("long").alias("_lo"),
+                          F.explode(F.array_distinct(F.array((F.floor("_h") + 1).cast("long"),
+                                                             (F.ceil("_h") + 1).cast("long")))).alias("_r"))
+    # at most two rows per group and percentile survive this join
+    hit = ends.join(ranked, [gkey, "_r"])
+    aggs = []
+    for name in ps:
+        mine = F.col("_p") == name
+        aggs += [F.max(F.when(mine & (F.col("_r") == F.col("_lo")), F.col("_v"))).alias(f"_lo_{name}"),
+                 F.max(F.when(mine, F.col("_v"))).alias(f"_hi_{name}"),
+                 F.max(F.when(mine, F.col("_h") - (F.col("_lo") - 1))).alias(f"_f_{name}")]
+    picked = hit.groupBy(gkey).agg(*aggs)
+    out = sizes.join(picked, gkey, "left")
+    vals = [(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in ps]
+    return out.select(*groups, *(extra or {}).keys(), *vals)

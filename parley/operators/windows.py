@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.plans.skew import ordinal
-from parley.operators.stats import exact_percentiles, null_safe_join
+from parley.operators.stats import exact_percentiles
 
 
 def message_history(m: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -47,11 +47,8 @@ def response_delay(m: DataFrame, max_rows: int | None = None) -> DataFrame:
 def response_delay_by_model(m: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Count, mean and exact p50/p95 of the reply delay per model."""
     d = response_delay(m, max_rows=max_rows)
-    basic = d.groupBy("reply_model").agg(F.count(F.lit(1)).alias("exchanges"),
-                                         F.round(F.avg("delay_s"), 6).alias("mean_s"))
-    pct = exact_percentiles(d, ["reply_model"], "delay_s", ["reply_message_id"],
-                            {"p50_s": 0.5, "p95_s": 0.95}, max_rows=max_rows)
-    pct = pct.select("reply_model", F.round("p50_s", 6).alias("p50_s"), F.round("p95_s", 6).alias("p95_s"))
-    return null_safe_join(basic, pct, ["reply_model"])
-
-
+    out = exact_percentiles(d, ["reply_model"], "delay_s", ["reply_message_id"],
+                            {"p50_s": 0.5, "p95_s": 0.95}, max_rows=max_rows,
+                            extra={"exchanges": F.count(F.lit(1)), "mean_s": F.round(F.avg("delay_s"), 6)})
+    return out.select("reply_model", "exchanges", "mean_s",
+                      F.round("p50_s", 6).alias("p50_s"), F.round("p95_s", 6).alias("p95_s"))

@@ -80,10 +80,10 @@ def _reasons_text(df: DataFrame) -> DataFrame:
 # --- the flagship: one screen of the chat list -----------------------------------
 def chat_list(spark: SparkSession, sf_dir: str, page: int = 1) -> DataFrame:
     """Titles (A2), activity (A3) and preview (A4) -> active list (P4) -> page."""
-    m = _msgs(spark, sf_dir)
-    c = A.derive_titles(fx.chats(spark, sf_dir), m)
-    c = (c.drop("last_message_at").join(A.last_activity(m), "conversation_id", "left")
-          .join(A.last_preview(m).drop("last_message_at"), "conversation_id", "left"))
+    summary = A.conversation_summary(_msgs(spark, sf_dir))
+    c = fx.chats(spark, sf_dir).drop("last_message_at").join(summary, "conversation_id", "left")
+    c = c.withColumn("title", F.when(A.title_open("title") & F.col("title_candidate").isNotNull(),
+                                     F.col("title_candidate")).otherwise(F.col("title"))).drop("title_candidate")
     active = c.filter(F.col("is_active"))
     return T.paginate(active, page=page, limit=20, sort="last_message_at", order="desc",
                       key="conversation_id")

@@ -80,14 +80,15 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                   .when(width <= 0, F.lit(0))
                   .otherwise(F.least(raw, F.col("_slices") - 1))).cast("long")
     sliced = (df.join(hot, keys, "left")
+                .withColumn("_hot", F.col("_slices").isNotNull())
                 .withColumn("_slice", slice_col)
                 .drop("_slices", "_lo", "_hi"))
 
-    local = sliced.withColumn(
+    local = sliced.drop("_hot").withColumn(
         "_local", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order_cols)))
 
     # offsets of the hot slices only: <= hot keys x slices rows
-    sizes = (sliced.join(F.broadcast(stats.select(*keys)), keys, "left_semi")
+    sizes = (sliced.filter(F.col("_hot"))
                    .groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_cnt")))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_slice",
