@@ -175,5 +175,5 @@ def latency_stats(r: DataFrame, limit_ms: float = K.LATENCY_TARGET_MS, by: Seque
         out = r.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()],
                                  *[F.percentile_approx(ms, p, 10000).alias(n) for n, p in ps.items()])
     else:
-        out = exact_percentiles(r, by, "response_ms", ["request_id"], ps, max_rows=max_rows, extra=counts)
+        out = exact_percentiles(r, by, "response_ms", ps, max_rows=max_rows, extra=counts)
     return out.select(*by, *counts, *[F.round(F.col(n), 6).alias(n) for n in ps])

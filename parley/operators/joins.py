@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from parley import catalog as K
 from parley.functions.scalars import effective_model, provider_of
+from parley.plans.skew import running
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
@@ -61,36 +62,28 @@ def known_requests(r: DataFrame, u: DataFrame) -> tuple[DataFrame, DataFrame]:
     return r.join(ids, "user_id", "left_semi"), r.join(ids, "user_id", "left_anti")
 
 
-def _epoch_seconds(col) -> F.Column:
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(col))
-
-
 def valid_token_requests(r: DataFrame, ttl_seconds: int = K.TOKEN_TTL_SECONDS,
-                         bucket_seconds: int = 86400) -> tuple[DataFrame, DataFrame]:
+                         max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(calls inside some login's token life, calls outside every one).
 
     A call at ``ts`` is valid when a login of the same user has
-    ``login_ts <= ts < login_ts + ttl``. Instead of a range join (every login of
-    a user against every call) each login is copied into the time buckets its
-    token life touches (ttl/bucket + 1 copies, a fixed bound), and calls are
-    semi-joined on (user, bucket) with the exact interval test. Hot
-    (user, bucket) pairs are split by AQE's skew join.
+    ``login_ts <= ts < login_ts + ttl``. The latest login at or before the call
+    decides (an earlier one expires no later), so this is an as-of lookup: a
+    running ``max`` of login times per user in time order, logins sorted before
+    calls at the same instant. The skew-safe ``running`` splits a hot user, and
+    no login/call pairs are ever formed.
     """
-    calls = r.filter(F.col("kind") == "call")
+    is_login = F.col("kind") == "login"
+    marked = (r.filter(F.col("kind").isin("login", "call"))
+               .withColumn("_login_ts", F.when(is_login, F.col("ts")))
+               .withColumn("_rank", F.when(is_login, F.lit(0)).otherwise(F.lit(1))))
+    latest = running(marked, ["user_id"], ["ts", "_rank", "request_id"],
+                     {"_last_login": ("max", "_login_ts")}, max_rows=max_rows)
     life = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_seconds).cast("decimal(18,6)"))
-    logins = (r.filter(F.col("kind") == "login")
-                .select(F.col("user_id").alias("_uid"), F.col("ts").alias("_login_ts"))
-                .withColumn("_until", F.col("_login_ts") + life))
-    b = F.lit(bucket_seconds)
-    logins = logins.withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(_epoch_seconds("_login_ts") / b),
-                                        F.floor(_epoch_seconds("_until") / b))))
-    calls_b = calls.withColumn("_bucket", F.floor(_epoch_seconds("ts") / b))
-    cond = ((calls_b["user_id"] == logins["_uid"]) & (calls_b["_bucket"] == logins["_bucket"])
-            & (logins["_login_ts"] <= calls_b["ts"]) & (calls_b["ts"] < logins["_until"]))
-    valid = calls_b.join(logins, cond, "left_semi").drop("_bucket")
-    invalid = calls_b.join(logins, cond, "left_anti").drop("_bucket")
-    return valid, invalid
+    calls = latest.filter(~is_login)
+    ok = F.col("_last_login").isNotNull() & (F.col("ts") < F.col("_last_login") + life)
+    cols = r.columns
+    return calls.filter(ok).select(*cols), calls.filter(~ok).select(*cols)
 
 
 def effective_tier(as_of) -> F.Column:

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.plans.skew import ordinal
+from parley.plans.skew import running
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -32,14 +32,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
-def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, ties: Sequence[str],
+def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str,
                       ps: Mapping[str, float], max_rows: int | None = None,
                       extra: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per group with one column per entry of ``ps`` (name -> fraction).
 
-    Null values are ignored, as in SQL aggregates. ``ties`` must make the order
-    unique inside a group (an id column). ``extra`` aggregates (name -> Column
-    over ``df``'s columns) are computed in the same pass that counts the group.
+    Linear interpolation between the two neighbouring ranks, as ``percentile``
+    and SQL ``quantile_cont``. Null values are ignored. ``extra`` aggregates
+    (name -> Column over ``df``) are computed in the pass that counts the group.
+
+    Plan: (1) count rows per (group, value) — ties collapse in the map-side
+    partial aggregation; (2) a skew-safe running sum of those counts in value
+    order gives each distinct value its rank range; (3) the wanted ranks are
+    equi-joined on the group with a range test on that range, so per group
+    only the handful of distinct values holding a wanted rank survive.
     """
     groups = list(groups)
     gkey = "_g"
@@ -50,17 +56,21 @@ def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, ties: Se
         F.count("_v").alias("_n"),
         *[c.alias(n) for n, c in (extra or {}).items()],
         *[F.first(F.col(g)).alias(g) for g in groups])
-    ranked = ordinal(base.filter(F.col("_v").isNotNull()).select(gkey, "_v", *ties),
-                     [gkey], ["_v", *ties], out="_r", max_rows=max_rows)
+    counts = (base.filter(F.col("_v").isNotNull()).groupBy(gkey, "_v")
+                  .agg(F.count(F.lit(1)).alias("_c")))
+    ranges = (running(counts, [gkey], ["_v"], {"_upto": ("sum", "_c")}, max_rows=max_rows)
+              .withColumn("_from", F.col("_upto") - F.col("_c") + 1))
     wanted = F.array(*[F.struct(F.lit(name).alias("_p"), F.lit(float(p)).alias("_q"))
                        for name, p in ps.items()])
-    targets = (sizes.select(gkey, "_n", F.explode(wanted).alias("_t"))
+    targets = (sizes.filter(F.col("_n") > 0).select(gkey, "_n", F.explode(wanted).alias("_t"))
                     .select(gkey, F.col("_t._p").alias("_p"), ((F.col("_n") - 1) * F.col("_t._q")).alias("_h")))
     ends = targets.select(gkey, "_p", "_h", (F.floor("_h") + 1).cast("long").alias("_lo"),
                           F.explode(F.array_distinct(F.array((F.floor("_h") + 1).cast("long"),
                                                              (F.ceil("_h") + 1).cast("long")))).alias("_r"))
-    # at most two rows per group and percentile survive this join
-    hit = ends.join(ranked, [gkey, "_r"])
+    e, r = ends.alias("e"), ranges.alias("r")
+    hit = e.join(r, (F.col(f"e.{gkey}") == F.col(f"r.{gkey}"))
+                 & (F.col("r._from") <= F.col("e._r")) & (F.col("e._r") <= F.col("r._upto")))
+    hit = hit.select(F.col(f"e.{gkey}").alias(gkey), "e._p", "e._h", "e._lo", "e._r", "r._v")
     aggs = []
     for name in ps:
         mine = F.col("_p") == name

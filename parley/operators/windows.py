@@ -47,7 +47,7 @@ def response_delay(m: DataFrame, max_rows: int | None = None) -> DataFrame:
 def response_delay_by_model(m: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Count, mean and exact p50/p95 of the reply delay per model."""
     d = response_delay(m, max_rows=max_rows)
-    out = exact_percentiles(d, ["reply_model"], "delay_s", ["reply_message_id"],
+    out = exact_percentiles(d, ["reply_model"], "delay_s",
                             {"p50_s": 0.5, "p95_s": 0.95}, max_rows=max_rows,
                             extra={"exchanges": F.count(F.lit(1)), "mean_s": F.round(F.avg("delay_s"), 6)})
     return out.select("reply_model", "exchanges", "mean_s",

@@ -163,7 +163,7 @@ ORACLE: dict[str, str] = {
     "export_conversations": _with("""ms AS (SELECT conversation_id,
    list({'role': role, 'content': content, 'timestamp': strftime(created_at, '%Y-%m-%dT%H:%M:%S.%g')}
         ORDER BY created_at, message_id) AS msgs FROM messages GROUP BY conversation_id)""",
-        """SELECT c.conversation_id, CAST(to_json({'id': c.conversation_id, 'title': c.title, 'model': c.ai_model,
+        """SELECT c.conversation_id, CAST(0 AS BIGINT) AS part, CAST(to_json({'id': c.conversation_id, 'title': c.title, 'model': c.ai_model,
    'messages': COALESCE(ms.msgs, [])}) AS VARCHAR) AS json
  FROM chats c LEFT JOIN ms USING (conversation_id)""", "messages", "chats"),
     # 2.2

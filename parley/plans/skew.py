@@ -2,8 +2,9 @@
 
 A window ``partitionBy(key)`` sends every row of one key to one task. When a
 single conversation, user or room holds a third of all rows, that task holds a
-third of the data. ``ordinal`` gives the same numbers as
-``row_number() over (partition by key order by ...)`` but splits each hot key
+third of the data. ``running`` gives the same running count/sum/max/min as a
+window ``partitionBy(key).orderBy(...)`` frame up to the current row (and
+``ordinal`` the same numbers as ``row_number()``), but splits each hot key
 into order-preserving slices first:
 
 1. ``count`` per key (partial aggregation, map-side combine): the hot keys are
@@ -15,15 +16,16 @@ into order-preserving slices first:
 3. ``row_number`` over ``(key, slice)``: one hash shuffle on (key, slice),
    balanced because no slice holds more than about ``max_group_rows`` rows
    (unless the leading order values are themselves concentrated).
-4. Rows per (hot key, slice), summed over the earlier slices, give each slice's
-   offset; this table has at most (hot keys x slices) rows and is broadcast.
+4. Totals per (hot key, slice), combined over the earlier slices, give each
+   slice's carry; this table has at most (hot keys x slices) rows and is
+   broadcast.
 
 Nothing is collected to the driver; every step is a DataFrame plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,13 +50,27 @@ def _as_number(c: Column, dtype: str) -> Column:
     return c.cast("double")
 
 
-def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-            out: str = "ordinal", max_rows: int | None = None,
-            oversplit: int = 2) -> DataFrame:
-    """``df`` plus ``out`` = 1-based position of each row within its key.
+# how a slice total is computed, carried over earlier slices, and combined
+_RUNNING = {
+    "count": (lambda c: F.count(c), lambda c: F.sum(c), lambda loc, carry: loc + F.coalesce(carry, F.lit(0))),
+    "sum": (lambda c: F.sum(c), lambda c: F.sum(c), lambda loc, carry: loc + F.coalesce(carry, F.lit(0))),
+    "max": (lambda c: F.max(c), lambda c: F.max(c), lambda loc, carry: F.greatest(loc, carry)),
+    "min": (lambda c: F.min(c), lambda c: F.min(c), lambda loc, carry: F.least(loc, carry)),
+}
 
-    ``order`` must make rows unique within a key (end it with a unique id); its
-    first element must be numeric, date or timestamp (it drives the split).
+
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+            aggs: Mapping[str, tuple[str, Column | str]], max_rows: int | None = None,
+            oversplit: int = 2) -> DataFrame:
+    """``df`` plus running aggregates per key in ``order`` (frame: all rows up to the current one).
+
+    ``aggs`` maps an output name to (``count`` | ``sum`` | ``max`` | ``min``, column).
+    Same result as ``agg(col).over(partitionBy(keys).orderBy(order).rowsBetween(
+    unboundedPreceding, currentRow))``, but a hot key is split into slices that
+    are numbered in parallel; each slice then adds the carry of the slices
+    before it (a table of hot slices only, broadcast).
+    ``order`` must make rows unique within a key; its first element must be
+    numeric, date or timestamp (it drives the split).
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
@@ -62,8 +78,7 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     if lead_name is None:
         raise ValueError("the leading order column must be given by name")
     limit = max_group_rows(df, max_rows)
-    lead_type = dict(df.dtypes)[lead_name]
-    lead = _as_number(F.col(lead_name), lead_type)
+    lead = _as_number(F.col(lead_name), dict(df.dtypes)[lead_name])
 
     stats = (df.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
@@ -84,19 +99,31 @@ def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                 .withColumn("_slice", slice_col)
                 .drop("_slices", "_lo", "_hi"))
 
-    local = sliced.drop("_hot").withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order_cols)))
+    specs = {name: (_RUNNING[fn], F.col(c) if isinstance(c, str) else c) for name, (fn, c) in aggs.items()}
+    frame = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = sliced.drop("_hot")
+    for name, ((agg, _, _), c) in specs.items():
+        local = local.withColumn(f"_loc_{name}", agg(c).over(frame))
 
-    # offsets of the hot slices only: <= hot keys x slices rows
-    sizes = (sliced.filter(F.col("_hot"))
-                   .groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_cnt")))
+    # carries of the hot slices only: <= hot keys x slices rows
+    totals = (sliced.filter(F.col("_hot")).groupBy(*keys, "_slice")
+                    .agg(*[agg(c).alias(f"_tot_{name}") for name, ((agg, _, _), c) in specs.items()]))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_slice",
-                           F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
+    carries = totals.select(*keys, "_slice", *[carry(F.col(f"_tot_{name}")).over(before).alias(f"_carry_{name}")
+                                               for name, ((_, carry, _), _) in specs.items()])
 
-    return (local.join(F.broadcast(offsets), [*keys, "_slice"], "left")
-                 .withColumn(out, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("long"))
-                 .drop("_slice", "_local", "_offset"))
+    out = local.join(F.broadcast(carries), [*keys, "_slice"], "left")
+    for name, ((_, _, combine), _) in specs.items():
+        out = out.withColumn(name, combine(F.col(f"_loc_{name}"), F.col(f"_carry_{name}")))
+    return out.drop("_slice", *[f"_loc_{n}" for n in specs], *[f"_carry_{n}" for n in specs])
+
+
+def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+            out: str = "ordinal", max_rows: int | None = None, oversplit: int = 2) -> DataFrame:
+    """``df`` plus ``out`` = 1-based position of each row within its key (skew-safe row_number)."""
+    r = running(df, keys, order, {out: ("count", F.lit(1))}, max_rows=max_rows, oversplit=oversplit)
+    return r.withColumn(out, F.col(out).cast("long"))
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:

@@ -85,23 +85,30 @@ def snapshot(df: DataFrame, path: str, day) -> None:
 _TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
-def export_conversations(c: DataFrame, m: DataFrame) -> DataFrame:
-    """One JSON document per conversation with its ordered messages.
-
-    Columns: conversation_id, json. The document of one conversation is one
-    value by definition; write it with ``write.text`` after selecting ``json``.
-    Messages are sorted inside the array by (created_at, message_id).
+def export_conversations(c: DataFrame, m: DataFrame, max_messages: int = 10_000,
+                         max_rows: int | None = None) -> DataFrame:
+    """JSON documents of conversations with their ordered messages.
+
+    Columns: conversation_id, part, json. A conversation's messages are cut
+    into parts of at most ``max_messages`` (by position from the skew-safe
+    ``ordinal``), so no document or ``collect_list`` group is unbounded; a
+    conversation below that size is one document with ``part`` 0, and a
+    conversation without messages is one document with an empty list. Write
+    with ``write.text`` after selecting ``json``.
     """
-    items = m.select("conversation_id", F.struct(
-        F.col("created_at").alias("_at"), F.col("message_id").alias("_id"),
-        F.col("role"), F.col("content"),
-        F.date_format("created_at", _TS_FORMAT).alias("timestamp")).alias("_m"))
-    per = items.groupBy("conversation_id").agg(F.array_sort(F.collect_list("_m")).alias("_ms"))
+    from parley.plans.skew import ordinal
+    pos = ordinal(m.select("conversation_id", "message_id", "role", "content", "created_at"),
+                  ["conversation_id"], ["created_at", "message_id"], out="_pos", max_rows=max_rows)
+    items = pos.select("conversation_id", F.floor((F.col("_pos") - 1) / max_messages).cast("long").alias("part"),
+                       F.struct(F.col("_pos"), F.col("role"), F.col("content"),
+                                F.date_format("created_at", _TS_FORMAT).alias("timestamp")).alias("_m"))
+    per = items.groupBy("conversation_id", "part").agg(F.array_sort(F.collect_list("_m")).alias("_ms"))
     msgs = F.transform("_ms", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"),
                                                  x["timestamp"].alias("timestamp")))
     doc = (c.select("conversation_id", "title", F.col("ai_model").alias("model"))
-             .join(per, "conversation_id", "left"))
+             .join(per, "conversation_id", "left")
+             .withColumn("part", F.coalesce(F.col("part"), F.lit(0).cast("long"))))
     body = F.struct(
         F.col("conversation_id").alias("id"), "title", "model",
         F.coalesce(msgs, F.array().cast("array<struct<role:string,content:string,timestamp:string>>")).alias("messages"))
-    return doc.select("conversation_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+    return doc.select("conversation_id", "part", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))

@@ -50,11 +50,32 @@ def test_exact_percentiles_match_builtin(spark):
             r.groupBy("kind").agg(F.percentile("response_ms", 0.5).alias("p50"),
                                   F.percentile("response_ms", 0.95).alias("p95")).collect()}
     for limit in (100, 1_000_000):
-        got = exact_percentiles(r, ["kind"], "response_ms", ["request_id"], {"p50": 0.5, "p95": 0.95}, max_rows=limit)
+        got = exact_percentiles(r, ["kind"], "response_ms", {"p50": 0.5, "p95": 0.95}, max_rows=limit)
         assert {row.kind: (round(row.p50, 9), round(row.p95, 9)) for row in got.collect()} == want
 
 
 def test_exact_percentiles_global(spark):
     df = spark.createDataFrame([(i, None if v is None else float(v)) for i, v in enumerate([5, 1, 4, 2, 3, None])], "id long, v double")
-    got = exact_percentiles(df, [], "v", ["id"], {"p25": 0.25, "p50": 0.5, "p90": 0.9}, max_rows=2).collect()[0]
+    got = exact_percentiles(df, [], "v", {"p25": 0.25, "p50": 0.5, "p90": 0.9}, max_rows=2).collect()[0]
     assert (got.p25, got.p50, round(got.p90, 9)) == (2.0, 3.0, 4.6)
+
+
+def test_exact_percentiles_heavy_ties(spark):
+    # a third of the rows share one value: ties collapse before ranking
+    vals = [7.0] * 300 + [float(i) for i in range(600)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    want = df.agg(F.percentile("v", 0.5).alias("a"), F.percentile("v", 0.99).alias("b")).collect()[0]
+    got = exact_percentiles(df, [], "v", {"a": 0.5, "b": 0.99}, max_rows=50).collect()[0]
+    assert (round(got.a, 9), round(got.b, 9)) == (round(want.a, 9), round(want.b, 9))
+
+
+def test_running_max_matches_window(spark):
+    from parley.plans.skew import running
+    m = _hot_messages(spark)
+    w = (Window.partitionBy("conversation_id").orderBy("created_at", "message_id")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    tok = F.col("token_count")
+    want = rows(m.select("message_id", F.max(tok).over(w), F.sum(tok).over(w)))
+    got = running(m, ["conversation_id"], ["created_at", "message_id"],
+                  {"mx": ("max", "token_count"), "sm": ("sum", "token_count")}, max_rows=40)
+    assert rows(got.select("message_id", "mx", "sm")) == want

@@ -56,3 +56,17 @@ def test_export_document_shape(spark):
     assert set(d["messages"][0]) == {"role", "content", "timestamp"}
     stamps = [x["timestamp"] for x in d["messages"]]
     assert stamps == sorted(stamps)
+
+
+def test_export_parts_are_bounded(spark):
+    m = fx.messages(spark, SF_SMALL)
+    whole = {r.conversation_id: json.loads(r.json)["messages"]
+             for r in S.export_conversations(fx.chats(spark, SF_SMALL), m).collect()}
+    parts = {}
+    for r in S.export_conversations(fx.chats(spark, SF_SMALL), m, max_messages=2, max_rows=3).collect():
+        msgs = json.loads(r.json)["messages"]
+        assert len(msgs) <= 2
+        parts.setdefault(r.conversation_id, {})[r.part] = msgs
+    for cid, by_part in parts.items():
+        joined = [x for p in sorted(by_part) for x in by_part[p]]
+        assert joined == whole[cid]
