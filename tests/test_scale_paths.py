@@ -1,0 +1,66 @@
+"""Scale paths: with every key forced "hot", results must not change.
+
+``parley.skew.maxGroupRows`` set to a handful of rows makes each conversation,
+user, room and group take the split path (slices + broadcast carries); the
+registered queries that rank or run per key must still equal their oracle.
+Input partitioning must not change results either.
+"""
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from parley.operators import aggregates as A
+from parley.operators import joins as J
+from parley.operators import rooms as R
+from parley.operators import windows as W
+from parley.sources import fixtures as fx
+from conftest import ROOT, SF_SMALL, rows
+
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+from oracle_check import compare  # noqa: E402
+
+RANKED = ["message_history", "exchanges", "response_delay", "response_delay_by_model", "prompt_context",
+          "prompt_context_window", "fan_out", "typing_fan_out", "valid_token_requests",
+          "expired_token_requests", "rate_limited_requests", "latency_stats", "export_conversations"]
+
+
+def test_forced_split_matches_oracle(spark):
+    spark.conf.set("parley.skew.maxGroupRows", "3")
+    try:
+        res = compare(spark, SF_SMALL, RANKED)
+    finally:
+        spark.conf.unset("parley.skew.maxGroupRows")
+    assert set(res) == set(RANKED)
+    bad = {k: v for k, v in res.items() if v[0] != "OK"}
+    assert not bad, bad
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_input_partitioning_does_not_matter(spark, parts):
+    m = fx.messages(spark, SF_SMALL)
+    shuffled = m.repartition(parts, F.rand(seed=parts))
+    for op in (W.exchanges, A.prompt_context_rows, A.conversation_summary, W.message_history):
+        assert rows(op(shuffled)) == rows(op(m)), op.__name__
+    e = fx.room_events(spark, SF_SMALL)
+    assert rows(R.fan_out(e.repartition(parts, F.rand(seed=1)))) == rows(R.fan_out(e))
+    r = fx.requests(spark, SF_SMALL)
+    assert rows(J.valid_token_requests(r.repartition(parts, "user_id"))[0]) == rows(J.valid_token_requests(r)[0])
+
+
+def test_one_user_holds_a_third(spark):
+    """A hot user in J6 and a hot client in R3: split path equals plain path."""
+    r = fx.requests(spark, SF_SMALL)
+    hot = r.withColumn("user_id", F.when(F.col("request_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id"))) \
+           .withColumn("client_ip", F.when(F.col("request_id") % 3 == 0, F.lit(7)).otherwise(F.col("client_ip")))
+    assert rows(J.valid_token_requests(hot, max_rows=20)[0]) == rows(J.valid_token_requests(hot)[0])
+    assert rows(R.rate_limited_requests(hot, limit=2, window="1 hour", max_rows=5)) == \
+        rows(R.rate_limited_requests(hot, limit=2, window="1 hour"))
+
+
+def test_one_room_holds_everything(spark):
+    e = fx.room_events(spark, SF_SMALL).withColumn("conversation_id", F.lit(1).cast("long"))
+    assert rows(R.fan_out(e, max_rows=10)) == rows(R.fan_out(e))
