@@ -168,12 +168,18 @@ def latency_stats(r: DataFrame, limit_ms: float = K.LATENCY_TARGET_MS, by: Seque
     by = list(by)
     ms = F.col("response_ms")
     ps = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
-    counts = {"requests": F.count(ms),
-              "mean_ms": F.round(F.avg(ms), 6),
-              "share_under_limit": F.round(F.count_if(ms < F.lit(limit_ms)) / F.count(ms), 6)}
     if approx:
+        counts = {"requests": F.count(ms),
+                  "mean_ms": F.round(F.avg(ms), 6),
+                  "share_under_limit": F.round(F.count_if(ms < F.lit(limit_ms)) / F.count(ms), 6)}
         out = r.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()],
                                  *[F.percentile_approx(ms, p, 10000).alias(n) for n, p in ps.items()])
     else:
+        # the same statistics over the value histogram (_v value, _c rows)
+        v, c = F.col("_v"), F.col("_c")
+        seen = F.sum(F.when(v.isNotNull(), c).otherwise(0))
+        counts = {"requests": seen,
+                  "mean_ms": F.round(F.sum(v * c) / seen, 6),
+                  "share_under_limit": F.round(F.sum(F.when(v < F.lit(limit_ms), c).otherwise(0)) / seen, 6)}
         out = exact_percentiles(r, by, "response_ms", ps, max_rows=max_rows, extra=counts)
     return out.select(*by, *counts, *[F.round(F.col(n), 6).alias(n) for n in ps])

@@ -39,25 +39,29 @@ def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str,
 
     Linear interpolation between the two neighbouring ranks, as ``percentile``
     and SQL ``quantile_cont``. Null values are ignored. ``extra`` aggregates
-    (name -> Column over ``df``) are computed in the pass that counts the group.
+    (name -> Column) are evaluated over the value histogram of each group, whose
+    columns are ``_v`` (a value, null included) and ``_c`` (its row count); e.g.
+    ``F.sum("_c")`` counts rows and ``F.sum(F.col("_v") * F.col("_c"))`` sums values.
 
     Plan: (1) count rows per (group, value) — ties collapse in the map-side
-    partial aggregation; (2) a skew-safe running sum of those counts in value
-    order gives each distinct value its rank range; (3) the wanted ranks are
-    equi-joined on the group with a range test on that range, so per group
-    only the handful of distinct values holding a wanted rank survive.
+    partial aggregation, and the input is read once; (2) a skew-safe running
+    sum of those counts in value order gives each distinct value its rank
+    range; (3) the wanted ranks are equi-joined on the group with a range test
+    on that range, so per group only the distinct values holding a wanted rank
+    survive.
     """
     groups = list(groups)
     gkey = "_g"
     # a JSON key keeps null-valued groups together through the equi-joins
     key_col = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
-    base = df.withColumn(gkey, key_col).withColumn("_v", F.col(value))
-    sizes = base.groupBy(gkey).agg(
-        F.count("_v").alias("_n"),
+    hist = (df.select(key_col.alias(gkey), F.col(value).alias("_v"), *[F.col(g) for g in groups])
+              .groupBy(gkey, "_v")
+              .agg(F.count(F.lit(1)).alias("_c"), *[F.first(F.col(g)).alias(g) for g in groups]))
+    sizes = hist.groupBy(gkey).agg(
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)).alias("_n"),
         *[c.alias(n) for n, c in (extra or {}).items()],
         *[F.first(F.col(g)).alias(g) for g in groups])
-    counts = (base.filter(F.col("_v").isNotNull()).groupBy(gkey, "_v")
-                  .agg(F.count(F.lit(1)).alias("_c")))
+    counts = hist.filter(F.col("_v").isNotNull()).select(gkey, "_v", "_c")
     ranges = (running(counts, [gkey], ["_v"], {"_upto": ("sum", "_c")}, max_rows=max_rows)
               .withColumn("_from", F.col("_upto") - F.col("_c") + 1))
     wanted = F.array(*[F.struct(F.lit(name).alias("_p"), F.lit(float(p)).alias("_q"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley import catalog as K
+from parley.schemas import CAMEL_TO_SNAKE
 
 
 def _clamp(page: int | None, limit: int | None) -> tuple[int, int]:
@@ -33,6 +34,7 @@ def paginate(df: DataFrame, page: int = 1, limit: int = 20, sort: str = "created
     Over-limit values are clamped to 1..100, pages below 1 become 1.
     """
     page, limit = _clamp(page, limit)
+    sort = CAMEL_TO_SNAKE.get(sort) or sort        # the documented API spells it createdAt
     total = df.select(F.count(F.lit(1))).scalar()
     rows = df
     offset = (page - 1) * limit

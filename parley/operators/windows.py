@@ -49,6 +49,7 @@ def response_delay_by_model(m: DataFrame, max_rows: int | None = None) -> DataFr
     d = response_delay(m, max_rows=max_rows)
     out = exact_percentiles(d, ["reply_model"], "delay_s",
                             {"p50_s": 0.5, "p95_s": 0.95}, max_rows=max_rows,
-                            extra={"exchanges": F.count(F.lit(1)), "mean_s": F.round(F.avg("delay_s"), 6)})
+                            extra={"exchanges": F.sum("_c"),
+                                   "mean_s": F.round(F.sum(F.col("_v") * F.col("_c")) / F.sum("_c"), 6)})
     return out.select("reply_model", "exchanges", "mean_s",
                       F.round("p50_s", 6).alias("p50_s"), F.round("p95_s", 6).alias("p95_s"))

@@ -104,3 +104,19 @@ def test_recent_conversations(spark):
                               "conversation_id long, user_id long, last_message_at timestamp_ntz")
     got = rows(T.recent_conversations(c, 2).select("user_id", "conversation_id", "rank"))
     assert got == [(0, 2, 2), (0, 6, 1), (1, 5, 2), (1, 7, 1)]
+
+
+def test_create_conversations_defaults_and_rejects(spark):
+    c = S.normalize_conversations(spark.createDataFrame([(1, 1, "t", T0)],
+                                  "conversation_id long, user_id long, title string, created_at timestamp_ntz"))
+    reqs = spark.createDataFrame([(5, 2, "hello", None, T0), (6, 2, None, "gpt-4", T0)],
+                                 "conversation_id long, user_id long, title string, ai_model string, created_at timestamp_ntz")
+    out, rejected = M.create_conversations(c, reqs)
+    got = {r.conversation_id: (r.ai_model, r.metadata, r.is_active, r.updated_at) for r in out.collect()}
+    assert got[5] == ("gpt-3.5-turbo", "{}", True, T0) and 6 not in got and 1 in got
+    assert [r.reasons for r in rejected.collect()] == [["title missing"]]
+
+
+def test_paginate_accepts_documented_sort_name(spark):
+    df = spark.createDataFrame([(i, T0 + timedelta(hours=i)) for i in range(5)], "conversation_id long, created_at timestamp_ntz")
+    assert [r.conversation_id for r in T.paginate(df, sort="createdAt", order="asc", limit=2).collect()] == [0, 1]
