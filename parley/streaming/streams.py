@@ -69,8 +69,10 @@ def rate_limit_stream(r_stream: DataFrame, limit: int = K.RATE_LIMIT, window: st
                       watermark: str = "1 minute", key: str = "client_ip") -> DataFrame:
     """Per client and tumbling window: requests, remaining quota, reset time.
 
-    With append mode a window is emitted once the watermark passes its end;
-    a request later than the watermark is dropped from the count.
+    With append mode a window is emitted once the watermark passes its end.
+    A request is dropped as late when it is older than the watermark in force
+    for the previous micro-batch (Spark's rule for late rows), so a window's
+    count is final when it is emitted.
     """
     w = (event_time(r_stream).withWatermark("event_time", watermark)
          .groupBy(key, F.window("event_time", window).alias("w"))

@@ -91,3 +91,49 @@ def test_fan_out_stream_equals_batch(spark, scratch):
     got = spark.read.parquet(out_dir).drop("batch_id")
     assert spark.read.parquet(out_dir).select("batch_id").distinct().count() == 5
     assert rows(got) == rows(R.fan_out(e))
+
+
+def _files(spark, path, batches, schema):
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_presence_out_of_order(spark, scratch):
+    from datetime import datetime, timedelta
+    t = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    src = os.path.join(scratch, "ooo")
+    batches = [[(2, 1, 5, "leave", t(50))], [(1, 1, 5, "join", t(30)), (3, 1, 6, "join", t(10))],
+               [(4, 1, 6, "leave", t(5))]]       # arrives last, happened first
+    _files(spark, src, batches, schemas.ROOM_EVENTS)
+    stream = ST.stream_events(spark, src, schemas.ROOM_EVENTS, max_files_per_trigger=1)
+    q = (ST.room_presence_stream(stream).writeStream.outputMode("complete").format("memory")
+         .queryName("ooo").option("checkpointLocation", stream_checkpoint(spark, "ooo-" + os.path.basename(scratch)))
+         .start())
+    _run(q)
+    got = rows(spark.table("ooo").select("client_id", "kind"))
+    assert got == [(5, "leave"), (6, "join")]
+    allev = spark.read.schema(schemas.ROOM_EVENTS).parquet(src)
+    assert rows(R.room_members(allev).select("client_id")) == [(6,)]
+
+
+def test_rate_limit_late_event_and_boundary(spark, scratch):
+    from datetime import datetime
+    t = lambda h, m, s=0: datetime(2024, 1, 1, h, m, s)
+    src = os.path.join(scratch, "late")
+    row = lambda i, ts: (i, 1, 1, "call", ts, 1.0)
+    # Spark drops a row as late against the watermark of the previous batch,
+    # so the late row comes two batches after the one that moved the watermark.
+    batches = [[row(1, t(10, 0, 30)), row(2, t(10, 1, 0))],     # 10:01:00 opens the next window
+               [row(3, t(10, 5))],                               # watermark moves to 10:04
+               [row(4, t(10, 6))],
+               [row(5, t(10, 0, 45))],                           # late beyond the watermark: dropped
+               [row(6, t(10, 9))]]
+    _files(spark, src, batches, schemas.REQUESTS)
+    stream = ST.stream_events(spark, src, schemas.REQUESTS, max_files_per_trigger=1)
+    q = (ST.rate_limit_stream(stream, limit=1, window="1 minute", watermark="1 minute")
+         .writeStream.outputMode("append").format("memory").queryName("late")
+         .option("checkpointLocation", stream_checkpoint(spark, "late-" + os.path.basename(scratch))).start())
+    _run(q)
+    got = rows(spark.table("late").filter(F.col("window_start") < t(10, 2))
+               .select("window_start", "requests", "remaining", "limited"))
+    assert got == [(t(10, 0), 1, 0, False), (t(10, 1), 1, 0, False)]
