@@ -63,5 +63,5 @@ def recent_conversations(c: DataFrame, k: int) -> DataFrame:
     """
     w = Window.partitionBy("user_id").orderBy(F.col("last_message_at").desc_nulls_last(),
                                               F.col("conversation_id"))
-    return (c.withColumn("rank", F.row_number().over(w))
+    return (c.withColumn("rank", F.row_number().over(w).cast("long"))
              .filter(F.col("rank") <= k))
