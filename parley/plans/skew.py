@@ -88,35 +88,38 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                        "_lo", "_hi"))
     # at most total_rows / limit rows: bounded, so broadcast
     hot = F.broadcast(stats)
+    specs = {name: (_RUNNING[fn], F.col(c) if isinstance(c, str) else c) for name, (fn, c) in aggs.items()}
+    cols = df.columns
 
-    width = (F.col("_hi") - F.col("_lo")) / F.col("_slices")
-    raw = F.floor((lead - F.col("_lo")) / width)
-    slice_col = (F.when(F.col("_slices").isNull(), F.lit(0))
-                  .when(width <= 0, F.lit(0))
-                  .otherwise(F.least(raw, F.col("_slices") - 1))).cast("long")
-    sliced = (df.join(hot, keys, "left")
-                .withColumn("_hot", F.col("_slices").isNotNull())
-                .withColumn("_slice", slice_col)
-                .drop("_slices", "_lo", "_hi"))
+    def frame(*part):
+        return (Window.partitionBy(*part).orderBy(*order_cols)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    specs = {name: (_RUNNING[fn], F.col(c) if isinstance(c, str) else c) for name, (fn, c) in aggs.items()}
-    frame = (Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.drop("_hot")
+    # ordinary keys: one window per key (each holds at most ``limit`` rows)
+    cold = df.join(F.broadcast(stats.select(*keys)), keys, "left_anti")
     for name, ((agg, _, _), c) in specs.items():
-        local = local.withColumn(f"_loc_{name}", agg(c).over(frame))
+        cold = cold.withColumn(name, agg(c).over(frame(*keys)))
 
-    # carries of the hot slices only: <= hot keys x slices rows
-    totals = (sliced.filter(F.col("_hot")).groupBy(*keys, "_slice")
+    # hot keys: order-preserving slices, numbered in parallel, plus carries.
+    # When no key is hot, AQE sees the empty broadcast and drops this branch.
+    width = (F.col("_hi") - F.col("_lo")) / F.col("_slices")
+    raw = F.floor((lead - F.col("_lo")) / width)
+    slice_col = F.when(width <= 0, F.lit(0)).otherwise(F.least(raw, F.col("_slices") - 1)).cast("long")
+    sliced = df.join(hot, keys, "inner").withColumn("_slice", slice_col).drop("_slices", "_lo", "_hi")
+    local = sliced
+    for name, ((agg, _, _), c) in specs.items():
+        local = local.withColumn(f"_loc_{name}", agg(c).over(frame(*keys, "_slice")))
+    # carries: <= hot keys x slices rows
+    totals = (sliced.groupBy(*keys, "_slice")
                     .agg(*[agg(c).alias(f"_tot_{name}") for name, ((agg, _, _), c) in specs.items()]))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(*keys, "_slice", *[carry(F.col(f"_tot_{name}")).over(before).alias(f"_carry_{name}")
                                                for name, ((_, carry, _), _) in specs.items()])
-
-    out = local.join(F.broadcast(carries), [*keys, "_slice"], "left")
+    warm = local.join(F.broadcast(carries), [*keys, "_slice"], "left")
     for name, ((_, _, combine), _) in specs.items():
-        out = out.withColumn(name, combine(F.col(f"_loc_{name}"), F.col(f"_carry_{name}")))
-    return out.drop("_slice", *[f"_loc_{n}" for n in specs], *[f"_carry_{n}" for n in specs])
+        warm = warm.withColumn(name, combine(F.col(f"_loc_{name}"), F.col(f"_carry_{name}")))
+    out_cols = [*cols, *[n for n in specs if n not in cols]]
+    return cold.select(*out_cols).unionByName(warm.select(*out_cols))
 
 
 def ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],

@@ -122,7 +122,7 @@ def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def fan_out_batch(spark: SparkSession, state_dir: str, out_dir: str, bucket_seconds: int = 86400):
+def fan_out_batch(spark: SparkSession, state_dir: str, out_dir: str):
     """``foreachBatch`` function delivering each micro-batch's messages.
 
     Presence before the batch is read from ``state_dir/batch_id=N-1``; members
@@ -141,7 +141,7 @@ def fan_out_batch(spark: SparkSession, state_dir: str, out_dir: str, bucket_seco
                 F.col("since_id").alias("event_id"), "conversation_id", "client_id",
                 F.lit("join").alias("kind"), F.col("since").alias("ts"))
             events = present.unionByName(events)
-        out = R.fan_out(events, bucket_seconds=bucket_seconds)
+        out = R.fan_out(events)
         (out.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id").parquet(out_dir))

@@ -65,7 +65,7 @@ def test_fan_out_join_leave_join(spark):
         (8, 1, 10, "typing_on", t(9)),
         (9, 1, 13, "message", t(9)), (10, 1, 13, "join", t(9)),  # join right after the message
     ], EV)
-    got = rows(R.fan_out(e, bucket_seconds=3).select("event_id", "recipient_id"))
+    got = rows(R.fan_out(e, block=2, max_rows=2).select("event_id", "recipient_id"))
     assert got == [(3, 10), (3, 11), (5, 10), (7, 10), (7, 11), (9, 10), (9, 11)]
     typing = rows(R.typing_fan_out(e).select("event_id", "recipient_id", "is_typing"))
     assert typing == [(8, 11, True)]  # 13 joins after the typing event (same instant, later id)
