@@ -23,7 +23,7 @@ DEFAULTS = {
 
 
 def get_spark(master: str | None = None, partitions: int | None = None,
-              app: str = "parley") -> SparkSession:
+              app: str = "parley", driver_memory: str | None = None) -> SparkSession:
     """Return the active session, creating a local one when there is none."""
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -35,6 +35,8 @@ def get_spark(master: str | None = None, partitions: int | None = None,
         builder = builder.config(k, v)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
