@@ -137,3 +137,20 @@ def test_rate_limit_late_event_and_boundary(spark, scratch):
     got = rows(spark.table("late").filter(F.col("window_start") < t(10, 2))
                .select("window_start", "requests", "remaining", "limited"))
     assert got == [(t(10, 0), 1, 0, False), (t(10, 1), 1, 0, False)]
+
+
+def test_presence_update_mode_upsert(spark, scratch):
+    """Production path: update mode -> per-batch state files -> latest row per key."""
+    src = os.path.join(scratch, "events_upd")
+    e = fx.room_events(spark, SF_SMALL)
+    _as_files(e, src, "event_id", parts=3)
+    stream = ST.stream_events(spark, src, schemas.ROOM_EVENTS, max_files_per_trigger=1)
+    state_dir = os.path.join(scratch, "presence_state")
+    q = (ST.room_presence_stream(stream).writeStream.outputMode("update")
+         .foreachBatch(ST.write_state_batches(state_dir))
+         .option("checkpointLocation", stream_checkpoint(spark, "upd-" + os.path.basename(scratch))).start())
+    _run(q)
+    assert spark.read.parquet(state_dir).select("batch_id").distinct().count() == 3
+    latest = ST.latest_state(spark, state_dir, ["conversation_id", "client_id"])
+    members = latest.filter("kind = 'join'").select("conversation_id", "client_id", "since")
+    assert rows(members) == rows(R.room_members(e))
