@@ -84,3 +84,11 @@ def test_rate_limit_batch(spark):
     # 110 requests in one minute: the 10 latest (by ts, id) are past the limit of 100
     assert rejected.count() == 10
     assert rows(rejected.select("position")) == [(p,) for p in range(101, 111)]
+
+
+def test_membership_intervals(spark):
+    t = lambda s: T0 + timedelta(seconds=s)
+    e = spark.createDataFrame([(1, 1, 10, "join", t(0)), (2, 1, 10, "leave", t(5)), (3, 1, 10, "join", t(7)),
+                               (4, 1, 10, "join", t(9)), (5, 1, 11, "leave", t(1))], EV)
+    got = rows(R.membership_intervals(e, max_rows=1).select("client_id", "start_id", "end_id"))
+    assert got == [(10, 1, 2), (10, 3, 4), (10, 4, None)]
