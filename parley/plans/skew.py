@@ -80,12 +80,23 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     limit = max_group_rows(df, max_rows)
     lead = _as_number(F.col(lead_name), dict(df.dtypes)[lead_name])
 
+    # With exactly two order columns, a hot key whose rows all share one leading
+    # value is ordered by the second column alone, so that column can be split.
+    dtypes = dict(df.dtypes)
+    second = None
+    if len(order) == 2 and isinstance(order[1], str) and (
+            dtypes[order[1]] in ("timestamp", "timestamp_ntz", "date")
+            or dtypes[order[1]] in ("tinyint", "smallint", "int", "bigint", "float", "double")):
+        second = _as_number(F.col(order[1]), dtypes[order[1]])
+    second_col = second if second is not None else F.lit(None).cast("double")
+
     stats = (df.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"),
+                    F.min(second_col).alias("_lo2"), F.max(second_col).alias("_hi2"))
                .filter(F.col("_n") > limit)
                .select(*keys,
                        (F.ceil(F.col("_n") / F.lit(limit)) * oversplit).alias("_slices"),
-                       "_lo", "_hi"))
+                       "_lo", "_hi", "_lo2", "_hi2"))
     # at most total_rows / limit rows: bounded, so broadcast
     hot = F.broadcast(stats)
     specs = {name: (_RUNNING[fn], F.col(c) if isinstance(c, str) else c) for name, (fn, c) in aggs.items()}
@@ -104,8 +115,14 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     # When no key is hot, AQE sees the empty broadcast and drops this branch.
     width = (F.col("_hi") - F.col("_lo")) / F.col("_slices")
     raw = F.floor((lead - F.col("_lo")) / width)
-    slice_col = F.when(width <= 0, F.lit(0)).otherwise(F.least(raw, F.col("_slices") - 1)).cast("long")
-    sliced = df.join(hot, keys, "inner").withColumn("_slice", slice_col).drop("_slices", "_lo", "_hi")
+    width2 = (F.col("_hi2") - F.col("_lo2")) / F.col("_slices")
+    raw2 = F.floor((second_col - F.col("_lo2")) / width2)
+    last = F.col("_slices") - 1
+    slice_col = (F.when(width > 0, F.least(raw, last))
+                  .when(width2 > 0, F.least(raw2, last))          # one shared leading value
+                  .otherwise(F.lit(0))).cast("long")
+    sliced = (df.join(hot, keys, "inner").withColumn("_slice", slice_col)
+                .drop("_slices", "_lo", "_hi", "_lo2", "_hi2"))
     local = sliced
     for name, ((agg, _, _), c) in specs.items():
         local = local.withColumn(f"_loc_{name}", agg(c).over(frame(*keys, "_slice")))

@@ -79,3 +79,16 @@ def test_running_max_matches_window(spark):
     got = running(m, ["conversation_id"], ["created_at", "message_id"],
                   {"mx": ("max", "token_count"), "sm": ("sum", "token_count")}, max_rows=40)
     assert rows(got.select("message_id", "mx", "sm")) == want
+
+
+def test_hot_key_with_one_shared_timestamp_is_still_split(spark):
+    """Bulk-loaded rows: a third of the rows in one key, all at the same instant."""
+    m = fx.messages(spark, SF_CHECK)
+    bulk = (m.withColumn("message_id", F.col("message_id") + 20_000_000)
+             .withColumn("conversation_id", F.lit(-7).cast("long"))
+             .withColumn("created_at", F.lit("2024-01-09 00:00:00").cast("timestamp_ntz")))
+    data = m.unionByName(bulk)
+    w = Window.partitionBy("conversation_id").orderBy("created_at", "message_id")
+    want = rows(data.select("message_id", F.row_number().over(w).alias("o")))
+    got = ordinal(data, ["conversation_id"], ["created_at", "message_id"], out="o", max_rows=50)
+    assert rows(got.select("message_id", "o")) == want
