@@ -30,6 +30,18 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+OP4 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, p, ls[p] AS line,
+             {_LOWER.format(r"regexp_replace(ls[p], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")} AS k
+      FROM (SELECT r, doc_id, ls, unnest(range(1, len(ls) + 1)) AS p FROM d)),
+g AS (SELECT k, max(doc_id) AS last_doc FROM l WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+x AS (SELECT l.*, g.k IS NOT NULL AND l.doc_id <> g.last_doc AS gone FROM l LEFT JOIN g ON l.k = g.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM x GROUP BY r, doc_id
+"""
+
 _RULES = ["n_words < 50", "100 * n_repeat_words > 50 * n_words", "10 * n_symbols > n_words",
           "5 * n_exclaim > n_words", "2 * n_capitals > word_chars", "2 * n_dup_lines > n_lines"]
 _F = ", ".join(f"({r}) AS f{i}" for i, r in enumerate(_RULES))
@@ -67,4 +79,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f0
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLE = {"op5_decontamination": OP5, "op8_host_rules": OP8}
+ORACLE = {"op4_line_dedup": OP4, "op5_decontamination": OP5, "op8_host_rules": OP8}

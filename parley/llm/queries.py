@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, host_rules
+from parley.llm import decontamination, host_rules, line_dedup
 from parley.llm.common import table
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines before dropping, lines dropped and the hash of the remaining text per document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs)).select("doc_id", "text", "kept_lines.*")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            done = [line_dedup.kept_text(t.as_py(), m.as_py()) for t, m in zip(b.column("text"), b.column("keep_bitmap"))]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([n for n, _ in done], pa.int64()),
+                 pc.fill_null(b.column("n_dropped"), 0),
+                 pa.array([hashlib.sha256(x.encode()).hexdigest() for _, x in done], pa.string())],
+                names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
+
+    return kept.mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and matched items per document."""
     d = decontamination.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -28,6 +50,7 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_host_rules": op8_host_rules,
 }
