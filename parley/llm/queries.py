@@ -10,10 +10,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, host_rules, line_dedup
+from parley.llm import decontamination, host_rules, line_dedup, simhash
 from parley.llm.common import table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component per document."""
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before dropping, lines dropped and the hash of the remaining text per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,6 +56,7 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_host_rules": op8_host_rules,
