@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,3 +56,18 @@ def space_words(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def process_cache(name: str) -> dict:
+    """A dictionary that lives as long as this Python worker, for all its tasks.
+
+    Functions travel to the workers by value, so a module's own globals are new in every task.
+    """
+    home = sys.modules.setdefault("parley_llm_process_cache", types.ModuleType("parley_llm_process_cache"))
+    return vars(home).setdefault(name, {})
+
+
+def tokenizer_path(name: str) -> str:
+    """The file of a public tokenizer installed beside Python."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))

@@ -10,8 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, host_rules, line_dedup, simhash
-from parley.llm.common import table
+from parley.llm import decontamination, host_rules, line_dedup, simhash, token_files
+from parley.llm.common import table, tokenizer_path
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,14 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("host_kept", F.lit(True)).alias("host_kept"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the files."""
+    path = token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read_index(spark, path)
+
+
 QUERIES = {
+    "op10_token_files": op10_token_files,
     "op2_simhash": op2_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
