@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, host_rules, line_dedup, simhash, token_files
+from parley.llm import decontamination, host_rules, line_dedup, mixture, quality, simhash, token_files
 from parley.llm.common import table, tokenizer_path
 
 
@@ -48,6 +48,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (leak["n_hit"] > 0).alias("contaminated"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality score of every document, learnt from the rows that are not held out."""
+    f = quality.features(table(spark, sf_dir, "documents"))
+    model = quality.train(f, table(spark, sf_dir, "labels"))
+    t = f.select("doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"),
+                 quality.score_column(model, F.col("f")).alias("score"))
+    return t.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and final verdict per document."""
     return host_rules.judge(table(spark, sf_dir, "documents")).select(
@@ -55,6 +64,13 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("host_kept", F.lit(True)).alias("host_kept"))
 
 
+def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document, beside its source's size and target."""
+    c = mixture.copies(table(spark, sf_dir, "documents"))
+    c = c.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
+    return c.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, read back from the files."""
     path = token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -62,6 +78,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_quality": op7_quality,
+    "op9_mixture": op9_mixture,
     "op10_token_files": op10_token_files,
     "op2_simhash": op2_simhash,
     "op4_line_dedup": op4_line_dedup,
