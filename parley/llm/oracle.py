@@ -42,6 +42,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM x GROUP BY r, doc_id
 """
 
+OP6 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS.format('text')} AS w FROM documents),
+x AS (SELECT r, p, w[p] AS b, CASE WHEN p > 1 THEN w[p - 1] END AS a
+      FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+one AS (SELECT b, count(*) AS n FROM x GROUP BY b),
+two AS (SELECT a, b, count(*) AS n FROM x WHERE a IS NOT NULL GROUP BY a, b),
+total AS (SELECT count(*) AS n FROM x),
+s AS (SELECT x.r, x.a IS NOT NULL AND two.n < 2 AS backoff,
+             CASE WHEN two.n >= 2 THEN ln(two.n) - ln(ctx.n)
+                  ELSE ln(one.n) - ln(total.n) + CASE WHEN x.a IS NOT NULL THEN ln(0.4) ELSE 0 END END AS v
+      FROM x JOIN one ON x.b = one.b LEFT JOIN two ON x.a = two.a AND x.b = two.b
+      LEFT JOIN one AS ctx ON ctx.b = x.a, total),
+g AS (SELECT r, count(*) FILTER (WHERE backoff) AS n_backoff, sum(v) AS v FROM s GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_backoff, 0) AS BIGINT) AS n_backoff,
+       round(v / len(w), 6) AS score
+FROM d LEFT JOIN g ON d.r = g.r
+"""
+
 _RULES = ["n_words < 50", "100 * n_repeat_words > 50 * n_words", "10 * n_symbols > n_words",
           "5 * n_exclaim > n_words", "2 * n_capitals > word_chars", "2 * n_dup_lines > n_lines"]
 _F = ", ".join(f"({r}) AS f{i}" for i, r in enumerate(_RULES))
@@ -79,4 +97,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f0
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLE = {"op4_line_dedup": OP4, "op5_decontamination": OP5, "op8_host_rules": OP8}
+ORACLE = {"op6_lm_score": OP6, "op4_line_dedup": OP4, "op5_decontamination": OP5, "op8_host_rules": OP8}

@@ -10,16 +10,35 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, host_rules, line_dedup, mixture, quality, simhash, token_files
+from parley.llm import decontamination, host_rules, licences, line_dedup, lm_score, mixture, quality, secrets, simhash, token_files
 from parley.llm.common import table, tokenizer_path
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence places and labels of every document."""
+    return licences.scan_licences(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component per document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the secrets of every document."""
+    s = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin([r.kind for r in secrets.BASE_RULES]))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    return s.select("doc_id", *[F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
+                                for k in ("assign", "access", "hex")],
+                    F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before dropping, lines dropped and the hash of the remaining text per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +67,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (leak["n_hit"] > 0).alias("contaminated"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the corpus' own counts."""
+    s = lm_score.score(table(spark, sf_dir, "documents"))
+    return s.select("doc_id", "n_words", "n_backoff", F.round("score", 6).alias("score"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality score of every document, learnt from the rows that are not held out."""
     f = quality.features(table(spark, sf_dir, "documents"))
@@ -78,6 +103,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_lm_score": op6_lm_score,
+    "op1_licences": op1_licences,
+    "op3_secrets": op3_secrets,
     "op7_quality": op7_quality,
     "op9_mixture": op9_mixture,
     "op10_token_files": op10_token_files,
