@@ -71,3 +71,13 @@ def tokenizer_path(name: str) -> str:
     """The file of a public tokenizer installed beside Python."""
     import public_tokenizers
     return str(public_tokenizers.path(name))
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns as one struct named ``row``, so no name in it can clash with a name of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def from_row(names: list[str]) -> list[Column]:
+    """The columns of ``row`` again."""
+    return [F.col("row").getField(c).alias(c) for c in names]

@@ -23,7 +23,7 @@ benchmark takes more passes over the corpus and the same result.
 Defined results: null or empty texts have no words; an item without words is never
 found; a null doc_id or item_id is matched like any other value (its id prints
 as an empty string); rows repeating a doc_id are compared each by its own
-text; an empty benchmark hits nothing; extra columns of ``docs`` stay.
+text; an empty benchmark hits nothing; extra columns stay in ``row``.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import LOWER, NOT_WORD, UPPER, text_of, written
+from parley.llm.common import LOWER, NOT_WORD, UPPER, as_row, text_of, written
 
 WIDTH = 10
 #: Words by which the distance of two probes may differ in a proximity match.
@@ -137,7 +137,7 @@ def _matches(width: int) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, slack: int = SLACK,
                   block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``docs`` (all its columns) plus a struct ``leak``: n_words, n_hit, items (ids with occurring
+    """``row`` (all columns of ``docs``) and a struct ``leak``: n_words, n_hit, items (ids with occurring
     windows, sorted), hits (spans of hit words: start, length), n_near (items with a proximity match)."""
     slim = docs.select("doc_id", "text")
     items = written(item_words(benchmark.select("item_id", "text")), "bench-items")
@@ -152,8 +152,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sla
     per_doc = (cand.join(items.select("item", "item_id", "iw"), "item").groupBy(F.col("doc_id").alias("of_doc"))
                .agg(F.collect_list(F.when(F.col("phrase"), F.struct("item_id", "shift", "iw"))).alias("cands"),
                     F.count_distinct(F.when(F.col("near"), F.col("item"))).alias("n_near")))
-    names = docs.columns
-    t = docs.select(F.struct(*names).alias("row"))
+    t = docs.select(as_row(docs))
     t = t.join(per_doc, t["row"]["doc_id"].eqNullSafe(per_doc["of_doc"]), "left")
     text = F.coalesce(F.col("row")["text"], F.lit(""))
     has = F.size(F.coalesce("cands", F.array())) > 0
@@ -173,4 +172,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sla
     leak = F.struct("n_words", F.coalesce(F.size(hit_words), F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"), "hits",
                     F.coalesce("n_near", F.lit(0)).alias("n_near"))
-    return t.select("row", leak.alias("leak")).select(*[F.col("row")[n].alias(n) for n in names], "leak")
+    return t.select("row", leak.alias("leak"))

@@ -20,7 +20,7 @@ Defined results: null or empty text is one empty line; a null doc_id counts as o
 document and as the smallest; rows repeating a doc_id count as one document and
 keep or lose the same lines, each by its own text (``row_key``); a key with
 fewer documents than ``min_docs`` loses nothing; an empty table gives no rows;
-extra columns stay in ``apply_bitmaps``.
+extra columns stay in ``row`` of ``apply_bitmaps``.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import text_of, written
+from parley.llm.common import as_row, text_of, written
 
 STRIP = " \t\n\x0b\x0c\r"
 MIN_CHARS = 40
@@ -177,13 +177,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with ``row_key``, ``n_dropped`` and ``keep_bitmap`` (null: all lines stay) in a
-    struct ``kept_lines``."""
-    t = docs.select(F.struct(*docs.columns).alias("row"))
+    """``row`` (all columns of ``docs``), ``n_dropped`` and ``keep_bitmap`` (null: all lines stay)."""
+    t = docs.select(as_row(docs))
     t = t.withColumn("key", F.xxhash64(F.coalesce(F.col("row")["text"], F.lit(""))))
     joined = t.join(bitmaps, t["row"]["doc_id"].eqNullSafe(bitmaps["doc_id"]) & (t["key"] == bitmaps["row_key"]), "left")
-    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns],
-                         F.struct("n_dropped", "keep_bitmap").alias("kept_lines"))
+    return joined.select("row", F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"), "keep_bitmap")
 
 
 def kept_text(text: str | None, bitmap: bytes | None) -> tuple[int, str]:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import space_words, text_of, written
+from parley.llm.common import as_row, from_row, space_words, text_of, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -189,8 +189,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` (all columns), every row as often as the mix takes it."""
     c = copies(docs, **options).filter("copies > 0 and size > 0").select(
         F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("size").alias("k_size"), "copies")
-    t = docs.select(F.struct(*docs.columns).alias("row"), size_of(text_of()).alias("size"))
+    t = docs.select(as_row(docs), size_of(text_of()).alias("size"))
     t = t.join(c, t["row"]["doc_id"].eqNullSafe(c["k_id"]) & t["row"]["source"].eqNullSafe(c["k_source"])
                & (t["size"] == c["k_size"]))
     return t.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select(
-        *[F.col("row")[x].alias(x) for x in docs.columns])
+        *from_row(docs.columns))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import text_of, written
+from parley.llm.common import as_row, text_of, written
 
 #: Random features, kernel width (in standard deviations), ridge penalty per row, calibration bins.
 DIM, WIDTH, RIDGE, BINS = 256, 3.0, 1e-4, 2000
@@ -205,5 +205,5 @@ def features(docs: DataFrame) -> DataFrame:
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (all columns) in a struct ``row``, beside their ``score``."""
     model = train(features(docs), labels)
-    t = docs.select(F.struct(*docs.columns).alias("row"), statistics_column(text_of()).alias("f"))
+    t = docs.select(as_row(docs), statistics_column(text_of()).alias("f"))
     return t.select("row", score_column(model, F.col("f")).alias("score"))

@@ -6,7 +6,6 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,14 +41,15 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before dropping, lines dropped and the hash of the remaining text per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs)).select("doc_id", "text", "kept_lines.*")
+    kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs)).select(
+        "row.doc_id", "row.text", "n_dropped", "keep_bitmap")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             done = [line_dedup.kept_text(t.as_py(), m.as_py()) for t, m in zip(b.column("text"), b.column("keep_bitmap"))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([n for n, _ in done], pa.int64()),
-                 pc.fill_null(b.column("n_dropped"), 0),
+                 b.column("n_dropped"),
                  pa.array([hashlib.sha256(x.encode()).hexdigest() for _, x in done], pa.string())],
                 names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
@@ -61,7 +61,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = decontamination.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                       table(spark, sf_dir, "benchmark"))
     leak = F.col("leak")
-    return d.select("doc_id", leak["n_words"].alias("n_words"), leak["n_hit"].alias("n_hit"),
+    return d.select("row.doc_id", leak["n_words"].alias("n_words"), leak["n_hit"].alias("n_hit"),
                     F.size(leak["items"]).cast("long").alias("n_items"),
                     F.sha2(F.array_join(leak["items"], ","), 256).alias("items_sha256"),
                     (leak["n_hit"] > 0).alias("contaminated"))

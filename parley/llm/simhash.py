@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import text_of, written
+from parley.llm.common import as_row, from_row, text_of, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -236,9 +236,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` (all columns) with one document of each component: the smallest doc_id, then the smallest text hash."""
-    t = docs.select(F.struct(*docs.columns).alias("row"))
-    text = F.coalesce(F.col("row")["text"], F.lit(""))
+    """``docs`` (all columns) with one document of each component: the smallest doc_id, then the smallest
+    text hash; of repeated rows one stays."""
     slim = docs.select("doc_id", text_of().alias("text"))
     prints = written(slim.select("doc_id", F.xxhash64("text").alias("hash"),
                                  fingerprint_column(F.col("text"), shingle).alias("fp")), "fingerprints")
@@ -246,12 +245,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash"))
     per_fp = prints.groupBy("fp").agg(best.alias("best"))
     per_fp = per_fp.join(roots, per_fp["fp"] == roots["of"], "left")
-    kept = per_fp.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select(
-        F.col("best")["doc_id"].alias("keep_id"), F.col("best")["hash"].alias("keep_hash"))
-    # kept ids are unique unless a row was repeated; those repeats differ in nothing but extra columns
-    kept = kept.distinct()
-    rows = t.join(kept, t["row"]["doc_id"].eqNullSafe(kept["keep_id"]) & (F.xxhash64(text) == kept["keep_hash"]),
-                  "left_semi")
-    same = Window.partitionBy(F.col("row")["doc_id"], F.xxhash64(text)).orderBy(F.to_json("row"))
-    return rows.withColumn("nth", F.row_number().over(same)).filter("nth = 1").select(
-        *[F.col("row")[c].alias(c) for c in docs.columns])
+    kept = per_fp.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
+    # one key per component; two components never share one, since equal texts have equal fingerprints
+    key = lambda i, h: [i.isNull().alias("k1"), F.coalesce(i, F.lit(0)).alias("k2"), h.alias("k3")]
+    kept = kept.select(*key(F.col("best")["doc_id"], F.col("best")["hash"]))
+    row = docs.select(as_row(docs))
+    text = F.coalesce(F.col("row")["text"], F.lit(""))
+    rows = row.select("row", *key(F.col("row")["doc_id"], F.xxhash64(text))).join(kept, ["k1", "k2", "k3"], "left_semi")
+    # the join's partitioning serves the window, whose groups are repeats of one row
+    simple = [f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    order = F.xxhash64(*[F.col(f"row.{c}") for c in simple])
+    nth = F.row_number().over(Window.partitionBy("k1", "k2", "k3").orderBy(order))
+    return rows.withColumn("nth", nth).filter("nth = 1").select(*from_row(docs.columns))
