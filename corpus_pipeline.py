@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm import decontamination, mixture, quality, simhash, token_files
-from parley.llm.common import shared_dir, table, tokenizer_path
+from parley.llm.common import from_row, shared_dir, table, tokenizer_path
 
 #: SQL has neither XXH64 nor a tokenizer; ``tests/llm`` holds a brute-force version.
 ORACLE_SQL = None
@@ -22,7 +22,7 @@ ORACLE_SQL = None
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject (score of at least 0.5)."""
     return quality.scored(docs, table(spark, sf_dir, "labels")).filter(F.col("score") >= 0.5).select(
-        *[F.col("row")[c].alias(c) for c in docs.columns])
+        *from_row(docs.columns))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("leak.n_hit = 0").select(
-        *docs.columns)
+        *from_row(docs.columns))
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
