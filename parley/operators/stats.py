@@ -2,10 +2,9 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a global or hot-group percentile lands in one task.
-``exact_percentiles`` instead ranks rows with the skew-safe ``ordinal`` and
-reads the two neighbouring ranks of each requested percentile, then
-interpolates linearly (the same rule as ``percentile`` / SQL
-``quantile_cont``). Only a handful of rows per group survive the rank join.
+``exact_percentiles`` instead ranks the distinct values with the skew-safe
+``running`` and picks those that hold the two neighbouring ranks of each requested
+percentile.
 """
 
 from __future__ import annotations
@@ -18,70 +17,37 @@ from pyspark.sql import functions as F
 from parley.plans.skew import running
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                   how: str = "left") -> DataFrame:
-    """Equi-join where a null key matches a null key (grouping semantics)."""
-    r = right
-    for k in keys:
-        r = r.withColumnRenamed(k, f"_r_{k}")
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    out = left.join(r, cond, how)
-    return out.drop(*[f"_r_{k}" for k in keys])
-
-
 def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str,
                       ps: Mapping[str, float], max_rows: int | None = None,
                       extra: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per group with one column per entry of ``ps`` (name -> fraction).
 
     Linear interpolation between the two neighbouring ranks, as ``percentile``
-    and SQL ``quantile_cont``. Null values are ignored. ``extra`` aggregates
-    (name -> Column) are evaluated over the value histogram of each group, whose
-    columns are ``_v`` (a value, null included) and ``_c`` (its row count); e.g.
-    ``F.sum("_c")`` counts rows and ``F.sum(F.col("_v") * F.col("_c"))`` sums values.
-
-    Plan: (1) count rows per (group, value) — ties collapse in the map-side
-    partial aggregation, and the input is read once; (2) a skew-safe running
-    sum of those counts in value order gives each distinct value its rank
-    range; (3) the wanted ranks are equi-joined on the group with a range test
-    on that range, so per group only the distinct values holding a wanted rank
-    survive.
+    and SQL ``quantile_cont``. Null values are ignored (a group of nulls alone has null
+    percentiles). ``extra`` aggregates (name -> Column) are evaluated over the value
+    histogram of each group, whose columns are ``_v`` (a value, null included)
+    and ``_c`` (its row count); e.g. ``F.sum("_c")`` counts rows and
+    ``F.sum(F.col("_v") * F.col("_c"))`` sums values.
+
+    Plan: (1) count rows per (group, value): ties collapse in the map-side
+    partial aggregation; (2) one skew-safe pass in value order gives each
+    distinct value its rank range and the group's size; (3) an aggregation keeps the
+    values whose range holds a wanted rank. The input is read once, and no join is made.
     """
     groups = list(groups)
-    gkey = "_g"
-    # a JSON key keeps null-valued groups together through the equi-joins
-    key_col = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
-    hist = (df.select(key_col.alias(gkey), F.col(value).alias("_v"), *[F.col(g) for g in groups])
-              .groupBy(gkey, "_v")
-              .agg(F.count(F.lit(1)).alias("_c"), *[F.first(F.col(g)).alias(g) for g in groups]))
-    sizes = hist.groupBy(gkey).agg(
-        F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)).alias("_n"),
-        *[c.alias(n) for n, c in (extra or {}).items()],
-        *[F.first(F.col(g)).alias(g) for g in groups])
-    counts = hist.filter(F.col("_v").isNotNull()).select(gkey, "_v", "_c")
-    ranges = (running(counts, [gkey], ["_v"], {"_upto": ("sum", "_c")}, max_rows=max_rows)
-              .withColumn("_from", F.col("_upto") - F.col("_c") + 1))
-    wanted = F.array(*[F.struct(F.lit(name).alias("_p"), F.lit(float(p)).alias("_q"))
-                       for name, p in ps.items()])
-    targets = (sizes.filter(F.col("_n") > 0).select(gkey, "_n", F.explode(wanted).alias("_t"))
-                    .select(gkey, F.col("_t._p").alias("_p"), ((F.col("_n") - 1) * F.col("_t._q")).alias("_h")))
-    ends = targets.select(gkey, "_p", "_h", (F.floor("_h") + 1).cast("long").alias("_lo"),
-                          F.explode(F.array_distinct(F.array((F.floor("_h") + 1).cast("long"),
-                                                             (F.ceil("_h") + 1).cast("long")))).alias("_r"))
-    e, r = ends.alias("e"), ranges.alias("r")
-    hit = e.join(r, (F.col(f"e.{gkey}") == F.col(f"r.{gkey}"))
-                 & (F.col("r._from") <= F.col("e._r")) & (F.col("e._r") <= F.col("r._upto")))
-    hit = hit.select(F.col(f"e.{gkey}").alias(gkey), "e._p", "e._h", "e._lo", "e._r", "r._v")
-    aggs = []
-    for name in ps:
-        mine = F.col("_p") == name
-        aggs += [F.max(F.when(mine & (F.col("_r") == F.col("_lo")), F.col("_v"))).alias(f"_lo_{name}"),
-                 F.max(F.when(mine, F.col("_v"))).alias(f"_hi_{name}"),
-                 F.max(F.when(mine, F.col("_h") - (F.col("_lo") - 1))).alias(f"_f_{name}")]
-    picked = hit.groupBy(gkey).agg(*aggs)
-    out = sizes.join(picked, gkey, "left")
-    vals = [(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in ps]
-    return out.select(*groups, *(extra or {}).keys(), *vals)
+    keys = groups or ["_all"]
+    hist = (df.withColumn("_all", F.lit(0)).groupBy(*keys, F.col(value).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_w", F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)))
+    ranked = running(hist, keys, ["_v"], {"_upto": ("sum", "_w"), "_n": ("total", "_w")}, max_rows=max_rows)
+    picks, values = [], []
+    for name, q in ps.items():
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        for end, rank in (("lo", F.floor(h) + 1), ("hi", F.ceil(h) + 1)):
+            holds = (F.col("_upto") - F.col("_w") < rank) & (rank <= F.col("_upto"))
+            picks.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{end}_{name}"))
+        picks.append(F.max(h - F.floor(h)).alias(f"_f_{name}"))
+        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        values.append((lo + (hi - lo) * F.col(f"_f_{name}")).alias(name))
+    out = ranked.groupBy(*keys).agg(*picks, *[c.alias(n) for n, c in (extra or {}).items()])
+    return out.select(*groups, *(extra or {}).keys(), *values)

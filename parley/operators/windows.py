@@ -1,9 +1,7 @@
 """Window operators (W1-W3): history order, exchange pairs, response delay.
 
-All per-conversation positions come from ``plans.skew.ordinal``, so a single
-huge conversation is split across tasks instead of landing in one. The "next
-message" of W2 is then an equi-join on the unique pair (conversation, ordinal),
-which hash-partitions evenly whatever the conversation sizes.
+Positions and the "next message" of W2 come from ``plans.skew``, one pass each, so a
+single huge conversation is split across tasks instead of landing in one.
 """
 
 from __future__ import annotations
@@ -11,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.plans.skew import ordinal
+from parley.plans.skew import ordinal, running
 from parley.operators.stats import exact_percentiles
 
 
@@ -22,18 +20,16 @@ def message_history(m: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 def exchanges(m: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Each user message with the assistant message directly after it (or nulls)."""
-    h = message_history(m.select("conversation_id", "message_id", "role", "ai_model", "created_at"),
-                        max_rows=max_rows)
-    asks = h.filter(F.col("role") == "user").select(
-        "conversation_id", "ordinal",
-        F.col("message_id").alias("user_message_id"), F.col("created_at").alias("user_at"))
-    replies = h.filter(F.col("role") == "assistant").select(
-        "conversation_id", (F.col("ordinal") - 1).alias("ordinal"),
-        F.col("message_id").alias("reply_message_id"), F.col("created_at").alias("reply_at"),
-        F.col("ai_model").alias("reply_model"))
-    return (asks.join(replies, ["conversation_id", "ordinal"], "left")
-                .select("conversation_id", "user_message_id", "user_at",
-                        "reply_message_id", "reply_at", "reply_model"))
+    after = running(m.select("conversation_id", "message_id", "role", "ai_model", "created_at"),
+                    ["conversation_id"], ["created_at", "message_id"],
+                    {"_next": ("next", F.struct("role", "message_id", "created_at", "ai_model"))}, max_rows=max_rows)
+    reply = F.when(F.col("_next.role") == "assistant", F.col("_next"))
+    return (after.filter(F.col("role") == "user")
+                 .select("conversation_id", F.col("message_id").alias("user_message_id"),
+                         F.col("created_at").alias("user_at"), reply.alias("_reply"))
+                 .select("conversation_id", "user_message_id", "user_at",
+                         F.col("_reply.message_id").alias("reply_message_id"),
+                         F.col("_reply.created_at").alias("reply_at"), F.col("_reply.ai_model").alias("reply_model")))
 
 
 def response_delay(m: DataFrame, max_rows: int | None = None) -> DataFrame:

@@ -4,7 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parley.operators.stats import exact_percentiles
-from parley.plans.skew import ordinal
+from parley.plans import skew
+from parley.plans.skew import ordinal, running
 from parley.sources import fixtures as fx
 from conftest import SF_CHECK, rows
 
@@ -92,3 +93,56 @@ def test_hot_key_with_one_shared_timestamp_is_still_split(spark):
     want = rows(data.select("message_id", F.row_number().over(w).alias("o")))
     got = ordinal(data, ["conversation_id"], ["created_at", "message_id"], out="o", max_rows=50)
     assert rows(got.select("message_id", "o")) == want
+
+
+def _cases(spark):
+    big = 1 << 60
+    return {
+        "null lead": ([(1, None, 1, 5), (1, None, 2, 7), (1, 10, 3, 1), (1, 20, 4, 2), (1, 30, 5, 3)], "k long, t long, id long, v long"),
+        "null and one value": ([(1, None, 2, 5), (1, 9, 1, 7), (1, 9, 3, 1), (1, 9, 4, 2)], "k long, t long, id long, v long"),
+        "above 2^53": ([(1, big + i, 9 - i, i) for i in range(4)], "k long, t long, id long, v long"),
+        "null summands": ([(1, 1, 1, 4), (1, 2, 2, 4), (1, 3, 3, None), (1, 4, 4, None), (1, 5, 5, 5), (2, 1, 6, None)],
+                          "k long, t long, id long, v long"),
+        "null key": ([(None, i, i, i) for i in range(40)] + [(1, 1, 100, 1)], "k long, t long, id long, v long"),
+        "strings": ([("a", f"t{i % 3}", i, i) for i in range(30)], "k string, t string, id long, v long"),
+        "doubles": ([(1, x, i, i) for i, x in enumerate([float("nan"), 0.0, -1.5, None, 2.0, float("inf")])],
+                    "k long, t double, id long, v long"),
+    }
+
+
+def test_slices_never_change_a_result(spark):
+    """Nulls in the lead, in the key and in the summands, large integers, strings, NaN; one, two or three rows a slice."""
+    for name, (data, schema) in _cases(spark).items():
+        df = spark.createDataFrame(data, schema).repartition(3)
+        w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        v = F.col("v")
+        want = rows(df.select("id", F.count(F.lit(1)).over(w), F.sum(v).over(w), F.max(v).over(w), F.min(v).over(w), F.count(v).over(w)))
+        for limit in (1, 2, 3, 1_000_000):
+            got = running(df, ["k"], ["t", "id"], {"n": ("count", F.lit(1)), "s": ("sum", "v"), "hi": ("max", "v"),
+                                                   "lo": ("min", "v"), "c": ("count", "v")}, max_rows=limit)
+            assert rows(got.select("id", "n", "s", "hi", "lo", "c")) == want, (name, limit)
+
+
+def test_three_order_columns(spark):
+    df = spark.createDataFrame([(1, i % 2, i % 3, i) for i in range(50)], "k long, a long, b long, id long")
+    w = Window.partitionBy("k").orderBy("a", "b", "id")
+    want = rows(df.select("id", F.row_number().over(w)))
+    for limit in (1, 4, 1_000_000):
+        assert rows(ordinal(df, ["k"], ["a", "b", "id"], out="o", max_rows=limit).select("id", "o")) == want
+
+
+def test_a_burst_is_cut(spark):
+    """99 % of one key's rows at one instant: no slice holds more than twice the limit."""
+    df = spark.range(10_000).select(F.lit(1).alias("k"), F.when(F.col("id") < 100, F.col("id")).otherwise(5_000).alias("t"), "id")
+    cuts = skew._cuts(df, ["k"], ["t", "id"], 100)
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
+    sliced = df.join(F.broadcast(cuts), F.col("k") == F.col("_k0")).withColumn(
+        "s", skew._slice(F.col("_cuts"), F.struct("t", "id"), most))
+    assert sliced.groupBy("s").count().agg(F.max("count")).first()[0] <= 200
+
+
+def test_history_plan_reads_its_table_once_or_twice(spark):
+    m = _hot_messages(spark)
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    for limit, times in ((1_000_000, 1), (50, 2)):
+        assert scans(ordinal(m, ["conversation_id"], ["created_at", "message_id"], max_rows=limit)) == times * scans(m)
