@@ -43,6 +43,18 @@ def prompt_context_rows(m: DataFrame, max_turns: int | None = None,
                          "role", "content"))
 
 
+def prompt_ranges(m: DataFrame, max_turns: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """A1 (stored form): for every user turn the first and last ordinal of its context.
+
+    One row a turn, whatever the conversation's length; expand a turn by reading the
+    ordinals of ``windows.message_history`` in that range.
+    """
+    h = message_history(m.select("conversation_id", "message_id", "role", "created_at"), max_rows=max_rows)
+    first = F.lit(1) if max_turns is None else F.greatest(F.lit(1), F.col("ordinal") - (max_turns - 1))
+    return h.filter(F.col("role") == "user").select(
+        "conversation_id", "message_id", first.cast("long").alias("first_ordinal"), F.col("ordinal").alias("last_ordinal"))
+
+
 def prompt_context(m: DataFrame, max_turns: int | None = None, max_rows: int | None = None) -> DataFrame:
     """A1: per user turn, the ordered ``array<struct<role, content>>`` sent to the model."""
     rows = prompt_context_rows(m, max_turns, max_rows)
@@ -125,13 +137,12 @@ def usage_daily(m: DataFrame) -> DataFrame:
 def usage_bill(usage: DataFrame, users: DataFrame, prices: DataFrame) -> DataFrame:
     """Per user, tokens times the caller's price per million tokens for (model, tier).
 
-    ``prices`` (model, tier, usd_per_1m) is a price list: a few rows per model,
-    bounded by the catalogue, hence broadcast. Unpriced tokens are counted but
+    ``prices`` (model, tier, usd_per_1m) is the caller's price list; Spark
+    broadcasts it when its size allows. Unpriced tokens are counted but
     not billed. Sums are exact decimals; the amount is ``decimal(18,6)``.
     """
     tiers = users.select(F.col("id").alias("user_id"), F.col("subscription_tier").alias("tier"))
-    priced = F.broadcast(prices.select(F.col("model").alias("ai_model"), "tier",
-                                       F.col("usd_per_1m").cast("decimal(18,6)").alias("_p")))
+    priced = prices.select(F.col("model").alias("ai_model"), "tier", F.col("usd_per_1m").cast("decimal(18,6)").alias("_p"))
     u = usage.join(tiers, "user_id", "left").join(priced, ["ai_model", "tier"], "left")
     micro = F.col("tokens").cast("decimal(18,0)") * F.col("_p")
     per_token = F.lit(0.000001).cast("decimal(18,6)")
@@ -171,7 +182,7 @@ def latency_stats(r: DataFrame, limit_ms: float = K.LATENCY_TARGET_MS, by: Seque
     if approx:
         counts = {"requests": F.count(ms),
                   "mean_ms": F.round(F.avg(ms), 6),
-                  "share_under_limit": F.round(F.count_if(ms < F.lit(limit_ms)) / F.count(ms), 6)}
+                  "share_under_limit": F.round(F.try_divide(F.count_if(ms < F.lit(limit_ms)), F.count(ms)), 6)}
         out = r.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()],
                                  *[F.percentile_approx(ms, p, 10000).alias(n) for n, p in ps.items()])
     else:
@@ -179,7 +190,7 @@ def latency_stats(r: DataFrame, limit_ms: float = K.LATENCY_TARGET_MS, by: Seque
         v, c = F.col("_v"), F.col("_c")
         seen = F.sum(F.when(v.isNotNull(), c).otherwise(0))
         counts = {"requests": seen,
-                  "mean_ms": F.round(F.sum(v * c) / seen, 6),
-                  "share_under_limit": F.round(F.sum(F.when(v < F.lit(limit_ms), c).otherwise(0)) / seen, 6)}
+                  "mean_ms": F.round(F.try_divide(F.sum(v * c), seen), 6),
+                  "share_under_limit": F.round(F.try_divide(F.sum(F.when(v < F.lit(limit_ms), c).otherwise(0)), seen), 6)}
         out = exact_percentiles(r, by, "response_ms", ps, max_rows=max_rows, extra=counts)
     return out.select(*by, *counts, *[F.round(F.col(n), 6).alias(n) for n in ps])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from parley import catalog as K
 from parley.operators.aggregates import title_open
 from parley.functions.scalars import title_of
-from parley.operators.validation import apply_defaults, check
+from parley.operators.validation import apply_defaults, check, email_rule, enum_rule, length_rule
 from parley.schemas import CONVERSATIONS, USERS
 
 PATCHABLE = ["name", "email", "default_model", "preferences", "provider", "provider_id"]
@@ -69,8 +69,11 @@ def patch_users(u: DataFrame, patches: DataFrame, as_of) -> tuple[DataFrame, Dat
     ``patches`` has patch_id, user_id, ts, ``fields`` (names being set) and one
     column per field. Listed fields are written (an explicit null included),
     absent ones kept, ``preferences`` replaced whole. Refused: fields outside
-    the patchable set (password, tier, active flag...), unknown users, an email
-    held by another user. Of the accepted patches the latest per user wins (ours).
+    the patchable set (password, tier, active flag...), unknown users, values
+    that break the user rules (email form, name and email never null, provider one
+    of the known ones), an email held by another user, and an email that an
+    earlier acceptable patch of the batch claims for another user (ours: first
+    by time, then patch_id). Of the accepted patches the latest per user wins (ours).
     Returns (next users snapshot, rejected patches with ``reasons``).
     """
     owners = u.select(F.col("id").alias("_owner"), F.col("email").alias("_email"))
@@ -81,11 +84,22 @@ def patch_users(u: DataFrame, patches: DataFrame, as_of) -> tuple[DataFrame, Dat
     forbidden = F.exists("fields", lambda f: ~F.array_contains(allowed, f))
     taken = (F.array_contains("fields", "email") & F.col("_owner").isNotNull()
              & (F.col("_owner") != F.col("user_id")))
-    reasons = F.array_compact(F.array(
-        F.when(forbidden, F.lit("field not patchable")),
-        F.when(F.col("_known").isNull(), F.lit("user not found")),
-        F.when(taken, F.lit("email taken"))))
-    p = p.withColumn("reasons", reasons).drop("_known", "_owner", "_email")
+    reasons = [F.when(forbidden, F.lit("field not patchable")), F.when(F.col("_known").isNull(), F.lit("user not found"))]
+    # the rules of the user record, each for patches that list its field
+    for field, rule in (("email", email_rule()), ("name", length_rule("name", None, None)),
+                        ("provider", enum_rule("provider", K.AUTH_PROVIDERS, optional=True))):
+        if field in patches.columns:
+            reasons += [F.when(F.array_contains("fields", field) & F.coalesce(bad, F.lit(False)), F.lit(reason))
+                        for reason, bad in rule]
+    reasons.append(F.when(taken, F.lit("email taken")))
+    p = p.withColumn("reasons", F.array_compact(F.array(*reasons))).drop("_known", "_owner", "_email")
+    # of the patches that are otherwise fine, the first one claims its email for its user
+    claims = (p.filter((F.size("reasons") == 0) & F.array_contains("fields", "email")).groupBy(F.col("email").alias("_email"))
+               .agg(F.min_by("user_id", F.struct("ts", "patch_id")).alias("_claimer")))
+    p = p.join(claims, p["email"] == claims["_email"], "left")
+    repeated = F.array_contains("fields", "email") & (F.size("reasons") == 0) & (F.col("_claimer") != F.col("user_id"))
+    p = p.withColumn("reasons", F.when(repeated, F.array(F.lit("email repeated in batch"))).otherwise(F.col("reasons"))
+                     ).drop("_email", "_claimer")
     accepted = p.filter(F.size("reasons") == 0)
     rejected = p.filter(F.size("reasons") > 0).select("patch_id", "user_id", "reasons")
 

@@ -8,6 +8,8 @@ catalogue and for tables whose size is bounded by construction.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,9 @@ def visible_messages(m: DataFrame, c: DataFrame, user_id=None) -> DataFrame:
     owners = c.select("conversation_id", F.col("user_id").alias("owner_id"))
     if user_id is not None:
         owners = owners.filter(F.col("owner_id") == F.lit(user_id))
-    return (m.join(owners, "conversation_id", "inner")
-             .orderBy("owner_id", "created_at", "message_id"))
+    out = m.join(owners, "conversation_id", "inner")
+    # one owner's messages in time order; for all owners the order is the reader's choice
+    return out if user_id is None else out.orderBy("created_at", "message_id")
 
 
 def orphan_messages(m: DataFrame, c: DataFrame) -> DataFrame:
@@ -62,28 +65,33 @@ def known_requests(r: DataFrame, u: DataFrame) -> tuple[DataFrame, DataFrame]:
     return r.join(ids, "user_id", "left_semi"), r.join(ids, "user_id", "left_anti")
 
 
-def valid_token_requests(r: DataFrame, ttl_seconds: int = K.TOKEN_TTL_SECONDS,
-                         max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(calls inside some login's token life, calls outside every one).
+def valid_token_requests(r: DataFrame, ttl_seconds: int = K.TOKEN_TTL_SECONDS, max_rows: int | None = None,
+                         issuing: Sequence[str] = ("login",)) -> tuple[DataFrame, DataFrame]:
+    """(calls inside some token's life, all other calls).
 
-    A call at ``ts`` is valid when a login of the same user has
-    ``login_ts <= ts < login_ts + ttl``. The latest login at or before the call
-    decides (an earlier one expires no later), so this is an as-of lookup: a
-    running ``max`` of login times per user in time order, logins sorted before
-    calls at the same instant. The skew-safe ``running`` splits a hot user, and
-    no login/call pairs are ever formed.
+    A call at ``ts`` is valid when a request of an ``issuing`` kind (login, and
+    registration where the log has it) of the same user has ``issued <= ts < issued
+    + ttl``. The latest one at or before the call decides (an earlier one expires no
+    later), so this is an as-of lookup: a running ``max`` of issue times per user in
+    time order, issues sorted before calls at the same instant. The skew-safe
+    ``running`` splits a hot user, and no pairs are ever formed. A call without a
+    user or a time is never valid; every call is in exactly one half.
     """
-    is_login = F.col("kind") == "login"
-    marked = (r.filter(F.col("kind").isin("login", "call"))
-               .withColumn("_login_ts", F.when(is_login, F.col("ts")))
-               .withColumn("_rank", F.when(is_login, F.lit(0)).otherwise(F.lit(1))))
-    latest = running(marked, ["user_id"], ["ts", "_rank", "request_id"],
-                     {"_last_login": ("max", "_login_ts")}, max_rows=max_rows)
+    is_issue = F.col("kind").isin(*issuing)
+    marked = (r.filter(F.col("kind").isin("call", *issuing))
+               .withColumn("_issued", F.when(is_issue, F.col("ts")))
+               .withColumn("_rank", F.when(is_issue, F.lit(0)).otherwise(F.lit(1))))
+    latest = running(marked, ["user_id"], ["ts", "_rank", "request_id"], {"_last": ("max", "_issued")}, max_rows=max_rows)
     life = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl_seconds).cast("decimal(18,6)"))
-    calls = latest.filter(~is_login)
-    ok = F.col("_last_login").isNotNull() & (F.col("ts") < F.col("_last_login") + life)
-    cols = r.columns
-    return calls.filter(ok).select(*cols), calls.filter(~ok).select(*cols)
+    calls = latest.filter(F.col("kind") == "call")
+    ok = F.coalesce(F.col("user_id").isNotNull() & (F.col("ts") < F.col("_last") + life), F.lit(False))
+    return calls.filter(ok).select(*r.columns), calls.filter(~ok).select(*r.columns)
+
+
+def login_attempts(logins: DataFrame, u: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """J4's counterpart: (logins whose email, exact and case-sensitive, belongs to a user; the unknown ones)."""
+    emails = u.select("email")
+    return logins.join(emails, "email", "left_semi"), logins.join(emails, "email", "left_anti")
 
 
 def effective_tier(as_of) -> F.Column:
@@ -96,7 +104,7 @@ def effective_tier(as_of) -> F.Column:
 
 def entitlement_violations(c: DataFrame, u: DataFrame, models: DataFrame, as_of) -> DataFrame:
     """Conversations on a premium model whose owner is (effectively) free."""
-    premium = F.broadcast(models.filter(F.col("premium")).select(F.col("model").alias("ai_model")))
+    premium = models.filter(F.col("premium")).select(F.col("model").alias("ai_model"))
     on_premium = c.join(premium, "ai_model", "left_semi")
     owners = u.select(F.col("id").alias("user_id"), "subscription_tier", "subscription_expires_at")
     return (on_premium.join(owners, "user_id", "inner")
@@ -108,7 +116,7 @@ def entitlement_violations(c: DataFrame, u: DataFrame, models: DataFrame, as_of)
 
 def with_catalogue(df: DataFrame, models: DataFrame, model_col: str = "ai_model") -> DataFrame:
     """Routing provider, listing status and premium flag of each row's model."""
-    cat = F.broadcast(models.select(F.col("model").alias("_model"), F.col("premium").alias("_premium")))
+    cat = models.select(F.col("model").alias("_model"), F.col("premium").alias("_premium"))
     out = df.join(cat, df[model_col] == cat["_model"], "left")
     return (out.withColumn("provider", provider_of(F.col(model_col)))
                .withColumn("listed", F.col("_model").isNotNull())

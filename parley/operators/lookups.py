@@ -17,12 +17,12 @@ PUBLIC_PROFILE = ["id", "email", "name", "subscription_tier", "default_model", "
 
 
 def _keys(df: DataFrame, keys, columns: Sequence[str]) -> DataFrame:
-    """Keys as a DataFrame; literal lists are small by construction and broadcast."""
+    """Keys as a DataFrame (Spark broadcasts it when its size allows)."""
     if isinstance(keys, DataFrame):
         return keys.select(*columns)
     rows = [k if isinstance(k, (tuple, list)) else (k,) for k in keys]
     schema = df.select(*columns).schema
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def public_profile(u: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def search_messages(m: DataFrame, text: str | None = None, role: str | None = No
 def retention(m: DataFrame, days: int, as_of) -> tuple[DataFrame, DataFrame]:
     """(keep, drop) where drop = rows created before ``as_of - days``."""
     cutoff = _ts(as_of) - F.make_dt_interval(F.lit(days), F.lit(0), F.lit(0), F.lit(0))
-    old = F.col("created_at") < cutoff
+    old = F.coalesce(F.col("created_at") < cutoff, F.lit(False))   # a row without a time is kept
     return m.filter(~old), m.filter(old)
 
 

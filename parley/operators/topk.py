@@ -9,10 +9,12 @@ from parley import catalog as K
 from parley.schemas import CAMEL_TO_SNAKE
 
 
-def _clamp(page: int | None, limit: int | None) -> tuple[int, int]:
+def _page(page: int | None, limit: int | None) -> tuple[int, int]:
     page = K.PAGE_DEFAULT if page is None or page < 1 else int(page)
     limit = K.PAGE_LIMIT_DEFAULT if limit is None else int(limit)
-    return page, max(1, min(limit, K.PAGE_LIMIT_MAX))
+    if not 1 <= limit <= K.PAGE_LIMIT_MAX:
+        raise ValueError(f"limit must be between 1 and {K.PAGE_LIMIT_MAX}")
+    return page, limit
 
 
 def _order(sort: str, order: str, key: str) -> list[Column]:
@@ -20,7 +22,7 @@ def _order(sort: str, order: str, key: str) -> list[Column]:
         raise ValueError("order must be 'asc' or 'desc'")
     if order == "desc":
         return [F.col(sort).desc_nulls_last(), F.col(key).desc()]
-    return [F.col(sort).asc_nulls_last(), F.col(key).asc()]
+    return [F.col(sort).asc_nulls_first(), F.col(key).asc()]   # the store sorts missing values lowest
 
 
 def paginate(df: DataFrame, page: int = 1, limit: int = 20, sort: str = "created_at",
@@ -31,9 +33,9 @@ def paginate(df: DataFrame, page: int = 1, limit: int = 20, sort: str = "created
     a top-(offset+limit) (``TakeOrderedAndProject``): each task keeps only that
     many rows. For deep pages pass ``after=(sort_value, key_value)`` of the
     last row seen: a keyset cursor that filters instead of skipping.
-    Over-limit values are clamped to 1..100, pages below 1 become 1.
+    A limit outside 1..100 is an error; pages below 1 become 1.
     """
-    page, limit = _clamp(page, limit)
+    page, limit = _page(page, limit)
     sort = CAMEL_TO_SNAKE.get(sort) or sort        # the documented API spells it createdAt
     total = df.select(F.count(F.lit(1))).scalar()
     rows = df
@@ -42,9 +44,13 @@ def paginate(df: DataFrame, page: int = 1, limit: int = 20, sort: str = "created
         sort_v, key_v = after
         s, k = F.col(sort), F.col(key)
         if order == "desc":
-            cond = (s < F.lit(sort_v)) | ((s == F.lit(sort_v)) & (k < F.lit(key_v))) | s.isNull()
+            # missing values come last, among themselves by key
+            cond = (s.isNull() & (k < F.lit(key_v))) if sort_v is None else (
+                (s < F.lit(sort_v)) | ((s == F.lit(sort_v)) & (k < F.lit(key_v))) | s.isNull())
         else:
-            cond = (s > F.lit(sort_v)) | ((s == F.lit(sort_v)) & (k > F.lit(key_v))) | s.isNull()
+            # missing values come first
+            cond = ((s.isNull() & (k > F.lit(key_v))) | s.isNotNull()) if sort_v is None else (
+                (s > F.lit(sort_v)) | ((s == F.lit(sort_v)) & (k > F.lit(key_v))))
         rows, offset = rows.filter(cond), 0
     ordered = rows.orderBy(*_order(sort, order, key))
     if offset:

@@ -17,12 +17,12 @@ from parley import catalog as K
 from parley.functions.scalars import trimmed
 
 # Email form: something@something.tld, no spaces (ours; the DTOs use a library check).
-EMAIL_PATTERN = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
+EMAIL_PATTERN = r"\A[^\s@]+@[^\s@]+\.[^\s@]+\z"
 
 Rule = tuple[str, Column]  # (reason, condition that marks the row as FAILING)
 
 
-def _length_rule(col: str, lo: int | None, hi: int | None) -> list[Rule]:
+def length_rule(col: str, lo: int | None, hi: int | None) -> list[Rule]:
     c = F.col(col)
     rules: list[Rule] = [(f"{col} missing", c.isNull())]
     if lo is not None:
@@ -32,12 +32,12 @@ def _length_rule(col: str, lo: int | None, hi: int | None) -> list[Rule]:
     return rules
 
 
-def _email_rule(col: str = "email") -> list[Rule]:
+def email_rule(col: str = "email") -> list[Rule]:
     c = F.col(col)
     return [(f"{col} missing", c.isNull()), (f"{col} malformed", ~c.rlike(EMAIL_PATTERN))]
 
 
-def _enum_rule(col: str, allowed: Sequence[str], optional: bool = False) -> list[Rule]:
+def enum_rule(col: str, allowed: Sequence[str], optional: bool = False) -> list[Rule]:
     c = F.col(col)
     bad = ~c.isin(*allowed)
     return [(f"{col} not one of {','.join(allowed)}", bad if optional else (bad | c.isNull()))]
@@ -46,16 +46,16 @@ def _enum_rule(col: str, allowed: Sequence[str], optional: bool = False) -> list
 def rule_set(name: str) -> list[Rule]:
     """Named rule sets of the product's request bodies and stored documents."""
     if name == "registration":
-        return (_length_rule("name", K.NAME_MIN, K.NAME_MAX) + _email_rule()
-                + _length_rule("password", K.PASSWORD_MIN, K.PASSWORD_MAX))
+        return (length_rule("name", K.NAME_MIN, K.NAME_MAX) + email_rule()
+                + length_rule("password", K.PASSWORD_MIN, K.PASSWORD_MAX))
     if name == "login":
-        return _email_rule() + _length_rule("password", K.LOGIN_PASSWORD_MIN, None)
+        return email_rule() + length_rule("password", K.LOGIN_PASSWORD_MIN, None)
     if name == "create_user":
-        return _email_rule() + _length_rule("name", None, None) + _enum_rule("provider", K.AUTH_PROVIDERS)
+        return email_rule() + length_rule("name", None, None) + enum_rule("provider", K.AUTH_PROVIDERS)
     if name == "conversation":
-        return _length_rule("title", None, None)
+        return length_rule("title", None, None)
     if name == "message":
-        return (_length_rule("content", 1, None) + _enum_rule("role", K.MESSAGE_ROLES)
+        return (length_rule("content", 1, None) + enum_rule("role", K.MESSAGE_ROLES)
                 + [("conversation_id missing", F.col("conversation_id").isNull()),
                    ("user_id missing", F.col("user_id").isNull())])
     raise ValueError(f"unknown rule set {name!r}")

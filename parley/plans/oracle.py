@@ -7,10 +7,16 @@ entry are approximate (``*_approx``): the driver checks their row count only.
 
 from __future__ import annotations
 
+from parley import catalog as K
 from parley.plans import registry as Q
 from parley.plans.oracle_views import with_views
 
-_MODELS_LISTED = "('gpt-4','gpt-3.5-turbo','claude-3-sonnet','claude-3-haiku','mistral-7b-instruct','mistral-medium')"
+_MODELS_LISTED = "(" + ",".join(f"'{m}'" for m in K.AVAILABLE_MODELS) + ")"
+
+
+def _outcome(x: str) -> str:
+    return (f"CASE {x} " + " ".join(f"WHEN '{text}' THEN '{kind}'" for text, kind in K.OUTCOME_TEXTS)
+            + f" ELSE '{K.OUTCOME_OK}' END")
 
 
 def _ts(v: str) -> str:
@@ -116,12 +122,20 @@ def _patch_sql(rejected: bool) -> str:
     ctes = f"""u AS ({_USERS_N}),
  p AS (SELECT pp.*, u1.id IS NOT NULL AS known, u2.id AS owner FROM profile_patches pp
        LEFT JOIN u u1 ON u1.id = pp.user_id LEFT JOIN u u2 ON u2.email = pp.email),
- r AS (SELECT *, concat_ws(';',
+ q AS (SELECT *, concat_ws(';',
          CASE WHEN len(list_filter(fields, lambda f: f NOT IN ('name','email','default_model','preferences','provider','provider_id'))) > 0
               THEN 'field not patchable' END,
          CASE WHEN NOT known THEN 'user not found' END,
-         CASE WHEN list_contains(fields,'email') AND owner IS NOT NULL AND owner <> user_id THEN 'email taken' END) AS reasons
+         CASE WHEN list_contains(fields,'email') AND email IS NULL THEN 'email missing' END,
+         CASE WHEN list_contains(fields,'email') AND NOT regexp_matches(email, '^[^\\s@]+@[^\\s@]+\\.[^\\s@]+$') THEN 'email malformed' END,
+         CASE WHEN list_contains(fields,'name') AND name IS NULL THEN 'name missing' END,
+         CASE WHEN list_contains(fields,'email') AND owner IS NOT NULL AND owner <> user_id THEN 'email taken' END) AS first_reasons
        FROM p),
+ claim AS (SELECT email, user_id AS claimer FROM (SELECT email, user_id, row_number() OVER (PARTITION BY email ORDER BY ts, patch_id) AS rn
+       FROM q WHERE first_reasons = '' AND list_contains(fields,'email')) t WHERE rn = 1),
+ r AS (SELECT q.*, CASE WHEN first_reasons = '' AND list_contains(fields,'email')
+                             AND EXISTS (SELECT 1 FROM claim WHERE claim.email = q.email AND claimer <> q.user_id)
+                        THEN 'email repeated in batch' ELSE first_reasons END AS reasons FROM q),
  l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, patch_id DESC) AS rn
        FROM r WHERE reasons = '') t WHERE rn = 1)"""
     if rejected:
@@ -165,8 +179,16 @@ ORACLE: dict[str, str] = {
         ORDER BY created_at, message_id) AS msgs FROM messages GROUP BY conversation_id)""",
         """SELECT c.conversation_id, CAST(0 AS BIGINT) AS part, CAST(to_json({'id': c.conversation_id, 'title': c.title, 'model': c.ai_model,
    'messages': COALESCE(ms.msgs, [])}) AS VARCHAR) AS json
+ FROM chats c LEFT JOIN ms USING (conversation_id)""", "messages", "chats"),
+    "export_conversations_parts": _with(f"""ms AS (SELECT conversation_id, part,
+   list({{'role': role, 'content': content, 'timestamp': strftime(created_at, '%Y-%m-%dT%H:%M:%S.%g')}}
+        ORDER BY created_at, message_id) AS msgs FROM (SELECT *, (row_number() OVER (PARTITION BY conversation_id
+          ORDER BY created_at, message_id) - 1) // {Q.EXPORT_PART} AS part FROM messages) GROUP BY conversation_id, part)""",
+        """SELECT c.conversation_id, CAST(COALESCE(part, 0) AS BIGINT) AS part, CAST(to_json({'id': c.conversation_id, 'title': c.title, 'model': c.ai_model,
+   'messages': COALESCE(ms.msgs, [])}) AS VARCHAR) AS json
  FROM chats c LEFT JOIN ms USING (conversation_id)""", "messages", "chats"),
     # 2.2
+    "active_conversations_of_user": with_views(f"SELECT * FROM chats WHERE is_active AND user_id = {Q.ONE_USER}", "chats"),
     "public_profile": with_views("SELECT id, email, name, subscription_tier, default_model, preferences, created_at FROM users", "users"),
     "lookup_users": with_views("SELECT * FROM users WHERE id IN (SELECT user_id FROM requests)", "users", "requests"),
     "lookup_users_by_email": with_views("SELECT * FROM users WHERE email IN (SELECT email FROM registrations)",
@@ -200,12 +222,7 @@ ORACLE: dict[str, str] = {
     "title_of": with_views(f"SELECT message_id, {_title('content')} AS title FROM messages WHERE role='user'", "messages"),
     "effective_model": with_views(f"SELECT conversation_id, ai_model, {_effective('ai_model')} AS effective_model FROM chats", "chats"),
     "provider_of": with_views(f"SELECT conversation_id, ai_model, {_provider('ai_model')} AS provider FROM chats", "chats"),
-    "outcome_of": with_views("""SELECT message_id, CASE content
-  WHEN 'I apologize, but I encountered an error processing your request. Please try again.' THEN 'error'
-  WHEN 'OpenAI is not configured. Please check your API key.' THEN 'unconfigured'
-  WHEN 'Claude integration is not yet implemented. This is a mock response from Claude.' THEN 'mock'
-  WHEN 'Mistral AI integration is not yet implemented. This is a mock response from Mistral.' THEN 'mock'
-  WHEN 'No response generated.' THEN 'empty' ELSE 'ok' END AS outcome FROM responses""", "responses"),
+    "outcome_of": with_views(f"""SELECT message_id, {_outcome('content')} AS outcome FROM responses""", "responses"),
     "relative_age": with_views(f"""SELECT message_id, CASE
   WHEN s >= 86400 THEN CAST(s // 86400 AS VARCHAR) || 'd ago'
   WHEN s >= 3600 THEN CAST(s // 3600 AS VARCHAR) || 'h ago'
@@ -215,6 +232,16 @@ ORACLE: dict[str, str] = {
     "preference": with_views("""SELECT id, json_extract_string(preferences, '$.theme') AS theme,
   TRY_CAST(json_extract(preferences, '$.notifications') AS BOOLEAN) AS notifications FROM users""", "users"),
     # 2.4
+    "conform": with_views("""SELECT message_id, CAST(NULL AS BIGINT) AS conversation_id,
+  CASE WHEN user_id % 5 <> 0 THEN user_id END AS user_id, role, content, CAST(NULL AS VARCHAR) AS ai_model, created_at, token_count
+ FROM messages""", "messages"),
+    "visible_messages_of_user": with_views(f"""SELECT m.*, c.user_id AS owner_id FROM messages m JOIN chats c USING (conversation_id)
+ WHERE c.user_id = {Q.ONE_USER}""", "messages", "chats"),
+    "known_logins": with_views("SELECT reg_id, email, ts FROM registrations WHERE email IN (SELECT email FROM users)", "registrations", "users"),
+    "unknown_logins": with_views("SELECT reg_id, email, ts FROM registrations WHERE email NOT IN (SELECT email FROM users)", "registrations", "users"),
+    "valid_token_requests_registered": _with("""k AS (SELECT * REPLACE (CASE WHEN kind = 'call' AND request_id % 17 = 0
+   THEN 'register' ELSE kind END AS kind) FROM requests)""", """SELECT * FROM k c WHERE kind = 'call' AND EXISTS (SELECT 1 FROM k l
+ WHERE l.kind IN ('login', 'register') AND l.user_id = c.user_id AND l.ts <= c.ts AND c.ts < l.ts + INTERVAL 7 DAY)""", "requests"),
     "visible_messages": with_views("SELECT m.*, c.user_id AS owner_id FROM messages m JOIN chats c USING (conversation_id)", "messages", "chats"),
     "orphan_messages": with_views("""SELECT * FROM messages m WHERE NOT EXISTS (SELECT 1 FROM chats c
  WHERE c.conversation_id = m.conversation_id AND c.user_id = m.user_id)""", "messages", "chats"),
@@ -250,6 +277,8 @@ ORACLE: dict[str, str] = {
   c.role, c.content
  FROM h t JOIN h c ON c.conversation_id = t.conversation_id AND c.n <= t.n AND c.n >= greatest(1, t.n - {Q.PROMPT_TURNS - 1})
  WHERE t.role = 'user'""", "messages"),
+    "prompt_ranges": _with(_HISTORY, f"""SELECT conversation_id, message_id, greatest(1, n - {Q.PROMPT_TURNS - 1}) AS first_ordinal,
+  n AS last_ordinal FROM h WHERE role = 'user'""", "messages"),
     "derive_titles": _with(f"""ft AS (SELECT conversation_id, {_title('content')} AS cand FROM (
    SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY created_at, message_id) AS rn
    FROM messages WHERE role='user' AND content <> 'New Conversation' AND content <> '') t WHERE rn = 1)""",
@@ -261,12 +290,7 @@ ORACLE: dict[str, str] = {
     "last_preview": with_views("""SELECT conversation_id, content AS last_message, role AS last_role, created_at AS last_message_at FROM (
   SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY created_at DESC, message_id DESC) AS rn FROM messages) t
  WHERE rn = 1""", "messages"),
-    "outcome_rates": _with(f"""o AS (SELECT {_effective('ai_model')} AS model, CASE content
-  WHEN 'I apologize, but I encountered an error processing your request. Please try again.' THEN 'error'
-  WHEN 'OpenAI is not configured. Please check your API key.' THEN 'unconfigured'
-  WHEN 'Claude integration is not yet implemented. This is a mock response from Claude.' THEN 'mock'
-  WHEN 'Mistral AI integration is not yet implemented. This is a mock response from Mistral.' THEN 'mock'
-  WHEN 'No response generated.' THEN 'empty' ELSE 'ok' END AS oc FROM responses)""",
+    "outcome_rates": _with(f"""o AS (SELECT {_effective('ai_model')} AS model, {_outcome('content')} AS oc FROM responses)""",
         f"""SELECT model, {_provider('model')} AS provider, count(*) AS replies,
   count(*) FILTER (WHERE oc='error') AS error, count(*) FILTER (WHERE oc='unconfigured') AS unconfigured,
   count(*) FILTER (WHERE oc='mock') AS mock, count(*) FILTER (WHERE oc='empty') AS empty,
@@ -308,6 +332,11 @@ ORACLE: dict[str, str] = {
     "paginate_page2": _with("a AS (SELECT * FROM chats WHERE is_active)", """SELECT *, 2 AS page, 20 AS "limit",
   (SELECT count(*) FROM a) AS total, CAST(ceil((SELECT count(*) FROM a) / 20) AS BIGINT) AS pages
  FROM a ORDER BY created_at DESC, conversation_id DESC LIMIT 20 OFFSET 20""", "chats"),
+    "paginate_cursor": _with("a AS (SELECT * FROM chats WHERE is_active)", f"""SELECT *, 1 AS page, 20 AS "limit",
+  (SELECT count(*) FROM a) AS total, CAST(ceil((SELECT count(*) FROM a) / 20) AS BIGINT) AS pages
+ FROM a WHERE last_message_at IS NULL OR last_message_at < {_ts(Q.CURSOR_AT)}
+   OR (last_message_at = {_ts(Q.CURSOR_AT)} AND conversation_id < {Q.CURSOR_ID})
+ ORDER BY last_message_at DESC NULLS LAST, conversation_id DESC LIMIT 20""", "chats"),
     "recent_conversations": with_views(f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id
   ORDER BY last_message_at DESC NULLS LAST, conversation_id) AS rank FROM chats) t WHERE rank <= {Q.RECENT_K}""", "chats"),
     # 2.10
@@ -323,6 +352,13 @@ ORACLE: dict[str, str] = {
  UNION ALL SELECT conversation_id, user_id, title, COALESCE(ai_model, 'gpt-3.5-turbo') AS ai_model, '{{}}' AS metadata,
   true AS is_active, created_at, CAST(NULL AS TIMESTAMP) AS last_message_at, created_at AS updated_at
  FROM conversation_requests WHERE title IS NOT NULL""", "chats", "conversation_requests"),
+    "create_conversations_rejected": with_views(
+        "SELECT conversation_id, user_id, 'title missing' AS reasons FROM conversation_requests WHERE title IS NULL", "conversation_requests"),
+    "conversation_updates": with_views("""SELECT conversation_id, first_content, first_message_id, last_reply_at
+ FROM (SELECT conversation_id, max(CASE WHEN role = 'assistant' THEN created_at END) AS last_reply_at FROM messages GROUP BY 1) a
+ LEFT JOIN (SELECT conversation_id, content AS first_content, message_id AS first_message_id FROM (
+   SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY created_at, message_id) AS rn
+   FROM messages WHERE role = 'user' AND content <> 'New Conversation' AND content <> '') t WHERE rn = 1) b USING (conversation_id)""", "messages"),
     "soft_delete": _with(f"""c AS ({_CHATS_N}),
  k AS (SELECT DISTINCT conversation_id, user_id FROM delete_requests)""",
         f"""SELECT c.conversation_id, c.user_id, c.title, c.ai_model, c.metadata,
@@ -348,6 +384,9 @@ ORACLE: dict[str, str] = {
     "room_member_counts": with_views("SELECT conversation_id, count(*) AS members FROM ("
                                      + _latest("('join','leave')", "join") + ") t GROUP BY 1", "room_events"),
     "typing_now": with_views(_latest("('typing_on','typing_off')", "typing_on"), "room_events"),
+    "fan_out_step": _with(_INTERVALS, "SELECT event_id, conversation_id, sender_id, recipient_id, ts FROM ("
+                          + _deliveries("('message')", False) + f") d WHERE ts >= {_ts(Q.STEP_AT)}", "room_events"),
+    "fan_out_step_members": with_views(_latest("('join','leave')", "join"), "room_events"),
     "rate_limit": with_views(f"""SELECT client_ip, window_start, window_start + INTERVAL 1 HOUR AS reset_at, requests,
   greatest({Q.RATE['limit']} - requests, 0) AS remaining, requests > {Q.RATE['limit']} AS limited
  FROM (SELECT client_ip, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests

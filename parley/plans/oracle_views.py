@@ -7,7 +7,10 @@ query starts with a WITH clause built by ``with_views``. The texts mirror
 
 from __future__ import annotations
 
-_MODELS = "['gpt-4','gpt-3.5-turbo','claude-3-sonnet','claude-3-haiku','mistral-7b-instruct','mistral-medium','llama-2',NULL]"
+from parley import catalog as K
+
+_MODELS = "[" + ",".join(f"'{m}'" for m in K.AVAILABLE_MODELS) + ",'llama-2',NULL]"
+_REPLIES = " ".join(f"WHEN {i} THEN '{text}'" for i, (text, _) in enumerate(K.OUTCOME_TEXTS))
 _T0 = "TIMESTAMP '2024-01-01 00:00:00'"
 
 
@@ -45,13 +48,8 @@ VIEW_SQL = {
    WHEN 'purchase' THEN 'typing_off' ELSE 'message' END AS kind, ts FROM events""",
     "requests": """SELECT event_id AS request_id, user_id%50 AS client_ip, user_id,
  CASE event_type WHEN 'signup' THEN 'login' ELSE 'call' END AS kind, ts, value AS response_ms FROM events""",
-    "responses": """SELECT message_id, conversation_id, user_id, ai_model, created_at,
- CASE conversation_id%10
-   WHEN 0 THEN 'I apologize, but I encountered an error processing your request. Please try again.'
-   WHEN 1 THEN 'OpenAI is not configured. Please check your API key.'
-   WHEN 2 THEN 'Claude integration is not yet implemented. This is a mock response from Claude.'
-   WHEN 3 THEN 'Mistral AI integration is not yet implemented. This is a mock response from Mistral.'
-   WHEN 4 THEN 'No response generated.'
+    "responses": f"""SELECT message_id, conversation_id, user_id, ai_model, created_at,
+ CASE conversation_id%10 {_REPLIES}
    ELSE content END AS content
  FROM messages WHERE role='assistant'""",
     "registrations": f"""SELECT 10000000+event_id AS reg_id,
@@ -65,8 +63,10 @@ VIEW_SQL = {
     "profile_patches": f"""SELECT event_id AS patch_id, user_id,
  CASE event_id%6 WHEN 0 THEN ['name'] WHEN 1 THEN ['default_model'] WHEN 2 THEN ['preferences']
    WHEN 3 THEN ['name','email'] WHEN 4 THEN ['password'] ELSE ['default_model','preferences'] END AS fields,
- concat('Renamed ', CAST(event_id AS VARCHAR)) AS name,
+ CASE WHEN event_id%18<>0 THEN concat('Renamed ', CAST(event_id AS VARCHAR)) END AS name,
  CASE WHEN event_id%12=3 THEN {_EXISTING.format(u='user_id+1')}
+   WHEN event_id%36=9 THEN concat('same', CAST(user_id%7 AS VARCHAR), '@example.com')
+   WHEN event_id%36=21 THEN 'not-an-email' WHEN event_id%72=33 THEN NULL
    ELSE concat('moved', CAST(event_id AS VARCHAR), '@example.com') END AS email,
  CASE WHEN event_id%4=1 THEN NULL ELSE 'gpt-4' END AS default_model,
  CASE WHEN event_id%4=0 THEN '{{"theme":"dark","notifications":{{"email":true,"push":false}}}}'
@@ -76,7 +76,7 @@ VIEW_SQL = {
     "user_deletions": """SELECT CASE WHEN event_id%3=0 THEN user_id+1000000 ELSE user_id END AS id, ts
  FROM events WHERE event_type='purchase'""",
     "conversation_requests": """SELECT 1000000+event_id AS conversation_id, user_id,
- concat('Chat ', CAST(event_id AS VARCHAR)) AS title,
+ CASE WHEN event_id%10<>0 THEN concat('Chat ', CAST(event_id AS VARCHAR)) END AS title,
  CASE event_id%3 WHEN 0 THEN NULL WHEN 1 THEN 'claude-3-haiku' ELSE 'gpt-4' END AS ai_model,
  ts AS created_at FROM events WHERE event_type='view'""",
     "delete_requests": """SELECT event_id%120 AS conversation_id, user_id%37 AS user_id, ts

@@ -21,6 +21,7 @@ from parley.operators import rooms as R
 from parley.operators import topk as T
 from parley.operators import validation as V
 from parley.operators import windows as W
+from parley.schemas import MESSAGES
 from parley.sources import fixtures as fx
 from parley.sources import tables as S
 
@@ -34,6 +35,10 @@ CHANGE_AS_OF = "2024-02-01 00:00:00"
 RATE = dict(limit=2, window="1 hour")   # 100/minute never trips on the fixtures
 RECENT_K = 3
 PROMPT_TURNS = 4
+EXPORT_PART = 3
+ONE_USER = 5
+CURSOR_AT, CURSOR_ID = "2024-01-02 12:00:00", 20
+STEP_AT = "2024-01-03 00:00:00"
 # Price list (ours; the product names none): USD per million tokens by model,
 # scaled by tier. A caller argument, not data.
 BASE_USD_PER_1M = {"gpt-4": 30.0, "gpt-3.5-turbo": 1.5, "claude-3-sonnet": 15.0,
@@ -77,6 +82,19 @@ def _reasons_text(df: DataFrame) -> DataFrame:
     return df.withColumn("reasons", F.array_join("reasons", ";"))
 
 
+def _with_registrations(r: DataFrame) -> DataFrame:
+    """The request log with some calls taken as registrations, which issue a token too."""
+    return r.withColumn("kind", F.when((F.col("kind") == "call") & (F.col("request_id") % 17 == 0), F.lit("register"))
+                        .otherwise(F.col("kind")))
+
+
+def _second_half(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """R5's step: the members present at ``STEP_AT`` meet the events from then on."""
+    at = F.lit(STEP_AT).cast("timestamp_ntz")
+    present = R.presence(e.filter(F.col("ts") < at))
+    return R.fan_out_step(present, e.filter(F.col("ts") >= at))
+
+
 # --- the flagship: one screen of the chat list -----------------------------------
 def chat_list(spark: SparkSession, sf_dir: str, page: int = 1) -> DataFrame:
     """Titles (A2), activity (A3) and preview (A4) -> active list (P4) -> page."""
@@ -101,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     load_conversations=lambda s, d: _chats(s, d),
     load_messages=lambda s, d: S.normalize_messages(_msgs(s, d)),
     export_conversations=lambda s, d: S.export_conversations(fx.chats(s, d), _msgs(s, d)),
+    export_conversations_parts=lambda s, d: S.export_conversations(fx.chats(s, d), _msgs(s, d), part_size=EXPORT_PART),
     # 2.2 projections, filters, lookups
     public_profile=lambda s, d: P.public_profile(fx.users(s, d)),
     lookup_users=lambda s, d: P.lookup_users(fx.users(s, d), fx.requests(s, d).select(F.col("user_id").alias("id")), on="id"),
@@ -108,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     owned_conversations=lambda s, d: P.owned_conversations(
         fx.chats(s, d), fx.room_events(s, d).select("conversation_id", (F.col("client_id") % 37).alias("user_id"))),
     active_conversations=lambda s, d: P.active_conversations(fx.chats(s, d)),
+    active_conversations_of_user=lambda s, d: P.active_conversations(fx.chats(s, d), user_id=ONE_USER),
     conversation_list=lambda s, d: P.conversation_list(fx.chats(s, d)),
     history_view=lambda s, d: P.history_view(_msgs(s, d)),
     search_messages=lambda s, d: P.search_messages(_msgs(s, d), **SEARCH),
@@ -122,6 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
         .select("message_id", "reasons"),
     apply_defaults=lambda s, d: V.apply_defaults(fx.chats(s, d), "conversations"),
     clean_input=lambda s, d: V.clean_input(_msgs(s, d).select("message_id", "content")),
+    conform=lambda s, d: V.conform(_msgs(s, d).select(
+        *[F.col(c).cast("string").alias(c) for c in ("token_count", "message_id", "created_at", "content", "role")],
+        F.when(F.col("user_id") % 5 == 0, F.lit("none")).otherwise(F.col("user_id").cast("string")).alias("user_id")), MESSAGES),
     # 2.9 scalar functions
     title_of=lambda s, d: _msgs(s, d).filter(F.col("role") == "user").select(
         "message_id", fn.title_of("content").alias("title")),
@@ -137,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
         fn.preference("preferences", "notifications", "boolean").alias("notifications")),
     # 2.4 joins
     visible_messages=lambda s, d: J.visible_messages(_msgs(s, d), fx.chats(s, d)),
+    visible_messages_of_user=lambda s, d: J.visible_messages(_msgs(s, d), fx.chats(s, d), user_id=ONE_USER),
     orphan_messages=lambda s, d: J.orphan_messages(_msgs(s, d), fx.chats(s, d)),
     orphan_sends=lambda s, d: J.orphan_messages(
         fx.room_events(s, d).filter(F.col("kind") == "message").select(
@@ -145,10 +169,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
         fx.chats(s, d)),
     with_conversation_model=lambda s, d: J.with_conversation_model(_msgs(s, d), fx.chats(s, d)),
     new_registrations=lambda s, d: J.new_registrations(fx.registrations(s, d), fx.users(s, d)),
+    known_logins=lambda s, d: J.login_attempts(fx.registrations(s, d).select("reg_id", "email", "ts"), fx.users(s, d))[0],
+    unknown_logins=lambda s, d: J.login_attempts(fx.registrations(s, d).select("reg_id", "email", "ts"), fx.users(s, d))[1],
     known_requests=lambda s, d: J.known_requests(fx.requests(s, d), fx.users(s, d))[0],
     unknown_requests=lambda s, d: J.known_requests(fx.requests(s, d), fx.users(s, d))[1],
     valid_token_requests=lambda s, d: J.valid_token_requests(fx.requests(s, d))[0],
     expired_token_requests=lambda s, d: J.valid_token_requests(fx.requests(s, d))[1],
+    valid_token_requests_registered=lambda s, d: J.valid_token_requests(
+        _with_registrations(fx.requests(s, d)), issuing=("login", "register"))[0],
     fan_out=lambda s, d: R.fan_out(fx.room_events(s, d)),
     typing_fan_out=lambda s, d: R.typing_fan_out(fx.room_events(s, d)),
     entitlement_violations=lambda s, d: J.entitlement_violations(
@@ -157,6 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     # 2.5 aggregation and sequence building
     prompt_context=lambda s, d: A.prompt_context_rows(_msgs(s, d)),
     prompt_context_window=lambda s, d: A.prompt_context_rows(_msgs(s, d), max_turns=PROMPT_TURNS),
+    prompt_ranges=lambda s, d: A.prompt_ranges(_msgs(s, d), max_turns=PROMPT_TURNS),
     derive_titles=lambda s, d: A.derive_titles(fx.chats(s, d), _msgs(s, d)),
     last_activity=lambda s, d: A.last_activity(_msgs(s, d)),
     last_preview=lambda s, d: A.last_preview(_msgs(s, d)),
@@ -176,6 +205,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     # 2.7 sort, page, top-k
     paginate=lambda s, d: T.paginate(fx.chats(s, d).filter("is_active"), page=1, limit=20),
     paginate_page2=lambda s, d: T.paginate(fx.chats(s, d).filter("is_active"), page=2, limit=20),
+    paginate_cursor=lambda s, d: T.paginate(fx.chats(s, d).filter("is_active"), limit=20, sort="last_message_at",
+                                            after=(F.lit(CURSOR_AT).cast("timestamp_ntz"), CURSOR_ID)),
     recent_conversations=lambda s, d: T.recent_conversations(fx.chats(s, d), RECENT_K),
     # 2.10 changes to tables
     register_users=lambda s, d: M.register_users(_users(s, d), fx.registrations(s, d))[0],
@@ -186,13 +217,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     delete_users=lambda s, d: M.delete_users(_users(s, d), fx.user_deletions(s, d))[0],
     delete_users_unknown=lambda s, d: M.delete_users(_users(s, d), fx.user_deletions(s, d))[1],
     create_conversations=lambda s, d: M.create_conversations(_chats(s, d), fx.conversation_requests(s, d))[0],
+    create_conversations_rejected=lambda s, d: _reasons_text(
+        M.create_conversations(_chats(s, d), fx.conversation_requests(s, d))[1].select("conversation_id", "user_id", "reasons")),
     soft_delete=lambda s, d: M.soft_delete(_chats(s, d), fx.delete_requests(s, d), CHANGE_AS_OF)[0],
     soft_delete_misses=lambda s, d: M.soft_delete(_chats(s, d), fx.delete_requests(s, d), CHANGE_AS_OF)[1],
     refresh_conversations=lambda s, d: M.refresh_conversations(_chats(s, d), _msgs(s, d), CHANGE_AS_OF),
+    conversation_updates=lambda s, d: M.conversation_updates(_msgs(s, d)).select(
+        "conversation_id", "first_content", F.col("first_at.message_id").alias("first_message_id"), "last_reply_at"),
     # 2.11 streaming operators, batch twins
     room_members=lambda s, d: R.room_members(fx.room_events(s, d)),
     room_member_counts=lambda s, d: R.room_member_counts(fx.room_events(s, d)),
     typing_now=lambda s, d: R.typing_now(fx.room_events(s, d)),
+    fan_out_step=lambda s, d: _second_half(fx.room_events(s, d))[0],
+    fan_out_step_members=lambda s, d: _second_half(fx.room_events(s, d))[1].select("conversation_id", "client_id", "since"),
     rate_limit=lambda s, d: R.rate_limit(fx.requests(s, d), **RATE),
     rate_limited_requests=lambda s, d: R.rate_limited_requests(fx.requests(s, d), **RATE),
 )

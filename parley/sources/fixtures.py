@@ -162,7 +162,7 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile changes: listed fields, explicit nulls, forbidden and taken values."""
+    """Profile changes: listed fields, explicit nulls, forbidden, malformed, taken and colliding values."""
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
     i, u = F.col("event_id"), F.col("user_id")
     arr = lambda *names: F.array(*[F.lit(n) for n in names])
@@ -172,8 +172,10 @@ def profile_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 6 == 0, arr("name")).when(i % 6 == 1, arr("default_model"))
          .when(i % 6 == 2, arr("preferences")).when(i % 6 == 3, arr("name", "email"))
          .when(i % 6 == 4, arr("password")).otherwise(arr("default_model", "preferences")).alias("fields"),
-        F.concat(F.lit("Renamed "), i.cast("string")).alias("name"),
+        F.when(i % 18 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Renamed "), i.cast("string"))).alias("name"),
         F.when(i % 12 == 3, _existing_email(u + 1))
+         .when(i % 36 == 9, F.concat(F.lit("same"), (u % 7).cast("string"), F.lit("@example.com")))
+         .when(i % 36 == 21, F.lit("not-an-email")).when(i % 72 == 33, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("moved"), i.cast("string"), F.lit("@example.com"))).alias("email"),
         F.when(i % 4 == 1, F.lit(None).cast("string")).otherwise(F.lit("gpt-4")).alias("default_model"),
         F.when(i % 4 == 0, F.lit('{"theme":"dark","notifications":{"email":true,"push":false}}'))
@@ -195,7 +197,7 @@ def conversation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         (F.lit(1_000_000) + i).alias("conversation_id"),
         "user_id",
-        F.concat(F.lit("Chat "), i.cast("string")).alias("title"),
+        F.when(i % 10 != 0, F.concat(F.lit("Chat "), i.cast("string"))).alias("title"),
         F.when(i % 3 == 0, F.lit(None).cast("string")).when(i % 3 == 1, F.lit("claude-3-haiku"))
          .otherwise(F.lit("gpt-4")).alias("ai_model"),
         F.col("ts").alias("created_at"),
@@ -206,18 +208,3 @@ def delete_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
     return e.select((F.col("event_id") % 120).alias("conversation_id"),
                     (F.col("user_id") % 37).alias("user_id"), "ts")
-
-
-VIEWS = {
-    "messages": messages,
-    "chats": chats,
-    "users": users,
-    "room_events": room_events,
-    "requests": requests,
-    "responses": responses,
-    "registrations": registrations,
-    "profile_patches": profile_patches,
-    "user_deletions": user_deletions,
-    "conversation_requests": conversation_requests,
-    "delete_requests": delete_requests,
-}

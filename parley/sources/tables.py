@@ -70,8 +70,12 @@ def load_messages(spark: SparkSession, path: str, since=None) -> DataFrame:
 
 
 def append_messages(m: DataFrame, path: str) -> None:
-    """Append messages, partitioned by ``created_date`` (one directory per day)."""
-    (normalize_messages(m).withColumn("created_date", F.to_date("created_at"))
+    """Append messages, partitioned by ``created_date`` (one directory per day).
+
+    Rows are first dealt by day (a large day over several tasks), so a day gets
+    few files. An append is not idempotent: a job that is run again adds its rows again.
+    """
+    (normalize_messages(m).withColumn("created_date", F.to_date("created_at")).hint("rebalance", "created_date")
         .write.mode("append").partitionBy("created_date").parquet(path))
 
 
@@ -85,22 +89,24 @@ def snapshot(df: DataFrame, path: str, day) -> None:
 _TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
-def export_conversations(c: DataFrame, m: DataFrame, max_messages: int = 10_000,
+def export_conversations(c: DataFrame, m: DataFrame, part_size: int | None = None,
                          max_rows: int | None = None) -> DataFrame:
     """JSON documents of conversations with their ordered messages.
 
-    Columns: conversation_id, part, json. A conversation's messages are cut
-    into parts of at most ``max_messages`` (by position from the skew-safe
-    ``ordinal``), so no document or ``collect_list`` group is unbounded; a
-    conversation below that size is one document with ``part`` 0, and a
-    conversation without messages is one document with an empty list. Write
-    with ``write.text`` after selecting ``json``.
+    Columns: conversation_id, part, json. One document per conversation (``part``
+    0), with an empty list if it has no messages; a document is one row, so it is
+    as long as its conversation. With ``part_size`` the messages are cut into
+    parts of at most that many (by position from the skew-safe ``ordinal``), one
+    document each. Write with ``write.text`` after selecting ``json``.
     """
     from parley.plans.skew import ordinal
-    pos = ordinal(m.select("conversation_id", "message_id", "role", "content", "created_at"),
-                  ["conversation_id"], ["created_at", "message_id"], out="_pos", max_rows=max_rows)
-    items = pos.select("conversation_id", F.floor((F.col("_pos") - 1) / max_messages).cast("long").alias("part"),
-                       F.struct(F.col("_pos"), F.col("role"), F.col("content"),
+    pos = m.select("conversation_id", "message_id", "role", "content", "created_at")
+    part = F.lit(0).cast("long")
+    if part_size is not None:
+        pos = ordinal(pos, ["conversation_id"], ["created_at", "message_id"], out="_pos", max_rows=max_rows)
+        part = F.floor((F.col("_pos") - 1) / part_size).cast("long")
+    items = pos.select("conversation_id", part.alias("part"),
+                       F.struct("created_at", "message_id", "role", "content",
                                 F.date_format("created_at", _TS_FORMAT).alias("timestamp")).alias("_m"))
     per = items.groupBy("conversation_id", "part").agg(F.array_sort(F.collect_list("_m")).alias("_ms"))
     msgs = F.transform("_ms", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"),

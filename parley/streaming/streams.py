@@ -9,18 +9,17 @@ over a closed table; tests run both on the fixtures.
   aggregations in update mode: the state holds one row per key, never a list.
 * Rate limits (R3) are tumbling-window counts with a watermark; append mode
   emits each window once it is closed.
-* Fan-out (R5) runs the batch interval join (J7) inside ``foreachBatch`` with
+* Fan-out (R5) runs the batch step (``rooms.fan_out_step``) inside ``foreachBatch`` with
   the presence snapshot of the previous micro-batch, so a hot room is handled
-  by the same skew-safe batch plan. Snapshots and outputs are written per
-  batch id with dynamic partition overwrite: a retried batch rewrites its own
-  partition only (idempotent under executor or driver restarts).
+  by the same skew-safe batch plan. Events out of order by up to the stated
+  lateness are held back until they can be ordered. Snapshots and outputs are
+  written per batch id: a retried batch rewrites its own folders only.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,40 +113,66 @@ def latest_state(spark: SparkSession, path: str, keys, order: str = "batch_id")
               .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in rest]))
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """A batch that left nobody present writes no files; that reads as None."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def compact_state(spark: SparkSession, path: str, into: str, keys) -> None:
+    """The latest row of every key of a state folder as batch 0 of a new folder ``into``.
+
+    A keyed state folder grows by one delta a batch; a scheduled compaction
+    followed by writing on to ``into`` keeps what ``latest_state`` reads near one row a key.
+    """
+    write_state_batches(into)(latest_state(spark, path, keys), 0)
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def fan_out_batch(spark: SparkSession, state_dir: str, out_dir: str):
+#: Batches whose R5 state is kept (the last one is read; one more serves a retry).
+KEPT_STATES = 3
+_EVENT = "event_id long, conversation_id long, client_id long, kind string, ts timestamp_ntz"
+_MEMBER = "conversation_id long, client_id long, since timestamp_ntz, since_id long"
+
+
+def fan_out_batch(spark: SparkSession, state_dir: str, out_dir: str, lateness: str = "0 seconds"):
     """``foreachBatch`` function delivering each micro-batch's messages.
 
-    Presence before the batch is read from ``state_dir/batch_id=N-1``; members
-    present then are replayed as join events at their join time, the batch's
-    own events are appended, and the batch J7 join runs over that union. The
-    presence after the batch is written to ``batch_id=N``; deliveries go to
-    ``out_dir/batch_id=N``.
+    Events may come out of order by up to ``lateness``: an event is held back until the
+    latest time seen is that much ahead, so a join that arrives after the message it
+    precedes still counts. Events that come later than that are not delivered; they
+    are written to ``state_dir/late``.
+
+    ``state_dir/batch_id=N`` holds what batch N leaves: ``present`` (members), ``held``
+    (events held back) and ``seen`` (one row: the latest time). Batch 0 starts from nothing;
+    for any other batch the state of batch N-1 must be there, or the read fails.
+    A retried batch rewrites its own folders only; states older than ``KEPT_STATES``
+    batches are removed. Deliveries go to ``out_dir/batch_id=N``.
     """
-    ev_cols = ["event_id", "conversation_id", "client_id", "kind", "ts"]
+    def folder(batch_id: int, name: str) -> str:
+        return os.path.join(state_dir, f"batch_id={batch_id}", name)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        events = batch.select(*ev_cols)
-        previous = _read_if_present(spark, os.path.join(state_dir, f"batch_id={batch_id - 1}"))
-        if previous is not None:
-            present = previous.select(
-                F.col("since_id").alias("event_id"), "conversation_id", "client_id",
-                F.lit("join").alias("kind"), F.col("since").alias("ts"))
-            events = present.unionByName(events)
-        out = R.fan_out(events)
-        (out.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        events = batch.select("event_id", "conversation_id", "client_id", "kind", "ts")
+        before = lambda name, schema: spark.read.schema(schema).parquet(folder(batch_id - 1, name))
+        if batch_id:
+            present, held = before("present", _MEMBER), before("held", _EVENT)
+            seen = before("seen", "ts timestamp_ntz").first()["ts"]
+        else:
+            present, held, seen = spark.createDataFrame([], _MEMBER), spark.createDataFrame([], _EVENT), None
+        latest = events.agg(F.max("ts")).first()[0]
+        latest = max((t for t in (seen, latest) if t is not None), default=None)
+        cut = lambda t: F.lit(t).cast("timestamp_ntz") - F.expr(f"INTERVAL {lateness}")
+        late = events.filter(F.col("ts") < cut(seen)) if seen is not None else events.limit(0)
+        late.write.mode("overwrite").parquet(os.path.join(state_dir, "late", f"batch_id={batch_id}"))
+        waiting = held.unionByName(events if seen is None else events.filter(F.col("ts") >= cut(seen)))
+        ready = F.col("ts") <= cut(latest) if latest is not None else F.lit(False)
+        deliveries, members = R.fan_out_step(present, waiting.filter(ready))
+        (deliveries.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id").parquet(out_dir))
-        members = _presence(events, R.MEMBERSHIP).filter(F.col("kind") == "join").drop("kind")
-        (members.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(state_dir))
+        members.write.mode("overwrite").parquet(folder(batch_id, "present"))
+        waiting.filter(~ready).write.mode("overwrite").parquet(folder(batch_id, "held"))
+        spark.createDataFrame([(latest,)], "ts timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(folder(batch_id, "seen"))
+        if batch_id >= KEPT_STATES:
+            _drop_folder(spark, os.path.join(state_dir, f"batch_id={batch_id - KEPT_STATES}"))
 
     return run

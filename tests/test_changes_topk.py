@@ -91,8 +91,9 @@ def test_paginate_edges(spark):
     p1 = df.transform(lambda d: T.paginate(d, page=1, limit=20)).collect()
     assert [r.conversation_id for r in p1] == list(range(44, 24, -1)) and p1[0].total == 45 and p1[0].pages == 3
     assert T.paginate(df, page=9).count() == 0                       # beyond the end
-    assert T.paginate(df, limit=0).collect()[0]["limit"] == 1         # clamped
-    assert T.paginate(df, limit=101).count() == 45                    # clamped to 100
+    for limit in (0, 101, 500):                                       # outside 1..100
+        with pytest.raises(ValueError):
+            T.paginate(df, limit=limit)
     assert T.paginate(df.filter("false")).count() == 0                # empty table
     last = p1[-1]
     nxt = T.paginate(df, limit=20, after=(last.created_at, last.conversation_id)).collect()
@@ -120,3 +121,36 @@ def test_create_conversations_defaults_and_rejects(spark):
 def test_paginate_accepts_documented_sort_name(spark):
     df = spark.createDataFrame([(i, T0 + timedelta(hours=i)) for i in range(5)], "conversation_id long, created_at timestamp_ntz")
     assert [r.conversation_id for r in T.paginate(df, sort="createdAt", order="asc", limit=2).collect()] == [0, 1]
+
+
+def test_cursor_walks_over_missing_sort_values(spark):
+    """Following the cursor visits every row once, in both directions, missing values included."""
+    df = spark.createDataFrame([(i, T0 + timedelta(hours=i // 2) if i % 3 else None) for i in range(20)],
+                               "conversation_id long, created_at timestamp_ntz")
+    for order in ("asc", "desc"):
+        seen, after = [], None
+        for _ in range(20):
+            page = T.paginate(df, limit=3, order=order, after=after).collect()
+            if not page:
+                break
+            seen += [r.conversation_id for r in page]
+            after = (page[-1].created_at, page[-1].conversation_id)
+        assert sorted(seen) == list(range(20)), order
+        missing = [i for i in seen if i % 3 == 0]
+        assert (seen[:len(missing)] if order == "asc" else seen[-len(missing):]) == missing  # missing sorts lowest
+
+
+def test_patch_values_follow_the_user_rules(spark, users):
+    patches = spark.createDataFrame([
+        (1, 1, ["email"], None, "not-an-email", None, T0), (2, 1, ["email"], None, None, None, T0),
+        (3, 1, ["provider"], None, None, "myspace", T0), (4, 1, ["name"], None, None, None, T0),
+        (5, 1, ["email"], None, "new@x.io", None, T0 + timedelta(seconds=5)),
+        (6, 2, ["email"], None, "new@x.io", None, T0 + timedelta(seconds=4)),          # the earlier claim
+        (7, 2, ["provider"], None, None, "google", T0)],
+        "patch_id long, user_id long, fields array<string>, name string, email string, provider string, ts timestamp_ntz")
+    out, rejected = M.patch_users(users, patches, "2024-02-01 00:00:00")
+    assert {r.patch_id: r.reasons for r in rejected.collect()} == {
+        1: ["email malformed"], 2: ["email missing"], 3: ["provider not one of email,google,apple"], 4: ["name missing"],
+        5: ["email repeated in batch"]}
+    emails = [r.email for r in out.collect()]
+    assert sorted(emails) == ["a@x.io", "new@x.io"] and len(set(emails)) == len(emails)

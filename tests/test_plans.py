@@ -34,3 +34,32 @@ def test_no_cartesian_products(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def _explained(spark, name):
+    """The plan a large table would get: no broadcast by size, no adaptive changes."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        return E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_fan_out_is_a_few_passes(spark):
+    for name in ("fan_out", "typing_fan_out"):
+        plan = _explained(spark, name)
+        assert plan.count("FileScan") <= 3 and plan.count("Exchange hashpartitioning") <= 8, plan
+
+
+def test_statistics_and_exchanges_read_their_table_once(spark):
+    for name in ("latency_stats", "response_delay_by_model", "exchanges", "message_history"):
+        plan = _explained(spark, name)
+        assert plan.count("FileScan") == 1 and "Join" not in plan, plan
+
+
+def test_caller_tables_are_broadcast_by_size_only(spark):
+    for name in ("entitlement_violations", "with_catalogue", "usage_bill", "lookup_users"):
+        assert "BroadcastExchange" not in _explained(spark, name), name

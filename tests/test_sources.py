@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from parley import schemas
 from parley.sources import fixtures as fx
 from parley.sources import tables as S
 from conftest import SF_SMALL, rows
@@ -63,10 +64,20 @@ def test_export_parts_are_bounded(spark):
     whole = {r.conversation_id: json.loads(r.json)["messages"]
              for r in S.export_conversations(fx.chats(spark, SF_SMALL), m).collect()}
     parts = {}
-    for r in S.export_conversations(fx.chats(spark, SF_SMALL), m, max_messages=2, max_rows=3).collect():
+    for r in S.export_conversations(fx.chats(spark, SF_SMALL), m, part_size=2, max_rows=3).collect():
         msgs = json.loads(r.json)["messages"]
         assert len(msgs) <= 2
         parts.setdefault(r.conversation_id, {})[r.part] = msgs
     for cid, by_part in parts.items():
         joined = [x for p in sorted(by_part) for x in by_part[p]]
         assert joined == whole[cid]
+
+
+def test_load_conversations_of_both_spellings(spark, scratch):
+    t = datetime(2024, 1, 1)
+    camel = spark.createDataFrame([(7, 1, "t", "gpt-4", True, t)],
+                                  "_id long, userId long, title string, aiModel string, isActive boolean, createdAt timestamp_ntz")
+    camel.write.parquet(os.path.join(scratch, "c"))
+    got = S.load_conversations(spark, os.path.join(scratch, "c"))
+    assert [f.name for f in got.schema] == [f.name for f in schemas.CONVERSATIONS]
+    assert rows(got.select("conversation_id", "user_id", "ai_model", "created_at")) == [(7, 1, "gpt-4", t)]

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from parley import schemas
@@ -154,3 +155,44 @@ def test_presence_update_mode_upsert(spark, scratch):
     latest = ST.latest_state(spark, state_dir, ["conversation_id", "client_id"])
     members = latest.filter("kind = 'join'").select("conversation_id", "client_id", "since")
     assert rows(members) == rows(R.room_members(e))
+
+
+def test_fan_out_with_events_out_of_order(spark, scratch):
+    """A join that arrives one batch after the message it precedes still counts, within the lateness."""
+    from datetime import datetime, timedelta
+    t = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    src, out_dir, state = (os.path.join(scratch, x) for x in ("fan_ooo", "out", "state"))
+    batches = [[(1, 1, 5, "join", t(0)), (3, 1, 5, "message", t(20))],
+               [(2, 1, 6, "join", t(10)), (4, 1, 6, "leave", t(30))],      # joined before the message above
+               [(6, 1, 5, "message", t(50)), (5, 1, 7, "join", t(40))],
+               [(7, 2, 9, "join", t(500))],                                  # moves time on
+               [(8, 1, 8, "join", t(1))]]                                    # later than the bound
+    _files(spark, src, batches, schemas.ROOM_EVENTS)
+    stream = ST.stream_events(spark, src, schemas.ROOM_EVENTS, max_files_per_trigger=1)
+    q = (stream.writeStream.foreachBatch(ST.fan_out_batch(spark, state, out_dir, lateness="60 seconds"))
+         .option("checkpointLocation", stream_checkpoint(spark, "fooo-" + os.path.basename(scratch))).start())
+    _run(q)
+    e = spark.read.schema(schemas.ROOM_EVENTS).parquet(src).filter("event_id < 8")
+    want = rows(R.fan_out(e))
+    assert rows(spark.read.parquet(out_dir).drop("batch_id")) == want and len(want) == 4
+    assert rows(spark.read.parquet(os.path.join(state, "late")).select("event_id")) == [(8,)]
+    kept = sorted(x for x in os.listdir(state) if x.startswith("batch_id="))
+    assert kept == [f"batch_id={i}" for i in range(5 - ST.KEPT_STATES, 5)]
+
+
+def test_lost_presence_state_is_an_error(spark, scratch):
+    from pyspark.errors import AnalysisException
+    step = ST.fan_out_batch(spark, os.path.join(scratch, "state"), os.path.join(scratch, "out"))
+    batch = fx.room_events(spark, SF_SMALL)
+    step(batch.limit(10), 0)
+    step(batch.limit(20), 1)                                  # nobody need be present; the state is still written
+    with pytest.raises(AnalysisException):
+        step(batch.limit(30), 5)
+
+
+def test_compacted_state_reads_the_same(spark, scratch):
+    path, into = os.path.join(scratch, "deltas"), os.path.join(scratch, "compact")
+    for i in range(3):
+        ST.write_state_batches(path)(spark.createDataFrame([(1, i), (2 + i, 0)], "k long, v long"), i)
+    ST.compact_state(spark, path, into, "k")
+    assert rows(ST.latest_state(spark, into, "k")) == rows(ST.latest_state(spark, path, "k"))

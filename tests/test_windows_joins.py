@@ -6,6 +6,7 @@ from parley.operators import joins as J
 from parley.operators import rooms as R
 from parley.operators import windows as W
 from parley.operators import lookups as P
+from parley.sources import fixtures as fx
 from conftest import rows
 
 T0 = datetime(2024, 1, 1)
@@ -92,3 +93,48 @@ def test_membership_intervals(spark):
                                (4, 1, 10, "join", t(9)), (5, 1, 11, "leave", t(1))], EV)
     got = rows(R.membership_intervals(e, max_rows=1).select("client_id", "start_id", "end_id"))
     assert got == [(10, 1, 2), (10, 3, 4), (10, 4, None)]
+
+
+def test_no_row_is_lost_between_the_halves(spark):
+    """Retention and token life put every row, nulls included, into exactly one half."""
+    from parley.operators import aggregates as A
+    from parley.operators import lookups as P
+    t = datetime(2024, 1, 1)
+    m = spark.createDataFrame([(1, t), (2, None), (3, datetime(2023, 1, 1))], "id long, created_at timestamp_ntz")
+    keep, drop = P.retention(m, 2, "2024-01-02 00:00:00")
+    assert rows(keep.select("id")) == [(1,), (2,)] and rows(drop.select("id")) == [(3,)]
+    r = spark.createDataFrame([(1, None, "login", t, 1.0), (2, None, "call", t, 1.0), (3, 5, "login", t, 1.0),
+                               (4, 5, "call", None, 1.0), (5, 5, "call", t, 1.0), (6, 5, "login", None, None)],
+                              "request_id long, user_id long, kind string, ts timestamp_ntz, response_ms double")
+    valid, expired = J.valid_token_requests(r)
+    assert rows(valid.select("request_id")) == [(5,)]                      # an anonymous login vouches for nobody
+    assert rows(expired.select("request_id")) == [(2,), (4,)]
+    nothing = r.withColumn("response_ms", F.lit(None).cast("double"))
+    for approx in (False, True):
+        got = A.latency_stats(nothing, approx=approx).collect()
+        assert len(got) == 2 and all(x.requests == 0 and x.mean_ms is None and x.p50_ms is None for x in got)
+
+
+def test_email_form_is_the_whole_value(spark):
+    from parley.operators import validation as V
+    df = spark.createDataFrame([("a@b.co",), ("a@b.co\n",), ("\na@b.co",)], "email string")
+    assert [r.reasons for r in V.check(df, V.email_rule()).collect()] == [[], ["email malformed"], ["email malformed"]]
+
+
+def test_prompt_ranges_expand_to_the_context(spark):
+    from parley.operators import aggregates as A
+    from conftest import SF_SMALL
+    m = fx.messages(spark, SF_SMALL)
+    h = W.message_history(m).select("conversation_id", "ordinal", "role", "content")
+    ranges = A.prompt_ranges(m, max_turns=3)
+    got = ranges.select("*", F.explode(F.sequence("first_ordinal", "last_ordinal")).alias("ordinal")).join(
+        h, ["conversation_id", "ordinal"]).select(
+        "conversation_id", "message_id", (F.col("ordinal") - F.col("first_ordinal")).alias("pos"), "role", "content")
+    assert rows(got) == rows(A.prompt_context_rows(m, max_turns=3))
+
+
+def test_login_attempts_of_known_and_unknown_emails(spark):
+    u = spark.createDataFrame([("a@x.io",)], "email string")
+    logins = spark.createDataFrame([(1, "a@x.io"), (2, "A@x.io"), (3, None)], "id long, email string")
+    known, unknown = J.login_attempts(logins, u)
+    assert rows(known.select("id")) == [(1,)] and rows(unknown.select("id")) == [(2,), (3,)]
