@@ -31,6 +31,8 @@ writes no segment; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -46,8 +48,8 @@ END_ID = 0
 SAMPLE = 256
 #: Ids after which a segment is closed (a longer document makes a longer segment).
 SEGMENT_IDS = 1 << 20
-#: Pieces that a worker remembers, and characters encoded in one call.
-MEMO_PIECES, CALL_CHARS = 1_000_000, 1 << 20
+#: Pieces that a worker remembers (twice as many at most), and characters encoded in one call.
+MEMO_PIECES, CALL_CHARS = 1_000_000, 1 << 18
 SEGMENTS = "part int, ordinal int, before long, n_docs long, n_ids long, data binary"
 
 
@@ -143,50 +145,75 @@ class Encoder:
     """Encodes whole texts with a ``tokenizers`` file; remembers the ids of pieces.
 
     A byte-level tokenizer never joins what stands on both sides of a single space
-    between two non-space characters, the space going with the right side. So a text
-    is cut there, each new piece is encoded once per worker and the bytes of its ids
-    are joined. Tokenizers that cut elsewhere get ``pieces=False``: whole texts.
+    between two non-space characters, the space going with the right side; nor a
+    letter and a comma or full stop behind it. So a text is cut before its spaces, each
+    new piece is encoded once, and the bytes of its ids are joined. New pieces are encoded
+    many at a time, as one text that is cut again at the ids that begin with a space.
+    Tokenizers that cut elsewhere get ``pieces=False``: whole texts.
     """
 
+    SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+
     def __init__(self, path: str, pieces: bool = True) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
-        self.pieces, self.memo = pieces, {}
-
-    def _bytes(self, ids) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+        vocabulary = self.tok.get_vocab()
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that begin with a space
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.pieces = pieces
+        self.memo: dict[str, bytes | bool] = {}   # False: a text with this piece must be cut with more care
+        self.before: dict[str, bytes | bool] = {}
+        self.marks = {c: self._alone(c) for c in ",."} if pieces else {}
 
     def _alone(self, text: str) -> bytes:
-        return self._bytes(self.tok.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new pieces; those that start with one space and end in none are encoded in one text."""
-        joined = [p for p in new if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
-        for p in set(new).difference(joined):
-            self.memo[p] = self._alone(p)
-        if not joined:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
+
+    def _encode_new(self, new: list[str]) -> None:
+        """Ids of pieces that start with one space and end in no space."""
+        done = self.tok.encode_batch_fast(["".join(new[i:i + 1000]) for i in range(0, len(new), 1000)], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, dtype=f"<u{self.width}") for e in done])
+        begins = np.flatnonzero(self.spaced[ids])
+        if len(begins) != len(new):  # a piece that looks like another special token, say
+            self.memo.update((p, self._alone(p)) for p in new)
             return
-        done = self.tok.encode("".join(joined), add_special_tokens=False)
-        starts = np.cumsum([0, *map(len, joined)])
-        places = np.array([a for a, _ in done.offsets], dtype=np.int64)
-        cuts = (np.searchsorted(places, starts) * self.width).tolist()
-        data = self._bytes(done.ids)
-        self.memo.update((p, data[a:b]) for p, a, b in zip(joined, cuts, cuts[1:]))
+        data, cuts = ids.tobytes(), [*(begins * self.width).tolist(), ids.nbytes]
+        self.memo.update((p, data[a:b]) for p, a, b in zip(new, cuts, cuts[1:]))
+
+    def _learn(self, new: set[str]) -> None:
+        known = new & self.before.keys()
+        self.memo.update((p, self.before[p]) for p in known)
+        plain, marked, memo = [], [], self.memo
+        for p in new - known:
+            if len(p) < 2 or p[0] != " " or p[1].isspace() or p[-1].isspace():
+                # only a text's first piece may start without a space; spaces in a row must stay together
+                memo[p] = self._alone(p) if p and p[0] != " " and not p[-1].isspace() else False if p else b""
+            elif p[-1] in ",." and p[-2].isalpha():
+                marked.append(p)
+            else:
+                plain.append(p)
+        plain += {p[:-1] for p in marked}.difference(memo, plain)
+        if plain:
+            self._encode_new(plain)
+        memo.update((p, memo[p[:-1]] + self.marks[p[-1]]) for p in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian bytes, without an end id."""
         if not self.pieces:
             return [self._alone(t) for t in texts]
-        cut = [None if "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
-        new = set().union(*(c for c in cut if c)).difference(self.memo)
-        if new:
-            if len(self.memo) + len(new) > MEMO_PIECES:
-                self.memo.clear()
-                new = set().union(*(c for c in cut if c))
-            self._learn(list(new))
-        ids = self.memo.__getitem__
-        return [self._alone(t) if c is None else b"".join(map(ids, c)) for t, c in zip(texts, cut)]
+        cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else [] for t in texts]
+        if len(self.memo) > MEMO_PIECES:  # the older generation goes; what is still in use moves over
+            self.before, self.memo = self.memo, {}
+        if new := set().union(*cut).difference(self.memo):
+            self._learn(new)
+        ids, out = self.memo.__getitem__, []
+        for t, c in zip(texts, cut):
+            try:
+                out.append(b"".join(map(ids, c)) if c else self._alone(t))
+            except TypeError:
+                out.append(b"".join(self.memo.get(p) or self._alone(p) for p in self.SAFE_CUT.split(t)))
+        return out
 
 
 def _encoder(path: str, pieces: bool) -> Encoder:
