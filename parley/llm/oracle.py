@@ -30,6 +30,40 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+#: kind, pattern of the spans, least length, pattern of what the length does not count.
+_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?"""
+_SPANS = [("assign", _ASSIGN + "[A-Za-z0-9+/_.=-]+", 6, _ASSIGN), ("access", "AKIA[A-Z0-9]+", 20, ""),
+          ("hex", "[0-9a-f]{24,}", 24, ""), ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, ""),
+          ("forge_token", "gh[opsur]_[A-Za-z0-9]+", 40, ""), ("chat_token", "xox[abprs]-[A-Za-z0-9-]+", 20, ""),
+          ("cloud_key", "AIza[A-Za-z0-9_-]+", 39, ""),
+          ("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40, "")]
+
+
+def _spans_sql(i: int) -> str:
+    """Matches and the pieces between them give the places."""
+    kind, pattern, least, before = _SPANS[i]
+    skip = f"length(regexp_extract(m[k], '^{before}'))" if before else "0"
+    return f"""SELECT r, {i} AS n, '{kind}' AS kind, a, a + length(m[k]) AS b FROM (
+  SELECT r, m, k, coalesce(list_sum(list_transform(s[1:k], lambda x: length(x))), 0)
+                  + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0) AS a
+  FROM (SELECT r, m, s, unnest(range(1, len(m) + 1)) AS k
+        FROM (SELECT r, regexp_extract_all(text, '{pattern}') AS m, regexp_split_to_array(text, '{pattern}') AS s FROM d)))
+ WHERE length(m[k]) - {skip} >= {least}"""
+
+
+OP3 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+x AS ({' UNION ALL '.join(_spans_sql(i) for i in range(len(_SPANS)))}),
+g AS (SELECT r, count(*) FILTER (WHERE n = 0) AS n_assign, count(*) FILTER (WHERE n = 1) AS n_access,
+             count(*) FILTER (WHERE n = 2) AS n_hex,
+             string_agg(concat(kind, ':', CAST(a AS BIGINT), ':', CAST(b AS BIGINT)), ',' ORDER BY a, n) FILTER (WHERE n < 3) AS base,
+             string_agg(concat(kind, ':', CAST(a AS BIGINT), ':', CAST(b AS BIGINT)), ',' ORDER BY a, n) AS spans
+      FROM x GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.r = g.r
+"""
+
 OP4 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT r, doc_id, p, ls[p] AS line,
@@ -97,4 +131,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f0
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLE = {"op6_lm_score": OP6, "op4_line_dedup": OP4, "op5_decontamination": OP5, "op8_host_rules": OP8}
+ORACLE = {"op3_secrets": OP3, "op6_lm_score": OP6, "op4_line_dedup": OP4, "op5_decontamination": OP5, "op8_host_rules": OP8}

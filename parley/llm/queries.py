@@ -33,8 +33,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
-    return s.select("doc_id", *[F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
-                                for k in ("assign", "access", "hex")],
+    def number(kind):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return s.select("doc_id", *[number(r.kind) for r in secrets.BASE_RULES],
                     F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
