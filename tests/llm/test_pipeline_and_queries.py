@@ -92,3 +92,79 @@ def test_the_library_works_without_the_corpus_part(scratch):
     shutil.copytree(ROOT, home, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
     code = "import __spark_entry__ as e; n = e.queries(); assert 'chat_list' in n and not [x for x in n if x[:2] == 'op']; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=home, check=True, timeout=120, env={**os.environ, "PYTHONPATH": home})
+
+
+def small(spark):
+    return rows(table(spark, SF, "documents"))
+
+
+def got(spark, name, *columns):
+    return Counter(tuple(r) for r in QUERIES[name](spark, SF).select(*columns).collect())
+
+
+def test_licence_query(spark):
+    expected = Counter()
+    for d, t, _ in small(spark):
+        w, places, labels = brute.item_words(t), [], set()
+        for phrase, label in (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")):
+            p = phrase.split()
+            at = [i for i in range(len(w)) if w[i:i + len(p)] == p]
+            places += at
+            labels |= {label} if at else set()
+        expected[d, len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))] += 1
+    assert got(spark, "op1_licences", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == expected
+    for base, labels, score in QUERIES["op1_licences"](spark, SF).select("base_labels", "labels", "score").collect():
+        assert set(filter(None, base.split(","))) <= set(labels.split(",")) | {""} and 0 <= score <= 1
+        assert labels == ",".join(sorted(set(filter(None, labels.split(",")))))
+
+
+def test_simhash_query(spark):
+    data = small(spark)
+    prints = [brute.fingerprint(t) for _, t, _ in data]
+    names = brute.components([d for d, _, _ in data], prints)
+    assert got(spark, "op2_simhash", "doc_id", "fingerprint", "component_id") == Counter(
+        (d, f"{p:016x}", n) for (d, _, _), p, n in zip(data, prints, names))
+
+
+def test_secret_query(spark):
+    import hashlib
+    expected = Counter()
+    for d, t, _ in small(spark):
+        spans = brute.base_spans(t)
+        n = [sum(k == kind for k, _, _ in spans) for kind in ("assign", "access", "hex")]
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        expected[(d, *n, hashlib.sha256(text.encode()).hexdigest())] += 1
+    assert got(spark, "op3_secrets", "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == expected
+
+
+def test_quality_query(spark):
+    import zlib
+    truth = {r["doc_id"]: r["quality"] for r in table(spark, SF, "labels").collect()}
+    result = QUERIES["op7_quality"](spark, SF).collect()
+    assert Counter(r["doc_id"] for r in result) == Counter(d for d, _, _ in small(spark))
+    for r in result:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    held = [r["predicted"] == truth[r["doc_id"]] for r in result if r["held_out"] and r["doc_id"] in truth]
+    assert sum(held) >= 0.9 * len(held) > 10
+
+
+def test_mixture_query(spark):
+    sizes, taken = Counter(), Counter()
+    data = {d: (len(brute.space_words(t)), s) for d, t, s in small(spark)}
+    for n, s in data.values():
+        sizes[s] += n
+    targets = brute.mixture_targets(sizes)
+    for r in QUERIES["op9_mixture"](spark, SF).collect():
+        n, s = data[r["doc_id"]]
+        assert r["size"] == n and r["source_size"] == sizes[s] and r["target"] == pytest.approx(targets[s])
+        assert r["taken"] in (0, n, 2 * n)
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - targets[s]) <= max(n for n, x in data.values() if x == s) for s in targets)
+
+
+def test_token_query(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    assert got(spark, "op10_token_files", "doc_id", "start", "n_tokens", "ids_crc32") == Counter(
+        brute.token_index([r[:2] for r in small(spark)], tok))
