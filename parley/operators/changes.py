@@ -26,10 +26,6 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
 
 
-def _reason(df: DataFrame, reason: str) -> DataFrame:
-    return df.withColumn("reasons", F.array(F.lit(reason)))
-
-
 def register_users(u: DataFrame, reg: DataFrame, id_col: str = "reg_id") -> tuple[DataFrame, DataFrame]:
     """M1: validate, keep the first registration per email in the batch, refuse
     emails already present (exact match), add the rest with store defaults.
@@ -38,16 +34,14 @@ def register_users(u: DataFrame, reg: DataFrame, id_col: str = "reg_id") -> tupl
     The new user's id is the registration's ``id_col``.
     """
     checked = check(reg, "registration")
-    ok = F.size("reasons") == 0
-    valid, invalid = checked.filter(ok).drop("reasons"), checked.filter(~ok)
-    first = (valid.groupBy("email")
-                  .agg(F.min_by(F.col(id_col), F.struct("ts", id_col)).alias(id_col))
-                  .select(id_col))
-    firsts = valid.join(first, id_col, "left_semi")
-    repeats = _reason(valid.join(first, id_col, "left_anti"), "email repeated in batch")
-    emails = u.select("email")
-    taken = _reason(firsts.join(emails, "email", "left_semi"), "email already registered")
-    fresh = firsts.join(emails, "email", "left_anti")
+    first = (checked.filter(F.size("reasons") == 0).groupBy("email")
+                    .agg(F.min_by(F.col(id_col), F.struct("ts", id_col)).alias("_first")))
+    known = u.select("email").distinct().withColumn("_known", F.lit(True))
+    judged = checked.join(first, "email", "left").join(known, "email", "left").withColumn(
+        "reasons", F.when(F.size("reasons") > 0, F.col("reasons"))
+        .when(F.col(id_col) != F.col("_first"), F.array(F.lit("email repeated in batch")))
+        .when(F.col("_known"), F.array(F.lit("email already registered"))).otherwise(F.col("reasons")))
+    fresh = judged.filter(F.size("reasons") == 0)
     new_users = fresh.select(
         F.col(id_col).cast("long").alias("id"), "email", "name",
         F.lit(K.DEFAULT_PROVIDER).alias("provider"), F.lit(None).cast("string").alias("provider_id"),
@@ -58,8 +52,7 @@ def register_users(u: DataFrame, reg: DataFrame, id_col: str = "reg_id") -> tupl
         F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"))
     new_users = apply_defaults(new_users, "users")
     users = u.unionByName(new_users.select(*[f.name for f in USERS.fields]), allowMissingColumns=True)
-    cols = [id_col, "email", "reasons"]
-    rejected = invalid.select(*cols).unionByName(repeats.select(*cols)).unionByName(taken.select(*cols))
+    rejected = judged.filter(F.size("reasons") > 0).select(id_col, "email", "reasons")
     return users, rejected
 
 

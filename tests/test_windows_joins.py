@@ -138,3 +138,14 @@ def test_login_attempts_of_known_and_unknown_emails(spark):
     logins = spark.createDataFrame([(1, "a@x.io"), (2, "A@x.io"), (3, None)], "id long, email string")
     known, unknown = J.login_attempts(logins, u)
     assert rows(known.select("id")) == [(1,)] and rows(unknown.select("id")) == [(2,), (3,)]
+
+
+def test_packed_prompt_contexts_hold_the_rows(spark):
+    from parley.operators import aggregates as A
+    from conftest import SF_SMALL
+    m = fx.messages(spark, SF_SMALL)
+    for turns in (None, 2):
+        packed = A.prompt_context(m, max_turns=turns).select(
+            "conversation_id", "message_id", F.posexplode("context").alias("pos", "c")).select(
+            "conversation_id", "message_id", "pos", "c.role", "c.content")
+        assert rows(packed) == rows(A.prompt_context_rows(m, max_turns=turns))
