@@ -110,7 +110,7 @@ def candidates(index: DataFrame, items: DataFrame, pairs: DataFrame, slack: int
     probe = (pairs.select("item", F.explode(F.array_distinct(F.flatten(F.transform(
         "pairs", lambda x: F.array(x["a"], x["b"]))))).alias("p"))
         .join(items.select("item", "tw"), "item").select("item", "p", F.col("tw")[F.col("p")].alias("term")))
-    lists = _union([index.join(F.broadcast(b), "term") for b in _blocks(probe, "term", block_rows)])
+    lists = _union([index.join(F.broadcast(b), "term") for b in _blocks(probe, "item", block_rows)])
     lists = lists.select("doc_id", "item", (F.col("pos") - F.col("p")).alias("shift"), "p")
     met = (lists.repartition("doc_id", "item").groupBy("doc_id", "item", "shift")
            .agg(F.collect_set("p").alias("ps")).join(pairs, "item"))
@@ -159,9 +159,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sla
     # counting words needs no lower case; only candidates pay for it
     t = t.select("row", "cands", "n_near", F.when(has, _exact_words(text)).otherwise(
         _words(F.lower(text))).alias("w"))
-    t = t.select("row", "n_near", F.size("w").cast("long").alias("n_words"),
-                 F.when(F.size(F.coalesce("cands", F.array())) > 0, F.filter(
-                     _matches(width), lambda m: F.size(m["starts"]) > 0)).alias("found"))
+    matches = F.when(F.size(F.coalesce("cands", F.array())) > 0, F.filter(
+        _matches(width), lambda m: F.size(m["starts"]) > 0))
+    # A generator, not a projection: a caller's filter on the result must not be pushed below it,
+    # where the words would be cut again for every use.
+    one = F.array(F.struct(F.size("w").cast("long").alias("n_words"), matches.alias("found")))
+    t = t.select("row", "n_near", F.inline(one))
     found = F.col("found")
     hits = F.flatten(F.transform(found, lambda m: F.transform(m["starts"], lambda s: F.struct(
         (m["shift"] + s).alias("start"), m["span"].alias("length")))))
