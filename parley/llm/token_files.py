@@ -163,7 +163,7 @@ class Encoder:
         self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that begin with a space
         self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.pieces = pieces
-        self.memo: dict[str, bytes | bool] = {}   # False: a text with this piece must be cut with more care
+        self.memo: dict[str, bytes | bool] = {}   # a piece less its space; False: its text must be cut with more care
         self.before: dict[str, bytes | bool] = {}
         self.marks = {c: self._alone(c) for c in ",."} if pieces else {}
 
@@ -171,12 +171,13 @@ class Encoder:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
 
     def _encode_new(self, new: list[str]) -> None:
-        """Ids of pieces that start with one space and end in no space."""
-        done = self.tok.encode_batch_fast(["".join(new[i:i + 1000]) for i in range(0, len(new), 1000)], add_special_tokens=False)
+        """Ids of pieces that neither begin nor end in white space, each behind one space."""
+        done = self.tok.encode_batch_fast([" " + " ".join(new[i:i + 1000]) for i in range(0, len(new), 1000)],
+                                          add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, dtype=f"<u{self.width}") for e in done])
         begins = np.flatnonzero(self.spaced[ids])
-        if len(begins) != len(new):  # a piece that looks like another special token, say
-            self.memo.update((p, self._alone(p)) for p in new)
+        if len(begins) != len(new):  # a piece that looks like a special token, say
+            self.memo.update((p, self._alone(" " + p)) for p in new)
             return
         data, cuts = ids.tobytes(), [*(begins * self.width).tolist(), ids.nbytes]
         self.memo.update((p, data[a:b]) for p, a, b in zip(new, cuts, cuts[1:]))
@@ -186,10 +187,9 @@ class Encoder:
         self.memo.update((p, self.before[p]) for p in known)
         plain, marked, memo = [], [], self.memo
         for p in new - known:
-            if len(p) < 2 or p[0] != " " or p[1].isspace() or p[-1].isspace():
-                # only a text's first piece may start without a space; spaces in a row must stay together
-                memo[p] = self._alone(p) if p and p[0] != " " and not p[-1].isspace() else False if p else b""
-            elif p[-1] in ",." and p[-2].isalpha():
+            if not p or p[0].isspace() or p[-1].isspace():
+                memo[p] = False  # white space in a row must stay together
+            elif p[-1] in ",." and len(p) > 1 and p[-2].isalpha():
                 marked.append(p)
             else:
                 plain.append(p)
@@ -198,21 +198,25 @@ class Encoder:
             self._encode_new(plain)
         memo.update((p, memo[p[:-1]] + self.marks[p[-1]]) for p in marked)
 
+    def _carefully(self, text: str) -> bytes:
+        return b"".join(p[:1] == " " and self.memo.get(p[1:]) or self._alone(p) for p in self.SAFE_CUT.split(text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian bytes, without an end id."""
         if not self.pieces:
             return [self._alone(t) for t in texts]
-        cut = [t.replace(" ", "\0 ").split("\0") if "\0" not in t else [] for t in texts]
         if len(self.memo) > MEMO_PIECES:  # the older generation goes; what is still in use moves over
             self.before, self.memo = self.memo, {}
+        cut = [t.split(" ") for t in texts]
+        first = [c.pop(0) for c in cut]   # stands behind no space
         if new := set().union(*cut).difference(self.memo):
             self._learn(new)
         ids, out = self.memo.__getitem__, []
-        for t, c in zip(texts, cut):
+        for t, f, c in zip(texts, first, cut):
             try:
-                out.append(b"".join(map(ids, c)) if c else self._alone(t))
+                out.append(self._carefully(t) if f[-1:].isspace() else self._alone(f) + b"".join(map(ids, c)))
             except TypeError:
-                out.append(b"".join(self.memo.get(p) or self._alone(p) for p in self.SAFE_CUT.split(t)))
+                out.append(self._carefully(t))
         return out
 
 
