@@ -4,8 +4,8 @@
    lines). Ids, languages, sources and labels are never among them.
 2. ``fit``: the statistics are standardised and mapped to ``cos(xW + b)``, whose inner
    products approximate a Gaussian kernel (Rahimi and Recht 2007). Each partition sums its
-   normal equations; a tree of partitions adds the sums up, so the driver gets a
-   fixed number of D x D matrices at any number of rows. One matrix per fold: the whole
+   normal equations; a tree of partitions adds the sums up, so the driver gets
+   one D x D matrix a fold at any number of rows. One matrix per fold: the whole
    fit uses their sum, and scoring each fold with the other's fit gives
    out-of-fold scores.
 3. Isotonic calibration (pool adjacent violators) of the out-of-fold scores, which are first
@@ -114,7 +114,7 @@ def _matrix(batch: pa.RecordBatch, name: str = "f") -> np.ndarray:
 
 
 def _sum_partitions(parts: DataFrame, n: int) -> list[np.ndarray]:
-    """Adds up the (fold, data) rows of ``n`` partitions in a tree; at most ``FAN`` partitions' rows reach the driver."""
+    """Adds up the (fold, data) rows of ``n`` partitions in a tree; one matrix per fold reaches the driver."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -123,7 +123,7 @@ def _sum_partitions(parts: DataFrame, n: int) -> list[np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(
             [x.tobytes() for x in total.values()], pa.binary())], names=["fold", "data"])
 
-    while n > FAN:
+    while n > 1:
         n = -(-n // FAN)
         parts = parts.repartition(n).mapInArrow(add, "fold int, data binary")
     out = [np.zeros((DIM + 1) * (DIM + 2)) for _ in range(2)]
