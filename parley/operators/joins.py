@@ -2,8 +2,7 @@
 
 Join strategy is left to Catalyst/AQE: a side is broadcast when runtime
 statistics show it is small, and AQE's skew-join splits a hot conversation or
-user on the big side. Explicit ``broadcast`` is used only for the fixed model
-catalogue and for tables whose size is bounded by construction.
+user on the big side. No join here carries a broadcast hint.
 """
 
 from __future__ import annotations
