@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as E
 from parley.operators import lookups as P
 from parley.operators import topk as T
+from parley.plans.registry import QUERIES
 from parley.sources import fixtures as fx
 from conftest import SF_SMALL
 
@@ -29,7 +30,7 @@ def test_top_k_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_products(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
