@@ -99,7 +99,10 @@ def small(spark):
 
 
 def got(spark, name, *columns):
-    return Counter(tuple(r) for r in QUERIES[name](spark, SF).select(*columns).collect())
+    df = QUERIES[name](spark, SF).select(*columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    return Counter(tuple(r) for r in df.collect())
 
 
 def test_licence_query(spark):
