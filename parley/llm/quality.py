@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import as_row, text_of, written
+from parley.llm.common import as_row, give_back, text_of, written
 
 #: Random features, kernel width (in standard deviations), ridge penalty per row, calibration bins.
 DIM, WIDTH, RIDGE, BINS = 256, 3.0, 1e-4, 2000
@@ -61,7 +61,9 @@ def statistics(text: str | None) -> list[float]:
 def statistics_column(text: Column) -> Column:
     @F.arrow_udf("array<float>")
     def stats(texts: pa.Array) -> pa.Array:
-        return pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float32()))
+        out = pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float32()))
+        give_back()
+        return out
 
     return stats(text)
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import as_row, from_row, text_of, written
+from parley.llm.common import as_row, from_row, give_back, text_of, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -69,7 +69,9 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
     """The fingerprint as a signed long, computed batch by batch."""
     @F.arrow_udf("long")
     def fp(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t.as_py(), shingle) for t in texts], dtype=np.uint64).view(np.int64))
+        out = pa.array(np.array([fingerprint(t.as_py(), shingle) for t in texts], dtype=np.uint64).view(np.int64))
+        give_back()
+        return out
 
     return fp(text)
 

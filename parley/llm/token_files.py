@@ -42,14 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm.common import process_cache, shared_dir, text_of
+from parley.llm.common import give_back, process_cache, shared_dir, text_of
 
 END_ID = 0
 SAMPLE = 256
 #: Ids after which a segment is closed (a longer document makes a longer segment).
 SEGMENT_IDS = 1 << 20
 #: Pieces that a worker remembers (twice as many at most), and characters encoded in one call.
-MEMO_PIECES, CALL_CHARS = 1_000_000, 1 << 18
+MEMO_PIECES, CALL_CHARS = 400_000, 1 << 18
 SEGMENTS = "part int, ordinal int, before long, n_docs long, n_ids long, data binary"
 
 
@@ -271,6 +271,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
                 at += len(texts)
         if doc_ids:
             yield segment()
+        doc_ids, ids = [], []
+        give_back()
 
     (dealt.mapInArrow(encode, SEGMENTS).write.option("compression", "none")
      .option("parquet.enable.dictionary", "false").option("parquet.block.size", str(16 << 20)).parquet(path))
