@@ -89,11 +89,13 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def squeeze(count: np.ndarray) -> bytes:
-    return zlib.compress(count.astype("<u4").tobytes(), 1)
+    """Counts of 64 bits, all first bytes before all second ones and so on: the high bytes, mostly zero, take next to nothing."""
+    return zlib.compress(count.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), dtype="<u4")
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
 def log_scores(n: np.ndarray, counts: np.ndarray, alpha: float, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,8 +149,8 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count:
     def scores(texts: pa.Table, replies: pa.Table) -> pa.Table:
         n, _, _, index = exploded(texts.column("text").to_pylist(), order)
         by_part = sorted(zip(replies.column("part").to_pylist(), replies.column("totals").to_pylist()))
-        totals = np.concatenate([*(unsqueeze(x) for _, x in by_part), np.zeros(1, dtype="<u4")])  # index -1: none
-        base, singles, steps = log_scores(n, totals[index].astype(np.int64), alpha, min_count)
+        totals = np.concatenate([*(unsqueeze(x) for _, x in by_part), np.zeros(1, dtype="<i8")])  # index -1: none
+        base, singles, steps = log_scores(n, totals[index], alpha, min_count)
         return pa.table({"doc_id": texts.column("doc_id"), "n_words": pa.array(n, pa.int64()),
                          "n_backoff": pa.array(steps.astype(np.int64)), "base": pa.array(base, pa.float64()),
                          "n_single": pa.array(singles.astype(np.int64))})

@@ -121,3 +121,15 @@ def test_packed_ngrams():
     assert (lm_score.unpack(lm_score.pack(h)) == h & np.uint64((1 << 56) - 1)).all()
     part = lm_score.part_of(h, 37)
     assert (np.diff(part) >= 0).all() and part.min() >= 0 and part.max() < 37
+
+
+@given(st.lists(st.integers(0, (1 << 63) - 1), max_size=50))
+def test_squeezed_counts_round_trip(values):
+    counts = np.array(values, dtype=np.int64)
+    assert lm_score.unsqueeze(lm_score.squeeze(counts)).tolist() == values
+
+
+def test_counts_above_32_bits_score_as_they_are():
+    counts = lm_score.unsqueeze(lm_score.squeeze(np.array([(1 << 32) + 5, 1 << 33])))
+    base, singles, _ = lm_score.log_scores(np.array([2]), np.stack([counts, np.array([0, 1 << 32])]), 0.4, 2)
+    assert singles[0] == 1 and base[0] == pytest.approx(np.log((1 << 32) + 5) + np.log((1 << 32) / ((1 << 32) + 5)))
