@@ -4,7 +4,8 @@ One automaton holds every phrase of ``BASE`` and ``NOTICES`` and the identifier
 word sequences between single spaces. Each text is scanned once, in its word form.
 Texts with a hit get their statements put in order and joined by the word that
 stands between two neighbours (``or``, ``and``, ``with``; anything else counts as
-``and``); identifier tags bring their own expression. ``shunting_yard`` turns the whole
+``and``); identifier tags bring their own expression, and end with it: further tags and notices
+of the same line count. ``shunting_yard`` turns the whole
 into postfix, ``evaluate`` gives the labels and how open the result is.
 
 Defined results: null or empty text has no words, no label and score 0; overlapping
@@ -15,6 +16,7 @@ scanned one by one; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -50,7 +52,9 @@ NOTICES = {
     "all rights reserved": "all-rights-reserved",
 }
 TAG = "spdx license identifier"
-TAG_LINE = re.compile(r"spdx-license-identifier\s*:?[ \t]*([^\n]*)", re.IGNORECASE)
+TAG_HEAD = re.compile(r"spdx-license-identifier\s*:?[ \t]*", re.IGNORECASE)
+#: The words of ``WORD_BYTES`` in a string.
+WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
 #: Identifiers of tags that have a label above.
 IDENTIFIERS = {"apache-2.0": "apache-2", "cc-by-nc-4.0": "cc-by-nc", "gpl-2.0-only": "gpl-2", "gpl-2.0-or-later": "gpl-2",
                "gpl-3.0-only": "gpl-3", "gpl-3.0-or-later": "gpl-3", "cc0-1.0": "cc0", "mpl-2.0": "mpl"}
@@ -94,6 +98,19 @@ def shunting_yard(tokens: list[str]) -> list[str] | None:
     return out + stack[::-1]
 
 
+def well_formed(tokens: list[str]) -> int:
+    """Length of the longest beginning of a token list that ``shunting_yard`` takes."""
+    depth, operand, length = 0, False, 0
+    for i, t in enumerate(tokens, 1):
+        if operand != (t in PRECEDENCE or t == ")") or t == ")" and not depth:
+            break
+        depth += (t == "(") - (t == ")")
+        operand = t not in PRECEDENCE and t != "("
+        if operand and not depth:
+            length = i
+    return length
+
+
 def openness(label: str) -> float:
     return next((v for k, v in OPENNESS.items() if label.startswith(k)), UNKNOWN)
 
@@ -114,14 +131,14 @@ def evaluate(postfix: list[str]) -> tuple[set[str], float]:
     return stack[0]
 
 
-def tag_tokens(expression: str) -> list[str]:
-    """Tokens of an identifier tag's line, up to the first thing that belongs to no expression."""
+def tag_tokens(expression: str) -> list[tuple[str, int, int]]:
+    """Tokens of an identifier tag's line with their places, up to the first thing that belongs to no expression."""
     out = []
-    for t in re.findall(r"[A-Za-z0-9.+-]+|[()]|\S", expression):
-        if not re.fullmatch(r"[A-Za-z0-9.+-]+|[()]", t):
+    for m in re.finditer(r"[A-Za-z0-9.+-]+|[()]|\S", expression):
+        if not re.fullmatch(r"[A-Za-z0-9.+-]+|[()]", m[0]):
             break
-        t = t.lower()
-        out.append(t if t in PRECEDENCE else IDENTIFIERS.get(t, t))
+        t = m[0].lower()
+        out.append((t if t in PRECEDENCE else IDENTIFIERS.get(t, t), m.start(), m.end()))
     return out
 
 
@@ -147,26 +164,40 @@ class Scanner:
 
     def statements(self, text: str, found: dict) -> list[tuple[int, int, list[str]]]:
         """(first word, word after, tokens) of every statement; of overlapping phrases the longest."""
-        def n_words(t: str) -> int:
-            return len(t.encode().translate(WORD_BYTES).split())
-
-        tags = []
-        if any(p == TAG for _, _, p in found["hits"]):
-            for m in TAG_LINE.finditer(text):
-                tokens = tag_tokens(m[1])
-                while tokens and shunting_yard(tokens) is None:  # trailing prose does not belong to the expression
-                    tokens.pop()
-                at = n_words(text[:m.start()])
-                if tokens:
-                    tags.append((at, at + n_words(m[0]), ["(", *tokens, ")"]))
-        out, reached = [], -1
-        for start, end, phrase in sorted(found["hits"], key=lambda h: (h[0], -h[1])):
-            label = self.base.get(phrase) or self.notices.get(phrase)
-            if label and start >= reached and not any(a <= start < b for a, b, _ in tags):
+        notices = [(a, b, label) for a, b, p in sorted(found["hits"], key=lambda h: (h[0], -h[1]))
+                   if (label := self.base.get(p) or self.notices.get(p))]
+        tags = self.tags(text, notices) if any(p == TAG for _, _, p in found["hits"]) else []
+        out, reached, k = [], -1, 0
+        for start, end, label in notices:
+            while k < len(tags) and tags[k][1] <= start:
+                k += 1
+            if start >= reached and not (k < len(tags) and tags[k][0] <= start and end <= tags[k][1]):
                 out.append((start, end, [label]))
                 reached = end
         return sorted(out + tags, key=lambda s: s[:2])
 
+    @staticmethod
+    def tags(text: str, notices: list[tuple[int, int, str]]) -> list[tuple[int, int, list[str]]]:
+        """The statements of identifier tags. A tag ends with its expression: what follows on the line is scanned like any
+        text, and a notice that begins in the expression and goes on behind it is a notice, not part of the expression."""
+        words = [w.start() for w in WORD.finditer(text)]
+        heads = list(TAG_HEAD.finditer(text))
+        starts = [a for a, _, _ in notices]
+        out = []
+        for m, after in zip(heads, [*(h.start() for h in heads[1:]), len(text)]):
+            stop = text.find("\n", m.end(), after)
+            tokens = tag_tokens(text[m.end():after if stop < 0 else stop])
+            while tokens := tokens[:well_formed([t for t, _, _ in tokens])]:  # trailing prose does not belong to the expression
+                end = bisect_left(words, m.end() + tokens[-1][2])
+                first = {bisect_left(words, m.end() + a): k for k, (t, a, _) in reversed([*enumerate(tokens)]) if t != ")"}
+                inside = notices[bisect_left(starts, min(first)):bisect_left(starts, end)]
+                cut = next((first[a] for a, b, _ in inside if b > end and a in first), None)
+                if cut is None:
+                    out.append((bisect_left(words, m.start()), end, ["(", *(t for t, _, _ in tokens), ")"]))
+                    break
+                tokens = tokens[:cut]
+        return out
+
     def judge(self, text: str) -> tuple:
         found = self.scan(text)
         n = len(found["words"])

@@ -116,6 +116,31 @@ def test_licence_tags():
     assert s.judge("SPDX-License-Identifier: AND")[5:7] == ("", 0.0)
 
 
+@pytest.mark.parametrize(("text", "labels", "score", "expression"), [
+    ("SPDX-License-Identifier: MIT, all rights reserved", "all-rights-reserved,mit", 0.0, "( mit ) and all-rights-reserved"),
+    ("SPDX-License-Identifier: MIT or SPDX-License-Identifier: GPL-3.0-only", "gpl-3,mit", 1.0, "( mit ) or ( gpl-3 )"),
+    ("x SPDX-License-Identifier: MIT y SPDX-License-Identifier: CC0-1.0 z gpl v2", "cc0,gpl-2,mit", 0.5, "( mit ) and ( cc0 ) and gpl-2"),
+    ("SPDX-License-Identifier: MIT some prose, GNU General Public License version 3", "gpl-3,mit", 0.5, "( mit ) and gpl-3"),
+    ("SPDX-License-Identifier: MIT or GNU General Public License version 3", "gpl-3,mit", 1.0, "( mit ) or gpl-3"),
+    ("SPDX-License-Identifier: (MIT) and all rights reserved", "all-rights-reserved,mit", 0.0, "( ( mit ) ) and all-rights-reserved"),
+    ("SPDX-License-Identifier: GPL v3", "gpl-3", 0.5, "gpl-3"),
+    ("SPDX-License-Identifier: BSD-3-Clause OR Apache-2.0", "apache-2,bsd-3-clause", 1.0, "( bsd-3-clause or apache-2 )"),
+    ("Grüße SPDX-License-Identifier\nSPDX-License-Identifier: MIT", "mit", 1.0, "( mit )")])
+def test_a_licence_tag_ends_with_its_expression(text, labels, score, expression):
+    assert licences.Scanner().judge(text)[5:8] == (labels, score, expression)
+
+
+def test_places_behind_a_tag_on_its_line():
+    judged = licences.Scanner().judge("é SPDX-License-Identifier: MIT, all rights reserved; SPDX-License-Identifier: MPL-2.0")
+    assert judged[8] == [{"word": 1, "label": "mit"}, {"word": 5, "label": "all-rights-reserved"}, {"word": 8, "label": "mpl"}]
+
+
+@given(st.lists(st.sampled_from(["mit", "gpl", "or", "and", "with", "(", ")"]), max_size=9))
+def test_the_longest_well_formed_beginning(tokens):
+    longest = max((n for n in range(len(tokens) + 1) if n and licences.shunting_yard(tokens[:n]) is not None), default=0)
+    assert licences.well_formed(tokens) == longest
+
+
 def test_packed_ngrams():
     h = np.sort(np.random.default_rng(4).integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
     assert (lm_score.unpack(lm_score.pack(h)) == h & np.uint64((1 << 56) - 1)).all()
