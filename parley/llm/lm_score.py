@@ -9,8 +9,8 @@ word; at one word ``count(w) / words``. A document's score is its mean log score
    hashes and keeps each distinct one with its count (so a word or pair that is
    everywhere leaves a batch once).
 2. The distinct n-grams go to ``parts`` by the top bits of their hash, packed as one block
-   for each (batch, part): seven bytes a hash and its count. A part is one hash
-   partition of the count table: it adds up the counts of equal hashes.
+   for each (batch, part): about six bytes a hash (sorted, so only the gaps) and its count.
+   A part is one hash partition of the count table: it adds up the counts of equal hashes.
 3. The table joins back: each block is answered with the corpus counts of its n-grams.
 4. A batch receives its answers beside its texts (the exchange of step 1 is reused),
    scores every word and sums per document.
@@ -38,6 +38,7 @@ from parley.llm.common import WORD_BYTES, text_of, written
 
 #: Words of an n-gram, discount of a backoff step, and the least count of an n-gram that is used.
 ORDER, ALPHA, MIN_COUNT = 2, 0.4, 2
+_LOW = np.uint64((1 << 56) - 1)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -80,12 +81,17 @@ def part_of(distinct: np.ndarray, parts: int) -> np.ndarray:
 
 
 def pack(distinct: np.ndarray) -> bytes:
-    return np.ascontiguousarray(distinct.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+    """Sorted hashes by the gaps between them, modulo 2^56: the two high bytes of the gaps, mostly small, are compressed."""
+    planes = (np.diff(distinct.astype("<u8"), prepend=np.uint64(0)) & _LOW).view(np.uint8).reshape(-1, 8).T
+    return zlib.compress(planes[5:7].tobytes(), 1) + planes[:5].tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, dtype=np.uint8).reshape(-1, 7)
-    return np.hstack([raw, np.zeros((len(raw), 1), dtype=np.uint8)]).view("<u8").ravel()
+    z = zlib.decompressobj()
+    high = np.frombuffer(z.decompress(data), dtype=np.uint8).reshape(2, -1)
+    gaps = np.zeros((high.shape[1], 8), dtype=np.uint8)
+    gaps[:, 5:7], gaps[:, :5] = high.T, np.frombuffer(z.unused_data, dtype=np.uint8).reshape(5, -1).T
+    return np.cumsum(gaps.view("<u8").ravel()) & _LOW
 
 
 def squeeze(count: np.ndarray) -> bytes:
@@ -121,7 +127,7 @@ def log_scores(n: np.ndarray, counts: np.ndarray, alpha: float, min_count: int)
 
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
     """doc_id, n_words, n_backoff (steps taken), log_score (sum of natural logs) and score (mean, null without words)."""
-    n_batches = max(8, 2 * docs.rdd.getNumPartitions())
+    n_batches = max(8, order * docs.rdd.getNumPartitions())    # a batch's n-grams are as many at any order
     parts = n_batches
     t = docs.select("doc_id", text_of().alias("text")).withColumn(
         "batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).cast("int")).repartition(n_batches, "batch")

@@ -158,3 +158,14 @@ def test_counts_above_32_bits_score_as_they_are():
     counts = lm_score.unsqueeze(lm_score.squeeze(np.array([(1 << 32) + 5, 1 << 33])))
     base, singles, _ = lm_score.log_scores(np.array([2]), np.stack([counts, np.array([0, 1 << 32])]), 0.4, 2)
     assert singles[0] == 1 and base[0] == pytest.approx(np.log((1 << 32) + 5) + np.log((1 << 32) / ((1 << 32) + 5)))
+
+
+@given(st.lists(st.integers(0, (1 << 64) - 1), max_size=60))
+def test_packed_ngrams_round_trip(values):
+    h = np.array(sorted(values), dtype=np.uint64)
+    assert lm_score.unpack(lm_score.pack(h)).tolist() == [v & (1 << 56) - 1 for v in sorted(values)]
+
+
+def test_packed_ngrams_are_small():
+    h = np.sort(np.random.default_rng(5).integers(0, 1 << 58, 23_000).astype(np.uint64))    # a block of the check tables
+    assert len(lm_score.pack(h)) < 6 * len(h)
