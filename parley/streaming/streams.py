@@ -138,8 +138,8 @@ def fan_out_batch(spark: SparkSession, state_dir: str, out_dir: str, lateness: s
 
     Events may come out of order by up to ``lateness``: an event is held back until the
     latest time seen is that much ahead, so a join that arrives after the message it
-    precedes still counts. Events that come later than that are not delivered; they
-    are written to ``state_dir/late``.
+    precedes still counts. Events that come later than that, or without a time, are not
+    delivered; they are written to ``state_dir/late``.
 
     ``state_dir/batch_id=N`` holds what batch N leaves: ``present`` (members), ``held``
     (events held back) and ``seen`` (one row: the latest time). Batch 0 starts from nothing;
@@ -161,9 +161,10 @@ def fan_out_batch(spark: SparkSession, state_dir: str, out_dir: str, lateness: s
         latest = events.agg(F.max("ts")).first()[0]
         latest = max((t for t in (seen, latest) if t is not None), default=None)
         cut = lambda t: F.lit(t).cast("timestamp_ntz") - F.expr(f"INTERVAL {lateness}")
-        late = events.filter(F.col("ts") < cut(seen)) if seen is not None else events.limit(0)
+        too_late = F.col("ts").isNull() | (F.col("ts") < cut(seen) if seen is not None else F.lit(False))
+        late = events.filter(too_late)
         late.write.mode("overwrite").parquet(os.path.join(state_dir, "late", f"batch_id={batch_id}"))
-        waiting = held.unionByName(events if seen is None else events.filter(F.col("ts") >= cut(seen)))
+        waiting = held.unionByName(events.filter(~too_late))
         ready = F.col("ts") <= cut(latest) if latest is not None else F.lit(False)
         deliveries, members = R.fan_out_step(present, waiting.filter(ready))
         (deliveries.withColumn("batch_id", F.lit(batch_id).cast("long"))

@@ -196,3 +196,21 @@ def test_compacted_state_reads_the_same(spark, scratch):
         ST.write_state_batches(path)(spark.createDataFrame([(1, i), (2 + i, 0)], "k long, v long"), i)
     ST.compact_state(spark, path, into, "k")
     assert rows(ST.latest_state(spark, into, "k")) == rows(ST.latest_state(spark, path, "k"))
+
+
+def test_fan_out_events_without_a_time_are_written_aside(spark, scratch):
+    """Every event is processed, held or late, also one without a time, in the first batch and in later ones."""
+    from datetime import datetime, timedelta
+    t = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    state, out_dir = os.path.join(scratch, "state"), os.path.join(scratch, "out")
+    batches = [[(1, 1, 5, "message", None), (2, 1, 6, "join", None)],          # no time seen at all
+               [(3, 1, 5, "join", t(0)), (4, 1, 6, "message", t(1)), (5, 1, 6, "message", None), (6, 1, 6, "message", t(100))],
+               [(7, 1, 6, "message", None), (8, 1, 6, "message", t(2)), (9, 1, 6, "message", t(101))]]
+    step = ST.fan_out_batch(spark, state, out_dir, lateness="60 seconds")
+    for i, events in enumerate(batches):
+        step(spark.createDataFrame(events, "event_id long, conversation_id long, client_id long, kind string, ts timestamp_ntz"), i)
+    late = [r[0] for r in rows(spark.read.parquet(os.path.join(state, "late")).select("event_id"))]
+    held = [r[0] for r in rows(spark.read.parquet(os.path.join(state, "batch_id=2", "held")).select("event_id"))]
+    assert late == [1, 2, 5, 7, 8] and held == [6, 9]
+    want = rows(R.fan_out(spark.createDataFrame([batches[1][0], batches[1][1]], "event_id long, conversation_id long, client_id long, kind string, ts timestamp_ntz")))
+    assert rows(spark.read.parquet(out_dir).drop("batch_id")) == want and len(want) == 1
