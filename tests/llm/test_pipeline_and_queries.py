@@ -171,3 +171,51 @@ def test_token_query(spark):
     tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     assert got(spark, "op10_token_files", "doc_id", "start", "n_tokens", "ids_crc32") == Counter(
         brute.token_index([r[:2] for r in small(spark)], tok))
+
+
+def notices(text):
+    """Labels and score of a text by plain search: single-identifier tags, longest notices from the left, or / and."""
+    import re
+
+    from parley.llm import licences
+    flat, phrases, out = [], licences.NOTICES | licences.BASE, []
+    for k, piece in enumerate(re.split(r"(?i)spdx-license-identifier: ([a-z0-9.+-]+)", text or "")):
+        flat += [licences.IDENTIFIERS.get(piece.lower(), piece.lower()) + "\n"] if k % 2 else brute.item_words(piece)
+    i, between = 0, []
+    while i < len(flat):
+        n = max((len(p.split()) for p in phrases if flat[i:i + len(p.split())] == p.split()), default=0)
+        label = flat[i].strip() if flat[i].endswith("\n") else phrases[" ".join(flat[i:i + n])] if n else None
+        if label:
+            left = [w for w in between if w not in ("the", "a", "an", "license")]
+            out.append(("or" if left == ["or"] else "and", label))
+            between, i = [], i + max(n, 1)
+        else:
+            between.append(flat[i])
+            i += 1
+    sides = []
+    for word, label in out:
+        if word == "or" or not sides:
+            sides.append([])
+        sides[-1].append(next((v for k, v in licences.OPENNESS.items() if label.startswith(k)), licences.UNKNOWN))
+    base = {v for p, v in licences.BASE.items() if f" {p} " in f" {' '.join(brute.item_words(text))} "}
+    return ",".join(sorted(base | {label for _, label in out})), max(map(min, sides), default=0.0)
+
+
+def test_licence_labels_and_score(spark):
+    from parley.llm import licences
+    texts = [t for _, t, _ in small(spark)] + [
+        "SPDX-License-Identifier: MIT, all rights reserved", "a SPDX-License-Identifier: MIT or SPDX-License-Identifier: GPL-3.0-only b",
+        "SPDX-License-Identifier: CC0-1.0; GPL v2 or the Apache License", "under the MIT license or GNU General Public License version 3"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    result = {r["doc_id"]: (r["labels"], r["score"]) for r in licences.scan_licences(df).collect()}
+    assert result == {i: notices(t) for i, t in enumerate(texts)}
+    assert len({labels for labels, _ in result.values()}) > 4
+
+
+def test_quality_stage_keeps_the_good_and_drops_the_bad(spark):
+    truth = {r["doc_id"]: r["quality"] for r in table(spark, SF, "labels").collect()}
+    kept = {d for d, _, _ in rows(dict(corpus_pipeline.STAGES)["quality classifier"](spark, table(spark, SF, "documents"), SF))}
+    ids = {d for d, _, _ in small(spark)}
+    good, bad = ({d for d in ids if truth.get(d) == q} for q in (1, 0))
+    assert len(good) > 10 and len(good - kept) <= 0.1 * len(good)
+    assert len(bad) > 10 and len(bad & kept) <= 0.1 * len(bad)
