@@ -131,4 +131,104 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f0
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLE = {"op3_secrets": OP3, "op6_lm_score": OP6, "op4_line_dedup": OP4, "op5_decontamination": OP5, "op8_host_rules": OP8}
+#: CRC-32 by a table of 256 values (``crc.t``) over the bytes of a text, read from its hexadecimal form.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+                       lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(CAST(length(hex({0})) / 2 AS BIGINT)),
+          lambda i: CAST('0x' || substr(hex({0}), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])))"""
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format('text')}, '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT run, h % length(run) AS pos, h % 199 = 0 AS loses, k
+            FROM (SELECT run, k, {_CRC.format("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h
+                  FROM (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL), crc)),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n
+      FROM (SELECT CASE WHEN loses THEN substr(run, 1, pos) || substr(run, pos + 2) ELSE run END AS word, k FROM counted)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+         UNION SELECT less.word, v.word, v.n FROM less JOIN v ON less.rest = v.word
+         UNION SELECT v.word, less.word, less.n FROM less JOIN v ON less.rest = v.word),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS most,
+                arg_min(near, (-near_n, encode(near))) AS near FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * v.n THEN near END AS form,
+             CASE WHEN most >= 5 * v.n THEN most END AS form_n FROM v LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS stop FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = way.stop WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.stop AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN way USING (word) JOIN f AS fin ON fin.word = way.stop AND fin.form IS NULL
+"""
+
+#: Levels of 16 children that the SQL goes up in a source, and over the sources (16 ** 7 rows, 16 ** 4 sources).
+_LEVELS, _TOPS = 7, 4
+
+
+def _field(c: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+def _levels(name: str, n: int) -> str:
+    """CTEs ``name1`` .. ``name<n>``: the nodes of each level; a lone node of a tree stays as it is."""
+    return ",\n".join(f"""{name}{i} AS (SELECT tree, r // 16 AS r, CASE WHEN max(n) = 1 THEN any_value(x) ELSE sha256(string_agg(x, '' ORDER BY r)) END AS x,
+       (max(n) + 15) // 16 AS n, max(n) > 1 AS raised FROM {name}{i - 1} GROUP BY tree, r // 16)""" for i in range(1, n + 1))
+
+
+def _proofs(name: str, start: str, n: int) -> str:
+    """CTEs ``<name>p1`` ..: what stands left and right of each row's node in its run, level by level."""
+    return ",\n".join(f"""{name}p{i} AS (SELECT c.tree, c.r, coalesce(string_agg(s.x, '' ORDER BY s.r) FILTER (WHERE s.r < c.r), '') AS a,
+       coalesce(string_agg(s.x, '' ORDER BY s.r) FILTER (WHERE s.r > c.r), '') AS b
+       FROM {name}{i} c JOIN {name}{i} s ON s.tree = c.tree AND s.r // 16 = c.r // 16 GROUP BY c.tree, c.r)""" for i in range(n))
+
+
+def _fold(x: str, n: int, name: str) -> str:
+    for i in range(n):
+        x = f"CASE WHEN {name}n{i} > 1 THEN sha256({name}a{i} || {x} || {name}b{i}) ELSE {x} END"
+    return x
+
+
+def _op13() -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    own = " || ".join(map(_field, fields))
+    other = " || ".join(_field(c if c != "text" else "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") for c in fields)
+    sides = lambda name, n, row: ", ".join(
+        f"{name}p{i}.a AS {name}a{i}, {name}p{i}.b AS {name}b{i}, {name}{i}.n AS {name}n{i}" for i in range(n))
+    joins = lambda name, n, tree, r: " ".join(
+        f"JOIN {name}p{i} ON {name}p{i}.tree = {tree} AND {name}p{i}.r = {r} // {16 ** i} "
+        f"JOIN {name}{i} ON {name}{i}.tree = {tree} AND {name}{i}.r = {r} // {16 ** i}" for i in range(n))
+    # one step a statement, so that no expression doubles in length
+    steps = []
+    for k, (name, n) in enumerate((("l", _LEVELS), ("t", _TOPS))):
+        steps += [(name, i) for i in range(n)]
+    folds, before = [], "w"
+    for j, (name, i) in enumerate(steps):
+        folds.append(f"""f{j} AS (SELECT * REPLACE (CASE WHEN {name}n{i} > 1 THEN sha256({name}a{i} || y || {name}b{i}) ELSE y END AS y,
+       proof || {name}a{i} || {name}b{i} AS proof) FROM {before})""")
+        before = f"f{j}"
+    return f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, source, sha256({own}) AS x,
+             CASE WHEN coalesce({_CRC.format("CAST(doc_id AS VARCHAR)")} % 5 = 0, false) THEN sha256({other}) ELSE sha256({own}) END AS y
+      FROM documents, crc),
+s AS (SELECT source, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree, count(*) AS n FROM d GROUP BY source),
+ranked AS (SELECT doc_id, y, tree, n, x, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS LAST, x) - 1 AS r
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+l0 AS (SELECT tree, r, x, n FROM ranked),
+{_levels('l', _LEVELS)},
+t0 AS (SELECT 0 AS tree, tree AS r, x, (SELECT count(*) FROM s) AS n FROM l{_LEVELS}),
+{_levels('t', _TOPS)},
+{_proofs('l', 'ranked', _LEVELS)},
+{_proofs('t', 'ranked', _TOPS)},
+w AS (SELECT ranked.doc_id, ranked.x AS leaf, ranked.y, l{_LEVELS}.x AS subroot, t{_TOPS}.x AS root, '' AS proof,
+             {sides('l', _LEVELS, 'ranked')}, {sides('t', _TOPS, 'ranked')}
+      FROM ranked {joins('l', _LEVELS, 'ranked.tree', 'ranked.r')} {joins('t', _TOPS, '0', 'ranked.tree')}
+      JOIN l{_LEVELS} ON l{_LEVELS}.tree = ranked.tree, t{_TOPS}),
+{", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, y AS folded_root, y = root AS verified FROM {before}
+"""
+
+
+OP13 = _op13()
+
+ORACLE = {"op3_secrets": OP3, "op6_lm_score": OP6, "op4_line_dedup": OP4, "op5_decontamination": OP5, "op8_host_rules": OP8, "op12_spelling": OP12,
+          "op13_merkle": OP13}

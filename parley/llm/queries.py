@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, host_rules, licences, line_dedup, lm_score, mixture, quality, secrets, simhash, token_files
+from parley.llm import (decontamination, host_rules, licences, line_dedup, lm_score, merkle, mixture, packing, quality, secrets,
+                        simhash, spelling, token_files)
 from parley.llm.common import table, tokenizer_path
 
 
@@ -104,6 +105,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_index(spark, path)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document: its ids' checksum, its sequence and place there, read back from the files."""
+    path = packing.write_sequences(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return packing.read_pieces(spark, path)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, its more frequent form and the last form of its chain."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), lose_every=199)
+    return spelling.groups(words.filter(F.col("n") >= spelling.LEAST_COUNT)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and the root folded from the (sometimes tampered) leaf of every document."""
+    return merkle.verify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
 QUERIES = {
     "op6_lm_score": op6_lm_score,
     "op1_licences": op1_licences,
@@ -115,4 +133,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_host_rules": op8_host_rules,
+    "op11_packing": op11_packing,
+    "op12_spelling": op12_spelling,
+    "op13_merkle": op13_merkle,
 }

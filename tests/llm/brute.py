@@ -150,3 +150,97 @@ def token_index(rows, tokenizer):
         out.append((d, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         at += len(ids)
     return out
+
+
+def assign(lengths, size, linear, quadratic):
+    """Packing by looking at every sequence for every rest."""
+    out, rests = [], []
+    for d, n in enumerate(lengths):
+        out += [[(d, at, size)] for at in range(0, n // size * size, size)]
+        rests += [(d, n // size * size, n % size)] if n % size else []
+    total = sum(n for _, _, n in rests)
+    rooms = [size] * (total // size) + [b for b in sorted((1 << k for k in range(size.bit_length())), reverse=True) if total % size & b]
+    new, costs = [[] for _ in rooms], [0.0 for _ in rooms]
+    while rests:
+        d, at, n = min(rests, key=lambda r: (-r[2], r[0], r[1]))
+        rests.remove((d, at, n))
+        q = min((q for q, room in enumerate(rooms) if room >= n), key=lambda q: (costs[q], q), default=None)
+        if q is None:
+            q = min(range(len(rooms)), key=lambda q: (-rooms[q], costs[q], q))
+            rests.append((d, at + rooms[q], n - rooms[q]))
+            n = rooms[q]
+        new[q].append((d, at, n))
+        rooms[q] -= n
+        costs[q] += linear * n + quadratic * n * n
+    return out + new
+
+
+def spelling(docs, lose_every=199, least=5, factor=5):
+    """(word, n, n_near, form, form_n, root) from all neighbours of every word."""
+    counts = Counter()
+    for d, t in docs:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = w.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            if h % lose_every == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            counts[w] += len(w) >= 6
+    n = {w: k for w, k in counts.items() if k >= least}
+    letters, forms = sorted({x for w in n for x in w}), {}
+    for w in n:
+        around = {w[:i] + x + w[i + 1:] for i in range(len(w)) for x in ["", *letters]}
+        around |= {w[:i] + x + w[i:] for i in range(len(w) + 1) for x in letters}
+        near = [v for v in around - {w} if v in n]
+        best = min(near, key=lambda v: (-n[v], v), default=None)
+        forms[w] = len(near), best if best and n[best] >= factor * n[w] else None
+    out = []
+    for w, (n_near, form) in forms.items():
+        root = w
+        while forms[root][1]:
+            root = forms[root][1]
+        out.append((w, n[w], n_near, form, n.get(form), root))
+    return out
+
+
+def _h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _leaf(*values):
+    return _h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+
+def _tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([_h(*levels[-1][i:i + 16]) for i in range(0, len(levels[-1]), 16)])
+    return levels
+
+
+def _path(levels, i):
+    out = []
+    for nodes in levels[:-1]:
+        first = i // 16 * 16
+        out.append((nodes[first:i], nodes[i + 1:first + 16]))
+        i //= 16
+    return out
+
+
+def merkle(rows):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of (doc_id, source, lang, n_chars, text)."""
+    sources = defaultdict(list)
+    for d, source, lang, n, t in rows:
+        own = _leaf(d, source, lang, n, t)
+        hit = d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+        sources[source].append((d is None, d or 0, own, _leaf(d, source, lang, n, t and t.translate(LOWER)) if hit else own, d))
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [_tree([r[2] for r in sorted(sources[s])]) for s in names]
+    top, out = _tree([t[-1][0] for t in trees]), []
+    for k, s in enumerate(names):
+        for i, (_, _, own, node, d) in enumerate(sorted(sources[s])):
+            path = _path(trees[k], i) + _path(top, k)
+            for left, right in path:
+                node = _h(*left, node, *right)
+            siblings = [x for left, right in path for x in left + right]
+            out.append((d, own, trees[k][-1][0], top[-1][0], _h(*siblings), node, node == top[-1][0]))
+    return out
