@@ -49,7 +49,7 @@ SAMPLE = 256
 #: Ids after which a segment is closed (a longer document makes a longer segment).
 SEGMENT_IDS = 1 << 20
 #: Pieces that a worker remembers (twice as many at most), and characters encoded in one call.
-MEMO_PIECES, CALL_CHARS = 400_000, 1 << 18
+MEMO_PIECES, CALL_CHARS = 400_000, 1 << 20
 SEGMENTS = "part int, ordinal int, before long, n_docs long, n_ids long, data binary"
 
 
@@ -180,20 +180,22 @@ class Encoder:
             self.memo.update((p, self._alone(" " + p)) for p in new)
             return
         data, cuts = ids.tobytes(), [*(begins * self.width).tolist(), ids.nbytes]
-        self.memo.update((p, data[a:b]) for p, a, b in zip(new, cuts, cuts[1:]))
+        self.memo.update(zip(new, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
 
     def _learn(self, new: set[str]) -> None:
-        known = new & self.before.keys()
-        self.memo.update((p, self.before[p]) for p in known)
-        plain, marked, memo = [], [], self.memo
-        for p in new - known:
-            if not p or p[0].isspace() or p[-1].isspace():
+        before, plain, marked, memo = self.before, [], [], self.memo
+        for p in new:
+            if p in before:
+                memo[p] = before[p]
+            elif p.isalpha():
+                plain.append(p)
+            elif not p or p[0].isspace() or p[-1].isspace():
                 memo[p] = False  # white space in a row must stay together
             elif p[-1] in ",." and len(p) > 1 and p[-2].isalpha():
                 marked.append(p)
             else:
                 plain.append(p)
-        plain += {p[:-1] for p in marked}.difference(memo, plain)
+        plain += {p[:-1] for p in marked}.difference(plain).difference(memo)
         if plain:
             self._encode_new(plain)
         memo.update((p, memo[p[:-1]] + self.marks[p[-1]]) for p in marked)
