@@ -133,9 +133,9 @@ def build(leaves: DataFrame, group: str = "source", order: str = "doc_id") -> Ma
     above, root = _raise(subroots.select(F.lit(0).cast("long").alias("tree"), F.lit(root_height).alias("height"),
                                          F.col("tree").alias("rank"), "digest"), root_height)
     records = none
-    for t in (below, above):
+    for t in (below, above):   # None where a single leaf or a single source needs no node
         records = records if t is None else records.unionByName(t)
-    records = records.groupBy("digest").agg(F.any_value("children").alias("children"))
+    records = written(records.groupBy("digest").agg(F.any_value("children").alias("children")), "merkle-records")
     trees = trees.join(subroots.withColumnRenamed("digest", "subroot"), "tree")
     return Manifest(placed.drop("height"), trees, records, root.first()["digest"], root_height, tallest)
 
@@ -174,11 +174,11 @@ def prove(manifest: Manifest, requests: DataFrame) -> DataFrame:
         at = _step(at, manifest.records, above(sources, level, "tree"))
     # down the trees of all sources, the tallest first, as far as the leaves' parents
     heights = manifest.trees.select(F.col("tree").alias("rank"), F.col("height").alias("_height"))
-    at = at.join(heights, "rank").select(F.col("rank").alias("tree"), F.col("_height").alias("height"),
-                                         F.lit(0).cast("long").alias("rank"), "digest", "path")
+    at = written(at.join(heights, "rank").select(F.col("rank").alias("tree"), F.col("_height").alias("height"),
+                                                 F.lit(0).cast("long").alias("rank"), "digest", "path"), "merkle-subroot-paths")
     for level in range(manifest.tallest, 1, -1):
         lower = _step(at.filter(F.col("height") == level), manifest.records, above(parents, level - 2, "tree"))
-        at = at.filter(F.col("height") < level).unionByName(lower)
+        at = written(at.filter(F.col("height") < level).unionByName(lower), "merkle-paths")
     # the last digit is the request's own: the parent's record travels, not one long path a leaf
     last = at.join(manifest.records, "digest", "left").select(
         "tree", F.col("rank").alias("_parent"), "path", F.when(F.col("height") == 1, F.col("children")).alias("children"))
