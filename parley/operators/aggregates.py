@@ -65,6 +65,50 @@ def prompt_context(m: DataFrame, max_turns: int | None = None, max_rows: int | N
                                                                  x["content"].alias("content"))).alias("context"))
 
 
+def prompt_chunks(m: DataFrame, chunk: int = 64, max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """A1 (packed, stored form): (chunks, turns) whose size is linear in the messages.
+
+    The contexts of a conversation's turns are prefixes of one list, so each message is stored once: ``chunks`` has
+    conversation_id, chunk (from 0) and ``messages``, at most ``chunk`` of them in order; ``turns`` has, for every user
+    turn, the number of whole chunks that its context begins with and the messages that it
+    takes from the next one (``tail``). ``expand_prompt_chunks`` gives the contexts' rows, ``read_prompt`` packed ones.
+    No group holds more than ``chunk`` messages, whatever the conversation's length.
+    """
+    h = message_history(m.select("conversation_id", "message_id", "role", "content", "created_at"), max_rows=max_rows)
+    number = F.floor((F.col("ordinal") - 1) / chunk).cast("long")
+    packed = h.groupBy("conversation_id", number.alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("ordinal", "role", "content"))).alias("_m"))
+    chunks = packed.select("conversation_id", "chunk", F.transform(
+        "_m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
+    turns = h.filter(F.col("role") == "user").select(
+        "conversation_id", "message_id", F.floor(F.col("ordinal") / chunk).cast("long").alias("whole_chunks"),
+        (F.col("ordinal") % chunk).cast("long").alias("tail"))
+    return chunks, turns
+
+
+def _chunk_parts(chunks: DataFrame, turns: DataFrame) -> DataFrame:
+    """One row for each chunk of each turn's context, with the messages that the turn takes from it."""
+    need = turns.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole_chunks"))))
+    need = need.filter((F.col("chunk") < F.col("whole_chunks")) | (F.col("tail") > 0))
+    part = F.when(F.col("chunk") < F.col("whole_chunks"), F.col("messages")).otherwise(
+        F.slice("messages", F.lit(1), F.col("tail").cast("int")))
+    return need.join(chunks, ["conversation_id", "chunk"]).select("conversation_id", "message_id", "chunk", part.alias("part"))
+
+
+def expand_prompt_chunks(chunks: DataFrame, turns: DataFrame) -> DataFrame:
+    """A1: the rows of ``prompt_context_rows`` for the given ``turns`` (all, or some of them) from stored chunks."""
+    size = chunks.agg(F.max(F.size("messages"))).first()[0] or 1
+    parts = _chunk_parts(chunks, turns).select("conversation_id", "message_id", "chunk", F.posexplode("part").alias("_at", "_m"))
+    return parts.select("conversation_id", "message_id", (F.col("chunk") * size + F.col("_at")).alias("pos"), "_m.role", "_m.content")
+
+
+def read_prompt(chunks: DataFrame, turns: DataFrame) -> DataFrame:
+    """A1: per given turn the ordered ``array<struct<role, content>>`` sent to the model."""
+    parts = _chunk_parts(chunks, turns).groupBy("conversation_id", "message_id").agg(
+        F.array_sort(F.collect_list(F.struct("chunk", "part"))).alias("_parts"))
+    return parts.select("conversation_id", "message_id", F.flatten(F.transform("_parts", lambda x: x["part"])).alias("context"))
+
+
 def first_titles(m: DataFrame) -> DataFrame:
     """Title candidate per conversation: F1 of the first user message that would set it."""
     usable = (F.col("role") == "user") & (F.col("content") != K.DEFAULT_TITLE) & (F.col("content") != "")

@@ -2,7 +2,7 @@
 
 Plain Parquet has no in-place update, so each operator returns the next
 snapshot as a DataFrame (write it with ``sources.tables.snapshot``). "First per
-email" and "latest per user" use ``min_by``/``max_by`` (map-side partial
+email" and "last per field" use ``min_by``/``max_by`` (map-side partial
 aggregation), never a window over a possibly hot key. ``updated_at`` is set to
 ``as_of`` on every row an operation touched, even when no value changed, as the
 store's update trigger does (M7).
@@ -66,7 +66,9 @@ def patch_users(u: DataFrame, patches: DataFrame, as_of) -> tuple[DataFrame, Dat
     that break the user rules (email form, name and email never null, provider one
     of the known ones), an email held by another user, and an email that an
     earlier acceptable patch of the batch claims for another user (ours: first
-    by time, then patch_id). Of the accepted patches the latest per user wins (ours).
+    by time, then patch_id). The accepted patches of a user take effect one after the
+    other, by time, then patch_id: each field ends with the value of the last patch that lists it.
+    All fields merge in one map-side combined aggregation, so a user with very many patches is not one task's list.
     Returns (next users snapshot, rejected patches with ``reasons``).
     """
     owners = u.select(F.col("id").alias("_owner"), F.col("email").alias("_email"))
@@ -96,19 +98,20 @@ def patch_users(u: DataFrame, patches: DataFrame, as_of) -> tuple[DataFrame, Dat
     accepted = p.filter(F.size("reasons") == 0)
     rejected = p.filter(F.size("reasons") > 0).select("patch_id", "user_id", "reasons")
 
+    # last writer wins per field: the value of the newest accepted patch that lists it, an explicit null included
     carried = [c for c in PATCHABLE if c in patches.columns]
-    latest = (accepted.groupBy("user_id")
-                      .agg(F.max_by(F.struct("fields", *carried), F.struct("ts", "patch_id")).alias("_p"))
-                      .select(F.col("user_id").alias("_uid"), "_p"))
-    out = u.join(latest, u["id"] == latest["_uid"], "left")
-    hit = F.col("_uid").isNotNull()
+    newest = [F.max_by(F.struct(F.col(c).alias("v")), F.when(F.array_contains("fields", c), F.struct("ts", "patch_id"))).alias(f"_new_{c}")
+              for c in carried]
+    merged = accepted.groupBy(F.col("user_id").alias("_uid")).agg(F.count(F.lit(1)).alias("_patches"), *newest)
+    out = u.join(merged, u["id"] == merged["_uid"], "left")
     cols = []
     for f in USERS.fields:
         c = F.col(f.name)
         if f.name in carried:
-            c = F.when(hit & F.array_contains(F.col("_p.fields"), f.name), F.col(f"_p.{f.name}")).otherwise(c)
+            new = F.col(f"_new_{f.name}")
+            c = F.when(new.isNotNull(), new["v"]).otherwise(c)
         elif f.name == "updated_at":
-            c = F.when(hit, _ts(as_of)).otherwise(c)
+            c = F.when(F.col("_uid").isNotNull(), _ts(as_of)).otherwise(c)
         cols.append(c.cast(f.dataType).alias(f.name))
     return out.select(*cols), rejected
 

@@ -118,6 +118,10 @@ UNION ALL SELECT reg_id AS id, email, name, 'email' AS provider, CAST(NULL AS VA
     return with_views("," + body, "users", "registrations").replace("\n,", ",\n", 1)
 
 
+#: Patchable fields that the fixture's patches carry.
+_MERGED = ("name", "email", "default_model", "preferences")
+
+
 def _patch_sql(rejected: bool) -> str:
     ctes = f"""u AS ({_USERS_N}),
  p AS (SELECT pp.*, u1.id IS NOT NULL AS known, u2.id AS owner FROM profile_patches pp
@@ -136,17 +140,18 @@ def _patch_sql(rejected: bool) -> str:
  r AS (SELECT q.*, CASE WHEN first_reasons = '' AND list_contains(fields,'email')
                              AND EXISTS (SELECT 1 FROM claim WHERE claim.email = q.email AND claimer <> q.user_id)
                         THEN 'email repeated in batch' ELSE first_reasons END AS reasons FROM q),
- l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, patch_id DESC) AS rn
-       FROM r WHERE reasons = '') t WHERE rn = 1)"""
+ touched AS (SELECT DISTINCT user_id FROM r WHERE reasons = '')""" + "".join(f""",
+ last_{c} AS (SELECT user_id, {c} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, patch_id DESC) AS rn
+       FROM r WHERE reasons = '' AND list_contains(fields,'{c}')) t WHERE rn = 1)""" for c in _MERGED)
     if rejected:
         body = "SELECT patch_id, user_id, reasons FROM r WHERE reasons <> ''"
     else:
         def f(c):
-            return f"CASE WHEN l.user_id IS NOT NULL AND list_contains(l.fields,'{c}') THEN l.{c} ELSE u.{c} END AS {c}"
+            return f"CASE WHEN last_{c}.user_id IS NOT NULL THEN last_{c}.{c} ELSE u.{c} END AS {c}"
         body = f"""SELECT u.id, {f('email')}, {f('name')}, u.provider, u.provider_id, u.subscription_tier,
   u.subscription_expires_at, {f('default_model')}, {f('preferences')}, u.is_active, u.created_at,
-  CASE WHEN l.user_id IS NOT NULL THEN {_ts(Q.CHANGE_AS_OF)} ELSE u.updated_at END AS updated_at
- FROM u LEFT JOIN l ON l.user_id = u.id"""
+  CASE WHEN touched.user_id IS NOT NULL THEN {_ts(Q.CHANGE_AS_OF)} ELSE u.updated_at END AS updated_at
+ FROM u LEFT JOIN touched ON touched.user_id = u.id {" ".join(f"LEFT JOIN last_{c} ON last_{c}.user_id = u.id" for c in _MERGED)}"""
     return with_views("," + ctes + "\n" + body, "users", "profile_patches").replace("\n,", ",\n", 1)
 
 
@@ -187,6 +192,14 @@ ORACLE: dict[str, str] = {
         """SELECT c.conversation_id, CAST(COALESCE(part, 0) AS BIGINT) AS part, CAST(to_json({'id': c.conversation_id, 'title': c.title, 'model': c.ai_model,
    'messages': COALESCE(ms.msgs, [])}) AS VARCHAR) AS json
  FROM chats c LEFT JOIN ms USING (conversation_id)""", "messages", "chats"),
+    "export_pieces": with_views("""SELECT conversation_id, CAST(0 AS INT) AS section, CAST(0 AS BIGINT) AS pos,
+  CAST(to_json({'id': conversation_id, 'title': title, 'model': ai_model}) AS VARCHAR)[:-2] || ',"messages":[' AS text FROM chats
+ UNION ALL
+ SELECT conversation_id, 1, pos, CASE WHEN pos > 1 THEN ',' ELSE '' END || CAST(to_json({'role': role, 'content': content,
+   'timestamp': strftime(created_at, '%Y-%m-%dT%H:%M:%S.%g')}) AS VARCHAR)
+ FROM (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY created_at, message_id) AS pos FROM messages) t
+ WHERE conversation_id IN (SELECT conversation_id FROM chats)
+ UNION ALL SELECT conversation_id, 2, 0, ']}' FROM chats""", "messages", "chats"),
     # 2.2
     "active_conversations_of_user": with_views(f"SELECT * FROM chats WHERE is_active AND user_id = {Q.ONE_USER}", "chats"),
     "public_profile": with_views("SELECT id, email, name, subscription_tier, default_model, preferences, created_at FROM users", "users"),
@@ -208,6 +221,11 @@ ORACLE: dict[str, str] = {
     # 2.3
     "validate_registrations": with_views(f"""SELECT reg_id, email, reasons = '' AS is_valid, reasons FROM (
   SELECT reg_id, email, {_REG_REASONS} AS reasons FROM registrations) t""", "registrations"),
+    "validate_logins": with_views("""SELECT reg_id, concat_ws(';',
+  CASE WHEN email IS NULL THEN 'email missing' END,
+  CASE WHEN NOT regexp_matches(email, '^[^\\s@]+@[^\\s@]+\\.[^\\s@]+$') THEN 'email malformed' END,
+  CASE WHEN password IS NULL THEN 'password missing' END,
+  CASE WHEN length(password) < 6 THEN 'password shorter than 6' END) AS reasons FROM registrations""", "registrations"),
     "validate_messages": with_views("""SELECT message_id, concat_ws(';',
   CASE WHEN content IS NULL THEN 'content missing' END,
   CASE WHEN length(content) < 1 THEN 'content shorter than 1' END,
@@ -277,6 +295,12 @@ ORACLE: dict[str, str] = {
   c.role, c.content
  FROM h t JOIN h c ON c.conversation_id = t.conversation_id AND c.n <= t.n AND c.n >= greatest(1, t.n - {Q.PROMPT_TURNS - 1})
  WHERE t.role = 'user'""", "messages"),
+    "prompt_chunks": _with(_HISTORY, f"""SELECT conversation_id, (n - 1) // {Q.PROMPT_CHUNK} AS chunk, count(*) AS n_messages,
+  CAST(to_json(list({{'role': role, 'content': content}} ORDER BY n)) AS VARCHAR) AS messages FROM h GROUP BY 1, 2""", "messages"),
+    "prompt_chunk_turns": _with(_HISTORY, f"""SELECT conversation_id, message_id, n // {Q.PROMPT_CHUNK} AS whole_chunks, n % {Q.PROMPT_CHUNK} AS tail
+ FROM h WHERE role = 'user'""", "messages"),
+    "prompt_context_expanded": _with(_HISTORY, """SELECT t.conversation_id, t.message_id, c.n - 1 AS pos, c.role, c.content
+ FROM h t JOIN h c ON c.conversation_id = t.conversation_id AND c.n <= t.n WHERE t.role = 'user'""", "messages"),
     "prompt_ranges": _with(_HISTORY, f"""SELECT conversation_id, message_id, greatest(1, n - {Q.PROMPT_TURNS - 1}) AS first_ordinal,
   n AS last_ordinal FROM h WHERE role = 'user'""", "messages"),
     "derive_titles": _with(f"""ft AS (SELECT conversation_id, {_title('content')} AS cand FROM (
@@ -391,6 +415,12 @@ ORACLE: dict[str, str] = {
   greatest({Q.RATE['limit']} - requests, 0) AS remaining, requests > {Q.RATE['limit']} AS limited
  FROM (SELECT client_ip, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests
        FROM requests GROUP BY 1, 2) t""", "requests"),
+    "admission_step": with_views(f"""SELECT request_id, client_ip, ts, window_start, position, position <= {Q.RATE['limit']} AS accepted
+ FROM (SELECT *, row_number() OVER (PARTITION BY client_ip, window_start ORDER BY ts, request_id) AS position
+       FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM requests) a) t
+ WHERE ts >= {_ts(Q.ADMIT_AT)}""", "requests"),
+    "admission_step_counts": with_views(f"""SELECT client_ip, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests
+ FROM requests WHERE ts < {_ts(Q.ADMIT_AT)} AND time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR > {_ts(Q.ADMIT_AT)} GROUP BY 1, 2""", "requests"),
     "rate_limited_requests": with_views(f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY client_ip, window_start
   ORDER BY ts, request_id) AS position FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM requests) a) t
  WHERE position > {Q.RATE['limit']}""", "requests"),

@@ -35,10 +35,12 @@ CHANGE_AS_OF = "2024-02-01 00:00:00"
 RATE = dict(limit=2, window="1 hour")   # 100/minute never trips on the fixtures
 RECENT_K = 3
 PROMPT_TURNS = 4
+PROMPT_CHUNK = 4
 EXPORT_PART = 3
 ONE_USER = 5
 CURSOR_AT, CURSOR_ID = "2024-01-02 12:00:00", 20
 STEP_AT = "2024-01-03 00:00:00"
+ADMIT_AT = "2024-01-03 00:25:00"   # inside a window
 # Price list (ours; the product names none): USD per million tokens by model,
 # scaled by tier. A caller argument, not data.
 BASE_USD_PER_1M = {"gpt-4": 30.0, "gpt-3.5-turbo": 1.5, "claude-3-sonnet": 15.0,
@@ -107,6 +109,15 @@ def chat_list(spark: SparkSession, sf_dir: str, page: int = 1) -> DataFrame:
                       key="conversation_id")
 
 
+def _admission(r: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decisions on the requests from ``ADMIT_AT`` on, after the counts that the earlier ones leave; and those counts."""
+    cut = F.lit(ADMIT_AT).cast("timestamp_ntz")
+    none = r.select("client_ip", F.col("ts").alias("window_start"), F.lit(0).cast("long").alias("requests")).limit(0)
+    _, counts = R.admit(none, r.filter(F.col("ts") < cut), cut, **RATE)
+    decided, _ = R.admit(counts, r.filter(F.col("ts") >= cut), cut, **RATE)
+    return decided.select("request_id", "client_ip", "ts", "window_start", "position", "accepted"), counts
+
+
 def _q(**kw) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return kw
 
@@ -120,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     load_messages=lambda s, d: S.normalize_messages(_msgs(s, d)),
     export_conversations=lambda s, d: S.export_conversations(fx.chats(s, d), _msgs(s, d)),
     export_conversations_parts=lambda s, d: S.export_conversations(fx.chats(s, d), _msgs(s, d), part_size=EXPORT_PART),
+    export_pieces=lambda s, d: S.export_pieces(fx.chats(s, d), _msgs(s, d)),
     # 2.2 projections, filters, lookups
     public_profile=lambda s, d: P.public_profile(fx.users(s, d)),
     lookup_users=lambda s, d: P.lookup_users(fx.users(s, d), fx.requests(s, d).select(F.col("user_id").alias("id")), on="id"),
@@ -138,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     # 2.3 validation and defaults
     validate_registrations=lambda s, d: _reasons_text(V.check(fx.registrations(s, d), "registration"))
         .select("reg_id", "email", (F.col("reasons") == "").alias("is_valid"), "reasons"),
+    validate_logins=lambda s, d: _reasons_text(V.check(fx.registrations(s, d), "login")).select("reg_id", "reasons"),
     validate_messages=lambda s, d: _reasons_text(V.check(_msgs(s, d), "message"))
         .select("message_id", "reasons"),
     apply_defaults=lambda s, d: V.apply_defaults(fx.chats(s, d), "conversations"),
@@ -185,6 +198,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     # 2.5 aggregation and sequence building
     prompt_context=lambda s, d: A.prompt_context_rows(_msgs(s, d)),
     prompt_context_window=lambda s, d: A.prompt_context_rows(_msgs(s, d), max_turns=PROMPT_TURNS),
+    prompt_chunks=lambda s, d: A.prompt_chunks(_msgs(s, d), PROMPT_CHUNK)[0].select(
+        "conversation_id", "chunk", F.size("messages").cast("long").alias("n_messages"),
+        F.to_json("messages", {"ignoreNullFields": "false"}).alias("messages")),
+    prompt_chunk_turns=lambda s, d: A.prompt_chunks(_msgs(s, d), PROMPT_CHUNK)[1],
+    prompt_context_expanded=lambda s, d: A.expand_prompt_chunks(*A.prompt_chunks(_msgs(s, d), PROMPT_CHUNK)),
     prompt_ranges=lambda s, d: A.prompt_ranges(_msgs(s, d), max_turns=PROMPT_TURNS),
     derive_titles=lambda s, d: A.derive_titles(fx.chats(s, d), _msgs(s, d)),
     last_activity=lambda s, d: A.last_activity(_msgs(s, d)),
@@ -231,5 +249,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     fan_out_step=lambda s, d: _second_half(fx.room_events(s, d))[0],
     fan_out_step_members=lambda s, d: _second_half(fx.room_events(s, d))[1].select("conversation_id", "client_id", "since"),
     rate_limit=lambda s, d: R.rate_limit(fx.requests(s, d), **RATE),
+    admission_step=lambda s, d: _admission(fx.requests(s, d))[0],
+    admission_step_counts=lambda s, d: _admission(fx.requests(s, d))[1],
     rate_limited_requests=lambda s, d: R.rate_limited_requests(fx.requests(s, d), **RATE),
 )

@@ -69,14 +69,20 @@ def load_messages(spark: SparkSession, path: str, since=None) -> DataFrame:
     return m
 
 
-def append_messages(m: DataFrame, path: str) -> None:
+def append_messages(m: DataFrame, path: str, load_id: str | None = None) -> None:
     """Append messages, partitioned by ``created_date`` (one directory per day).
 
-    Rows are first dealt by day (a large day over several tasks), so a day gets
-    few files. An append is not idempotent: a job that is run again adds its rows again.
+    Rows are first dealt by day (a large day over several tasks), so a day gets few files.
+    ``load_id`` names the load: its rows go to a partition of their own inside each day and replace what
+    an earlier run of the same load left there, so a load that is run again (with the same
+    rows) adds nothing. Without it a second run adds its rows again. A table takes loads of one form only.
     """
-    (normalize_messages(m).withColumn("created_date", F.to_date("created_at")).hint("rebalance", "created_date")
-        .write.mode("append").partitionBy("created_date").parquet(path))
+    t = normalize_messages(m).withColumn("created_date", F.to_date("created_at")).hint("rebalance", "created_date")
+    if load_id is None:
+        t.write.mode("append").partitionBy("created_date").parquet(path)
+    else:
+        (t.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("created_date", "load_id").parquet(path))
 
 
 def snapshot(df: DataFrame, path: str, day) -> None:
@@ -118,3 +124,39 @@ def export_conversations(c: DataFrame, m: DataFrame, part_size: int | None = Non
         F.col("conversation_id").alias("id"), "title", "model",
         F.coalesce(msgs, F.array().cast("array<struct<role:string,content:string,timestamp:string>>")).alias("messages"))
     return doc.select("conversation_id", "part", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def export_pieces(c: DataFrame, m: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """S7 as a stream of text pieces: conversation_id, section, pos, text.
+
+    A document is its pieces in (section, pos) order, joined without separator: section 0 opens it, section 1
+    has one piece a message (numbered by the skew-safe ``ordinal``), section 2 closes it. The text equals
+    ``export_conversations``'; no row, group or task holds a whole conversation.
+    """
+    from parley.plans.skew import ordinal
+    keep = {"ignoreNullFields": "false"}
+    head = F.to_json(F.struct(F.col("conversation_id").alias("id"), "title", F.col("ai_model").alias("model")), keep)
+    zero = F.lit(0).cast("long").alias("pos")
+    opening = c.select("conversation_id", F.lit(0).alias("section"), zero, F.concat(
+        F.substring(head, 1, F.length(head) - 1), F.lit(',"messages":[')).alias("text"))
+    closing = c.select("conversation_id", F.lit(2).alias("section"), zero, F.lit("]}").alias("text"))
+    own = m.join(c.select("conversation_id"), "conversation_id", "left_semi").select(
+        "conversation_id", "message_id", "role", "content", "created_at")
+    numbered = ordinal(own, ["conversation_id"], ["created_at", "message_id"], out="pos", max_rows=max_rows)
+    one = F.to_json(F.struct("role", "content", F.date_format("created_at", _TS_FORMAT).alias("timestamp")), keep)
+    messages = numbered.select("conversation_id", F.lit(1).alias("section"), "pos", F.concat(
+        F.when(F.col("pos") > 1, F.lit(",")).otherwise(F.lit("")), one).alias("text"))
+    return opening.unionByName(messages).unionByName(closing)
+
+
+def write_export(c: DataFrame, m: DataFrame, path: str, max_rows: int | None = None) -> None:
+    """Writes the documents as JSON text files, one line a piece.
+
+    Pieces are range-partitioned by (conversation, section, position), so a long conversation goes on in the
+    next file; the files in name order hold the documents one after the other. (White space between
+    JSON tokens has no meaning, and a message's text holds no line break.)
+    """
+    n = int(c.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["conversation_id", "section", "pos"]
+    pieces = export_pieces(c, m, max_rows).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    pieces.select("text").write.text(path)
