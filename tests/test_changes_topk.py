@@ -39,7 +39,7 @@ def test_register_users(spark, users):
 def test_patch_users(spark, users):
     patches = spark.createDataFrame([
         (1, 1, ["name", "preferences"], "Anna", None, None, '{"theme":"light","n":{"a":1}}', None, T0),
-        (2, 1, ["default_model"], None, None, None, None, None, T0 + timedelta(seconds=1)),   # explicit null, later: wins
+        (2, 1, ["default_model"], None, None, None, None, None, T0 + timedelta(seconds=1)),   # explicit null; the rest stays
         (3, 2, ["password"], None, None, None, None, "x", T0),
         (4, 2, ["email"], None, "a@x.io", None, None, None, T0),
         (5, 9, ["name"], "Ghost", None, None, None, None, T0)],
@@ -47,7 +47,7 @@ def test_patch_users(spark, users):
         "preferences string, password string, ts timestamp_ntz")
     out, rejected = M.patch_users(users, patches, "2024-02-01 00:00:00")
     got = {r.id: (r.name, r.default_model, r.preferences, r.updated_at) for r in out.collect()}
-    assert got[1] == ("Ann", None, '{"theme":"dark"}', datetime(2024, 2, 1))
+    assert got[1] == ("Anna", None, '{"theme":"light","n":{"a":1}}', datetime(2024, 2, 1))
     assert got[2] == ("Bo", "gpt-4", None, T0)
     assert {r.patch_id: r.reasons for r in rejected.collect()} == {
         3: ["field not patchable"], 4: ["email taken"], 5: ["user not found"]}
