@@ -4,9 +4,10 @@
 rules (with a free start, so a match may begin anywhere), makes it deterministic by
 subset construction over byte classes, minimises it by partition refinement and lays
 it out as a flat transition array. ``Scanner.scan`` runs every text's bytes through that
-array once. Where a rule's accepting state is reached, the rule's reversed
-automaton finds the leftmost start and its anchored automaton the longest end, so each
-rule yields its leftmost, non-overlapping, longest matches; bytes are otherwise read once.
+array once and notes which rules accept, and where last. Such a rule's reversed automaton then runs back over
+the text once and marks every place where a match begins; from the leftmost unused one its
+anchored automaton takes the longest match. So each rule yields its leftmost, non-overlapping,
+longest matches, in time linear in the text; texts without a hit are read once.
 
 Rules may ask for a least length after the match is known (a shorter match is dropped, but
 has used up its text). Positions are code points, ends exclusive.
@@ -18,13 +19,15 @@ rows are scanned one by one; an empty table gives no rows; extra columns are ign
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from parley.llm.common import text_of
+from parley.llm.common import process_cache, text_of
 
 
 @dataclass(frozen=True)
@@ -223,12 +226,16 @@ class Automaton:
                         todo.append(t)
             return frozenset(out)
 
+        # what a state leads to by each class, free moves included
+        onward = [[frozenset().union(*[closure([t]) for chars, t in moves if b in chars]) for b in self.samples] if moves else None
+                  for moves in nfa.moves]
         number = {closure([begin]): 0}
         order, table = list(number), []
         for states in order:  # grows
             row = []
-            for b in self.samples:
-                nxt = closure({t for s in states for chars, t in nfa.moves[s] if b in chars})
+            moving = [onward[s] for s in states if onward[s]]
+            for c in range(self.width):
+                nxt = frozenset().union(*[m[c] for m in moving])
                 if nxt not in number:
                     number[nxt] = len(order)
                     order.append(nxt)
@@ -253,7 +260,7 @@ class Automaton:
         # accepting blocks get the highest numbers
         ranked = sorted(first_of, key=lambda b: (bool(accepted[first_of[b]]), first_of[b]))
         place = {b: k * self.width for k, b in enumerate(ranked)}
-        self.next = [place[block[t]] for b in ranked for t in table[first_of[b]]]
+        self.next = array("i", [place[block[t]] for b in ranked for t in table[first_of[b]]])
         self.rules = {place[b]: sorted(accepted[first_of[b]]) for b in ranked if accepted[first_of[b]]}
         self.first = min(self.rules)
         self.start = place[block[0]]
@@ -261,18 +268,26 @@ class Automaton:
         self.dead = stuck[0] if stuck else -1
         self.n_states = len(ranked)
 
-    def longest(self, data, start: int, stop: int, step: int) -> int | None:
-        """The farthest place an anchored match reaches from ``start`` towards ``stop``."""
-        s, reached, at = self.start, None, start
-        while at != stop:
-            s = self.next[s + self.byte_class[data[at if step > 0 else at - 1]]]
-            at += step
+    def longest(self, data: bytes, start: int) -> int:
+        """The farthest end of a match that begins at ``start``."""
+        s, reached = self.start, start
+        for at in range(start, len(data)):
+            s = self.next[s + self.byte_class[data[at]]]
             if s >= self.first:
-                reached = at
+                reached = at + 1
             elif s == self.dead:
                 break
         return reached
 
+    def accepting_places(self, data: bytes, stop: int) -> list[int]:
+        """For a reversed automaton: all places at which a match that ends by ``stop`` begins, in order."""
+        s, nxt, first, out = self.start, self.next, self.first, []
+        for at, c in enumerate(data[:stop][::-1].translate(self.byte_class), 1):
+            s = nxt[s + c]
+            if s >= first:
+                out.append(stop - at)
+        return out[::-1]
+
 
 class Scanner:
     """The combined automaton of the rules, and each rule's own two for placing a match."""
@@ -282,31 +297,29 @@ class Scanner:
         self.rules = rules
         self.all = Automaton(trees, anywhere=True)
         self.forward = [Automaton([t]) for t in trees]
-        self.backward = [Automaton([t], reverse=True) for t in trees]
+        self.backward = [Automaton([t], anywhere=True, reverse=True) for t in trees]
         self.before = [re.compile(r.before.encode()) if r.before else None for r in rules]
 
     def scan_bytes(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, end, rule number) of the matches that are long enough, in bytes."""
-        out: list[tuple[int, int, int]] = []
-        used = [0] * len(self.rules)
         nxt, first, accepting = self.all.next, self.all.first, self.all.rules
+        ends: dict[int, int] = {}                # rule: the last place where one of its matches ends
         s = self.all.start
-        for i, c in enumerate(data.translate(self.all.byte_class)):
+        for i, c in enumerate(data.translate(self.all.byte_class), 1):
             s = nxt[s + c]
             if s >= first:
                 for rule in accepting[s]:
-                    if i < used[rule]:
-                        continue
-                    start = self.backward[rule].longest(data, i + 1, used[rule], -1)
-                    if start is None:
-                        continue
-                    end = self.forward[rule].longest(data, start, len(data), 1)
-                    used[rule] = end
-                    r, skip = self.rules[rule], 0
-                    if self.before[rule]:
-                        skip = self.before[rule].match(data, start, end).end() - start
-                    if end - start - skip >= r.least:
-                        out.append((start, end, rule))
+                    ends[rule] = i
+        out: list[tuple[int, int, int]] = []
+        for rule, last in ends.items():
+            r, used = self.rules[rule], 0
+            for start in self.backward[rule].accepting_places(data, last):
+                if start < used:
+                    continue
+                used = end = self.forward[rule].longest(data, start)
+                skip = self.before[rule].match(data, start, end).end() - start if self.before[rule] else 0
+                if end - start - skip >= r.least:
+                    out.append((start, end, rule))
         return sorted(out, key=lambda m: (m[0], m[2]))
 
     def scan(self, text: str) -> list[tuple[str, int, int]]:
@@ -314,13 +327,22 @@ class Scanner:
         data = text.encode()
         found = self.scan_bytes(data)
         if found and len(data) != len(text):
-            found = [(len(data[:a].decode()), len(data[:b].decode()), r) for a, b, r in found]
+            points = np.append(0, np.cumsum((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80))
+            found = [(int(points[a]), int(points[b]), r) for a, b, r in found]
         return [(self.rules[r].kind, a, b) for a, b, r in found]
 
 
+def compiled(rules: tuple[Rule, ...]) -> Scanner:
+    """The scanner of a rule set; built once in a process."""
+    cache = process_cache("secrets")
+    if rules not in cache:
+        cache[rules] = Scanner(rules)
+    return cache[rules]
+
+
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id and ``spans`` (kind, start, end) of every document."""
-    scanner = Scanner(rules)  # compiled once; a few thousand numbers travel to the tasks
+    scanner = compiled(rules)  # its transition arrays (4 bytes a state and byte class, about 2 MB) travel to the tasks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
