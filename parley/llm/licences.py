@@ -9,7 +9,8 @@ of the same line count. ``shunting_yard`` turns the whole
 into postfix, ``evaluate`` gives the labels and how open the result is.
 
 Defined results: null or empty text has no words, no label and score 0; overlapping
-phrases all count; a malformed tag expression adds nothing; repeated rows are
+phrases all count; a malformed tag expression adds nothing, nor does one whose ``with`` has not one
+licence on its left and one exception on its right; repeated rows are
 scanned one by one; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -57,10 +58,20 @@ TAG_HEAD = re.compile(r"spdx-license-identifier\s*:?[ \t]*", re.IGNORECASE)
 WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
 #: Identifiers of tags that have a label above.
 IDENTIFIERS = {"apache-2.0": "apache-2", "cc-by-nc-4.0": "cc-by-nc", "gpl-2.0-only": "gpl-2", "gpl-2.0-or-later": "gpl-2",
-               "gpl-3.0-only": "gpl-3", "gpl-3.0-or-later": "gpl-3", "cc0-1.0": "cc0", "mpl-2.0": "mpl"}
-#: How freely a text under a label may be used, 0 to 1, by the label's first matching beginning.
-OPENNESS = {"all-rights-reserved": 0.0, "cc-by-nc": 0.2, "agpl": 0.4, "gpl": 0.5, "lgpl": 0.6, "mpl": 0.7, "cc-by-sa": 0.7,
-            "cc-by": 0.9, "mit": 1.0, "apache": 1.0, "bsd": 1.0, "cc0": 1.0, "public-domain": 1.0, "isc": 1.0}
+               "gpl-3.0-only": "gpl-3", "gpl-3.0-or-later": "gpl-3", "cc0-1.0": "cc0", "mpl-2.0": "mpl", "gpl-2.0": "gpl-2",
+               "gpl-3.0": "gpl-3", "gpl-2.0+": "gpl-2", "gpl-3.0+": "gpl-3", "lgpl-2.1-only": "lgpl-2.1",
+               "lgpl-2.1-or-later": "lgpl-2.1", "lgpl-3.0-only": "lgpl-3", "lgpl-3.0-or-later": "lgpl-3", "lgpl-3.0": "lgpl-3",
+               "agpl-3.0-only": "agpl-3", "agpl-3.0-or-later": "agpl-3", "agpl-3.0": "agpl-3", "cc-by-4.0": "cc-by",
+               "cc-by-3.0": "cc-by", "cc-by-sa-4.0": "cc-by-sa", "cc-by-sa-3.0": "cc-by-sa", "cc-by-nc-3.0": "cc-by-nc"}
+#: How freely a text under a licence may be used, 0 to 1, by its name without a version.
+OPENNESS = {"all-rights-reserved": 0.0, "cc-by-nc": 0.2, "cc-by-nc-sa": 0.2, "cc-by-nc-nd": 0.1, "cc-by-nd": 0.3, "busl": 0.2,
+            "elastic": 0.2, "sspl": 0.3, "agpl": 0.4, "gpl": 0.5, "osl": 0.5, "lgpl": 0.6, "eupl": 0.6, "mpl": 0.7, "epl": 0.7,
+            "cddl": 0.7, "ms-rl": 0.7, "odbl": 0.7, "cc-by-sa": 0.7, "artistic": 0.8, "ofl": 0.8, "cc-by": 0.9, "odc-by": 0.9,
+            "mit": 1.0, "apache": 1.0, "bsd": 1.0, "0bsd": 1.0, "isc": 1.0, "zlib": 1.0, "bsl": 1.0, "ms-pl": 1.0, "afl": 1.0,
+            "x11": 1.0, "ncsa": 1.0, "psf": 1.0, "python": 1.0, "postgresql": 1.0, "upl": 1.0, "wtfpl": 1.0, "unlicense": 1.0,
+            "pddl": 1.0, "cc0": 1.0, "public-domain": 1.0}
+#: What follows a licence's name: version, number of clauses, "only" or "or later".
+VERSION = re.compile(r"(-v?\d[\d.]*)?(-clause)?(-only|-or-later)?\+?$")
 UNKNOWN = 0.3
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 RESULT = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
@@ -112,23 +123,34 @@ def well_formed(tokens: list[str]) -> int:
 
 
 def openness(label: str) -> float:
-    return next((v for k, v in OPENNESS.items() if label.startswith(k)), UNKNOWN)
+    """By the licence's name, without its version and without an exception."""
+    licence = label.split("-with-")[0]
+    return OPENNESS.get(licence, OPENNESS.get(VERSION.sub("", licence), UNKNOWN))
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], float]:
     """Labels of an expression and its openness: ``or`` takes the freer side, ``and`` the stricter one;
-    ``with`` names an exception to the licence on its left."""
-    stack: list[tuple[set[str], float]] = []
+    ``with`` names an exception to the one licence on its left."""
+    labels: set[str] = set()
+    stack: list[tuple[str, float]] = []    # the label (empty: of several, already among ``labels``) and the openness
     for t in postfix:
         if t not in PRECEDENCE:
-            stack.append(({t}, openness(t)))
+            stack.append((t, openness(t)))
             continue
         (right, b), (left, a) = stack.pop(), stack.pop()
         if t == "with":
-            stack.append(({f"{x}-with-{y}" for x in left for y in right}, a))
+            stack.append((f"{left}-with-{right}", a))
         else:
-            stack.append((left | right, max(a, b) if t == "or" else min(a, b)))
-    return stack[0]
+            labels |= {left, right}
+            stack.append(("", max(a, b) if t == "or" else min(a, b)))
+    return (labels | {stack[0][0]}) - {""}, stack[0][1]
+
+
+def takes_exceptions(tokens: list[str]) -> bool:
+    """Whether every ``with`` stands between one licence and one exception."""
+    names = [t not in PRECEDENCE and t not in "()" for t in tokens]
+    return all(0 < i < len(tokens) - 1 and names[i - 1] and names[i + 1] and (i < 2 or tokens[i - 2] != "with")
+               for i, t in enumerate(tokens) if t == "with")
 
 
 def tag_tokens(expression: str) -> list[tuple[str, int, int]]:
@@ -156,10 +178,11 @@ class Scanner:
     def scan(self, text: str) -> dict:
         words = text.encode().translate(WORD_BYTES).split()
         flat = f" {b' '.join(words).decode('latin-1')} "
-        hits = []
-        for end, phrase in self.machine.iter(flat):
-            start = flat.count(" ", 0, end - len(phrase.encode()) - 1)
-            hits.append((start, start + phrase.count(" ") + 1, phrase))
+        hits, spaces, counted = [], 0, 0
+        for end, phrase in self.machine.iter(flat):   # by ascending end
+            spaces, counted = spaces + flat.count(" ", counted, end + 1), end + 1
+            after = spaces - 1
+            hits.append((after - phrase.count(" ") - 1, after, phrase))
         return {"words": words, "hits": sorted(hits)}
 
     def statements(self, text: str, found: dict) -> list[tuple[int, int, list[str]]]:
@@ -193,7 +216,8 @@ class Scanner:
                 inside = notices[bisect_left(starts, min(first)):bisect_left(starts, end)]
                 cut = next((first[a] for a, b, _ in inside if b > end and a in first), None)
                 if cut is None:
-                    out.append((bisect_left(words, m.start()), end, ["(", *(t for t, _, _ in tokens), ")"]))
+                    if takes_exceptions([t for t, _, _ in tokens]):
+                        out.append((bisect_left(words, m.start()), end, ["(", *(t for t, _, _ in tokens), ")"]))
                     break
                 tokens = tokens[:cut]
         return out
@@ -205,14 +229,18 @@ class Scanner:
             return n, 0, None, None, "", "", 0.0, "", []
         places = [(s, self.base[p]) for s, _, p in found["hits"] if p in self.base]
         starts = [s for s, _ in places]
-        tokens, last = [], None
+        tokens, last, single, joiner = [], None, False, ""
         stated = self.statements(text, found)
         for start, end, part in stated:
+            one = sum(x not in "()" for x in part) == 1
             if last is not None:
                 between = [w.decode() for w in found["words"][last:start] if w not in (b"the", b"a", b"an", b"license")]
-                tokens.append(between[0] if len(between) == 1 and between[0] in PRECEDENCE else "and")
+                joiner, before = between[0] if len(between) == 1 and between[0] in PRECEDENCE else "and", joiner
+                if joiner == "with" and not (one and single and before != "with"):   # an exception to one licence only
+                    joiner = "and"
+                tokens.append(joiner)
             tokens += part
-            last = end
+            last, single = end, one
         postfix = shunting_yard(tokens) if tokens else None
         labels, score = evaluate(postfix) if postfix else (set(), 0.0)
         base = {label for _, label in places}
