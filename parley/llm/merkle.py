@@ -30,10 +30,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import LOWER, UPPER, written
+from parley.llm.common import LOWER, UPPER, numbered, written
 
 FAN = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -55,28 +55,6 @@ def leaf(fields: Sequence[str] = FIELDS, **changed: Column) -> Column:
     return digest(*[field(changed.get(c, F.col(f"`{c}`"))) for c in fields])
 
 
-def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[Column], salt: str | None = None,
-             out: str = "rank") -> DataFrame:
-    """``df`` plus 0-based positions per group, as a written table.
-
-    Rows are range-partitioned by group and order, so a hot group lies in many partitions; a
-    row's position is its place in its partition plus one number a (partition, group).
-    ``salt`` names a column that may part rows equal in ``order`` between partitions.
-    """
-    by = [*[F.col(g) for g in groups], *order]
-    dealt = [*by, F.col(salt)] if salt else by
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *dealt).sortWithinPartitions(*dealt)
-    t = written(placed.withColumns({"_part": F.spark_partition_id(),
-                                    "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
-    runs = t.groupBy("_part", *groups).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(F.col("_part").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
-                       (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
-    same = [F.col("_part") == F.col("_p"), *[F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]]
-    return t.join(runs, same).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(out))
-
-
 def depth(n: Column) -> Column:
     """Levels above n leaves: the smallest d with FAN**d >= n (bit lengths, as FAN is a power of two)."""
     bits = FAN.bit_length() - 1

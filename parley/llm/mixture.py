@@ -5,7 +5,9 @@
    shared again by weight until no target is above (each round an aggregate over
    the sources table).
 2. Every document of a source wants the same expected copies, target / source size: a
-   whole part, which it gets, and a fraction, which is rounded to 0 or 1.
+   whole part, which it gets, and a fraction. ``m`` rows alike in doc_id, source and size together want
+   ``m`` times the fraction: so many of them get one more copy (``extra``), and only the
+   remainder, less than one document, is rounded to 0 or 1.
 3. ``round_group``: pivotal rounding in one group. The largest undecided document and the
    pool of the smaller ones form the pair; mass (probability times words) moves between
    the two in a random direction, with odds that keep every expectation, until one side
@@ -19,9 +21,10 @@
 Draws come from a hash of seed, source, doc_id and size, so reruns agree.
 
 Defined results: null or empty text has size 0, is never taken and weighs nothing; a null
-source is a source of its own, last in order; rows that repeat doc_id, source
-and size share one decision; a source of size 0 has target 0; an empty table
-gives no rows; extra columns stay in ``mixed``.
+source is a source of its own, last in order; of rows that repeat doc_id, source
+and size, ``extra`` ones get one copy more than the others (in ``mixed`` those first by
+the text's hash; which of several equal rows is not defined); a source of size 0 has target 0;
+an empty table gives no rows; extra columns stay in ``mixed``.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import as_row, from_row, space_words, text_of, written
+from parley.llm.common import as_row, from_row, numbered, space_words, text_of, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -122,7 +125,7 @@ def _round_level(units: DataFrame, name: str) -> DataFrame:
     fields = units.schema
     cols = units.columns
     dealt = units.repartition("source", "chunk").sortWithinPartitions(
-        "source", "chunk", F.desc(F.col("size") * F.col("m")), "doc_id", "size")
+        "source", "chunk", F.desc("size"), "doc_id")
     at = {c: cols.index(c) for c in cols}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +139,7 @@ def _round_level(units: DataFrame, name: str) -> DataFrame:
 
         for _, group in groupby(rows(), key=lambda r: (r[at["source"]], r[at["chunk"]])):
             group = list(zip(*group))
-            mass = np.array(group[at["size"]], dtype=float) * np.array(group[at["m"]], dtype=float)
+            mass = np.array(group[at["size"]], dtype=float)
             group[at["p"]] = round_group(mass, np.array(group[at["p"]]), np.array(group[at["u"]])).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(group, schema)], schema=schema)
 
@@ -144,7 +147,7 @@ def _round_level(units: DataFrame, name: str) -> DataFrame:
 
 
 def rounded(units: DataFrame, group_rows: int = GROUP_ROWS, fan: int = FAN) -> DataFrame:
-    """``units`` (doc_id, source, size, m, n_units, p, u) with every fraction ``p`` rounded to 0 or 1."""
+    """``units`` (doc_id, source, size, n_units, p, u) with every fraction ``p``, of one document each, rounded to 0 or 1."""
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
     chunks = F.greatest(F.lit(1), F.ceil(F.col("n_units") / group_rows)).cast("long")
     level = units.withColumn("chunk", F.pmod(F.xxhash64(F.col("u"), F.col("doc_id")), chunks))
@@ -170,7 +173,8 @@ def rounded(units: DataFrame, group_rows: int = GROUP_ROWS, fan: int = FAN) -> D
 
 def copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES, seed: int = SEED,
            group_rows: int = GROUP_ROWS, fan: int = FAN) -> DataFrame:
-    """doc_id, source, size, m (rows alike), source_size, target and copies (of each of the m rows)."""
+    """doc_id, source, size, m (rows alike), source_size, target, whole (copies of each of the m rows), extra (how many
+    of them get one more) and copies (their mean)."""
     sized = docs.select("doc_id", "source", size_of(text_of()).alias("size"))
     units = written(sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m")), "mix-units")
     goal = targets(units, weights, share, max_copies).withColumnRenamed("source", "of_source")
@@ -178,19 +182,42 @@ def copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_copies: i
     want = F.when(F.col("source_size") > 0, F.least(F.lit(float(max_copies)), F.col("target") / F.col("source_size"))
                   ).otherwise(0.0)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "source", "doc_id", "size"), 11) / F.lit(float(1 << 53))
-    t = t.withColumn("want", want).withColumn("whole", F.floor("want")).withColumn(
-        "p", F.col("want") - F.col("whole")).withColumn("u", draw).drop("want")
+    t = t.withColumn("want", want).withColumn("whole", F.floor("want"))
+    t = t.withColumn("share", F.col("m") * (F.col("want") - F.col("whole"))).withColumn("sure", F.floor("share"))
+    t = t.withColumn("p", F.col("share") - F.col("sure")).withColumn("u", draw).drop("want", "share")
     done = rounded(t, group_rows, fan)
-    return done.select("doc_id", "source", "size", "m", "source_size", "target",
-                       (F.col("whole") + F.when(F.col("size") > 0, F.col("p").cast("long")).otherwise(0)).alias("copies"))
+    taken = lambda c: F.when(F.col("size") > 0, c).otherwise(F.lit(0)).cast("long")
+    done = done.withColumns({"whole": taken(F.col("whole")), "extra": taken(F.col("sure") + F.round("p"))})
+    return done.select("doc_id", "source", "size", "m", "source_size", "target", "whole", "extra",
+                       (F.col("whole") + F.col("extra") / F.col("m")).alias("copies"))
+
+
+def rows_of(c: DataFrame, *names: str) -> DataFrame:
+    """One row for each of the ``m`` rows of a unit, with its copies (``taken``). Units of many rows are dealt out first."""
+    block = 10_000
+    many = c.filter(F.col("m") > block).withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(block).cast("long"))))
+    many = many.repartition(int(c.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "source", "size", "first")
+    both = c.filter(F.col("m") <= block).withColumn("first", F.lit(0).cast("long")).unionByName(many)
+    row = F.explode(F.sequence(F.col("first") + 1, F.least(F.col("first") + block, F.col("m"))))
+    return both.withColumn("row", row).select(*names, (F.col("whole") + (F.col("row") <= F.col("extra")).cast("long")).alias("taken"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` (all columns), every row as often as the mix takes it."""
-    c = copies(docs, **options).filter("copies > 0 and size > 0").select(
-        F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("size").alias("k_size"), "copies")
+    c = written(copies(docs, **options).filter("copies > 0").select(
+        F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("size").alias("k_size"), "whole", "extra", "m"), "mix-copies")
     t = docs.select(as_row(docs), size_of(text_of()).alias("size"))
     t = t.join(c, t["row"]["doc_id"].eqNullSafe(c["k_id"]) & t["row"]["source"].eqNullSafe(c["k_source"])
                & (t["size"] == c["k_size"]))
-    return t.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select(
+    cols = ["row", "whole"]
+    alike = t.filter((F.col("extra") < F.col("m")) & (F.col("extra") > 0))
+    t = t.filter((F.col("extra") == F.col("m")) | (F.col("extra") == 0)).select(
+        *cols, (F.col("whole") + (F.col("extra") > 0).cast("long")).alias("taken"))
+    if not c.filter((F.col("extra") < F.col("m")) & (F.col("extra") > 0)).isEmpty():
+        # some, not all, of the rows alike get one more copy: they are numbered, range by range
+        alike = alike.select(*cols, "extra", "k_id", "k_source", "k_size", F.xxhash64("row.text").alias("_text"),
+                             F.xxhash64(F.monotonically_increasing_id()).alias("_salt"))
+        alike = numbered(alike, ["k_id", "k_source", "k_size"], [F.col("_text")], salt="_salt", out="_at")
+        t = t.unionByName(alike.select(*cols, (F.col("whole") + (F.col("_at") < F.col("extra")).cast("long")).alias("taken")))
+    return t.filter("taken > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("taken").cast("int"))).alias("copy")).select(
         *from_row(docs.columns))

@@ -94,9 +94,8 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document, beside its source's size and target."""
-    c = mixture.copies(table(spark, sf_dir, "documents"))
-    c = c.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
-    return c.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    c = mixture.rows_of(mixture.copies(table(spark, sf_dir, "documents")), "doc_id", "size", "source_size", "target")
+    return c.withColumn("taken", F.col("taken") * F.col("size"))
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

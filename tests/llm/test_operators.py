@@ -267,3 +267,37 @@ def test_no_python_on_the_native_paths(spark):
               decontamination.postings(df, items.select(F.col("text").alias("term")))):
         plan = q._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+@pytest.mark.parametrize("options", [{}, {"group_rows": 3, "fan": 2}])
+def test_mixture_of_repeated_rows(spark, options):
+    """Rows alike are not one all-or-nothing unit: the source comes within one document of its target."""
+    ten = "a b c d e f g h i j"
+    rows = [(1, ten, "one")] * 1000 + [(2, "x y", "one")] + [(3, ten, "two")] * 50 + [(i, "q " * (i % 9 + 1), "two") for i in range(10, 60)]
+    rows += [(None, "null id", "two")] * 7 + [(4, "other text, same size", "two"), (4, "other words, one size", "two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    taken, target, again = Counter(), {}, []
+    for r in mixture.copies(df, **options).collect():
+        taken[r["source"]] += (r["whole"] * r["m"] + r["extra"]) * r["size"]
+        target[r["source"]] = r["target"]
+        assert 0 <= r["extra"] <= r["m"]
+    assert all(abs(taken[s] - target[s]) <= 10 for s in target) and len(target) == 2
+    for _ in range(2):
+        each = mixture.rows_of(mixture.copies(df, **options), "doc_id", "source", "size").collect()
+        assert len(each) == len(rows) and all(0 <= r["taken"] <= 2 for r in each)
+        again.append(Counter(map(tuple, each)))
+        sums = Counter()
+        for r in each:
+            sums[r["source"]] += r["taken"] * r["size"]
+        assert sums == taken
+    assert again[0] == again[1]
+    mix = Counter()
+    for r in mixture.mixed(df, **options).collect():
+        mix[r["source"]] += len(r["text"].split())
+    assert mix == taken
+
+
+def test_mixture_deals_out_a_unit_of_very_many_rows(spark):
+    one = spark.createDataFrame([(1, "s", 3, 25_000, 0, 11_000), (2, "s", 3, 2, 1, 1)], "doc_id long, source string, size long, m long, whole long, extra long")
+    got = mixture.rows_of(one, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("taken").alias("t")).collect()
+    same(got, [(1, 25_000, 11_000), (2, 2, 3)])
