@@ -15,10 +15,14 @@
 5. ``decontaminate``: candidates return to the documents, where the words are
    compared exactly; words inside an occurring window are hit.
 
-The index side lower-cases with ``lower`` (all scripts), which can only add
-candidates; the final comparison lower-cases A-Z alone, as the windows are defined.
+The index lower-cases each *word* with ``lower`` (all scripts). Words that are equal once A-Z is
+lower-cased are equal in that form too, so it can only add candidates; a whole text must not be
+lower-cased so, as the form of a letter may depend on what stands behind its word. The final
+comparison lower-cases A-Z alone, as the windows are defined.
 Benchmark tables are broadcast in blocks of at most ``block_rows`` rows; a larger
-benchmark takes more passes over the corpus and the same result.
+benchmark takes more passes over the corpus and the same result. Documents are known by a hash of doc_id
+and text, so null or repeated ids are spread. Texts move only for documents that have a candidate, as
+far as a bitmap of ``MARK_BITS`` bits (8 MB, broadcast) can tell; the words of all others are counted in the scan.
 
 Defined results: null or empty texts have no words; an item without words is never
 found; a null doc_id or item_id is matched like any other value (its id prints
@@ -35,20 +39,25 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import LOWER, NOT_WORD, UPPER, as_row, text_of, written
 
+#: Everything that is not a word character, capitals being word characters.
+NOT_CASED_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 WIDTH = 10
 #: Words by which the distance of two probes may differ in a proximity match.
 SLACK = 3
 #: Rows of a benchmark table that one broadcast may hold (about 100 bytes a row).
 BLOCK_ROWS = 200_000
+#: Bits of the bitmap of documents with candidates, and of one of its rows (2048 rows of 4 KB).
+MARK_BITS, ROW_BITS = 26, 15
 
 
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, NOT_WORD), "")
 
 
-def _index_words(text: Column) -> Column:
-    """Words in the index's form: lower case in every script."""
-    return _words(F.lower(text))
+def _cased_words(text: Column) -> Column:
+    """The same words in their own case."""
+    return F.array_remove(F.split(text, NOT_CASED_WORD), "")
 
 
 def _exact_words(text: Column) -> Column:
@@ -68,7 +77,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def item_words(items: DataFrame) -> DataFrame:
     """item (a key of id and words), item_id, exact words ``iw`` and index words ``tw``; repeated rows once."""
     t = items.select(F.col("item_id").cast("string").alias("item_id"), text_of().alias("text"))
-    t = t.select("item_id", _exact_words(F.col("text")).alias("iw"), _index_words(F.col("text")).alias("tw"))
+    t = t.select("item_id", _exact_words(F.col("text")).alias("iw"), F.transform(
+        _cased_words(F.col("text")), F.lower).alias("tw"))
     t = t.filter(F.size("iw") > 0).select(
         F.sha2(F.to_json(F.struct("item_id", "iw")), 256).alias("item"), F.coalesce("item_id", F.lit("")).alias("item_id"),
         "iw", "tw")
@@ -78,7 +88,7 @@ def item_words(items: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame, items: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Corpus occurrences of each word of the items (0 where the corpus has none)."""
     vocabulary = items.select(F.explode("tw").alias("term")).distinct()
-    words = docs.select(F.explode(_index_words(text_of())).alias("term"))
+    words = docs.select(F.explode(_cased_words(text_of())).alias("term")).select(F.lower("term").alias("term"))
     parts = [words.join(F.broadcast(b), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
              for b in _blocks(vocabulary, "term", block_rows)]
     return vocabulary.join(_union(parts), "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
@@ -100,7 +110,7 @@ def window_probes(items: DataFrame, counts: DataFrame, width: int = WIDTH) -> Da
 
 def postings(docs: DataFrame, terms: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The inverted index: every (term, doc_id, pos) in the corpus of the given terms."""
-    words = docs.select("doc_id", F.posexplode(_index_words(text_of())).alias("pos", "term"))
+    words = docs.select("doc_id", F.posexplode(_cased_words(text_of())).alias("pos", "term")).withColumn("term", F.lower("term"))
     return _union([words.join(F.broadcast(b), "term") for b in _blocks(terms, "term", block_rows)])
 
 
@@ -135,11 +145,25 @@ def _matches(width: int) -> Column:
         starts(c).alias("starts")))
 
 
+def _marked(t: DataFrame, keys: DataFrame) -> DataFrame:
+    """``t`` plus ``marked``: false where ``key`` is surely not among ``keys``. The bitmap is at most 8 MB, whatever their number."""
+    place = lambda c: F.col(c).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+    bits = keys.select(F.shiftright(place("key"), ROW_BITS).alias("_line"),
+                       place("key").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_bit"))
+    lines = bits.groupBy("_line").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    t = t.withColumns({"_at": F.shiftright(place("key"), ROW_BITS), "_bit": place("key").bitwiseAND(F.lit((1 << ROW_BITS) - 1))})
+    byte = F.conv(F.hex(F.substr("_bits", (F.shiftright("_bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    on = F.getbit(byte, F.col("_bit").bitwiseAND(F.lit(7)).cast("int")) == 1
+    t = t.join(F.broadcast(lines), t["_at"] == lines["_line"], "left")
+    return t.withColumn("marked", F.coalesce(on, F.lit(False))).drop("_at", "_bit", "_line", "_bits")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, slack: int = SLACK,
                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``row`` (all columns of ``docs``) and a struct ``leak``: n_words, n_hit, items (ids with occurring
     windows, sorted), hits (spans of hit words: start, length), n_near (items with a proximity match)."""
-    slim = docs.select("doc_id", "text")
+    key = lambda doc_id, text: F.xxhash64(doc_id, F.coalesce(text, F.lit("")))
+    slim = docs.select(key(F.col("doc_id"), F.col("text")).alias("doc_id"), "text")
     items = written(item_words(benchmark.select("item_id", "text")), "bench-items")
     counts = written(term_counts(slim, items, block_rows), "bench-terms")
     pairs = written(window_probes(items, counts, width), "bench-windows")
@@ -152,19 +176,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, sla
     per_doc = (cand.join(items.select("item", "item_id", "iw"), "item").groupBy(F.col("doc_id").alias("of_doc"))
                .agg(F.collect_list(F.when(F.col("phrase"), F.struct("item_id", "shift", "iw"))).alias("cands"),
                     F.count_distinct(F.when(F.col("near"), F.col("item"))).alias("n_near")))
-    t = docs.select(as_row(docs))
-    t = t.join(per_doc, t["row"]["doc_id"].eqNullSafe(per_doc["of_doc"]), "left")
+    per_doc = written(per_doc, "candidates")
+    t = docs.select(as_row(docs)).withColumn("key", key(F.col("row")["doc_id"], F.col("row")["text"]))
+    marked = _marked(t, per_doc.select(F.col("of_doc").alias("key")))
     text = F.coalesce(F.col("row")["text"], F.lit(""))
-    has = F.size(F.coalesce("cands", F.array())) > 0
+    near = marked.filter("marked").join(per_doc, F.col("key") == per_doc["of_doc"], "left")
     # counting words needs no lower case; only candidates pay for it
-    t = t.select("row", "cands", "n_near", F.when(has, _exact_words(text)).otherwise(
-        _words(F.lower(text))).alias("w"))
+    has = F.size(F.coalesce("cands", F.array())) > 0
+    near = near.select("row", "cands", "n_near", F.when(has, _exact_words(text)).otherwise(_cased_words(text)).alias("w"))
+    far = marked.filter("not marked").select("row", F.size(_cased_words(text)).cast("long").alias("n_words"))
+    t = near
     matches = F.when(F.size(F.coalesce("cands", F.array())) > 0, F.filter(
         _matches(width), lambda m: F.size(m["starts"]) > 0))
     # A generator, not a projection: a caller's filter on the result must not be pushed below it,
     # where the words would be cut again for every use.
     one = F.array(F.struct(F.size("w").cast("long").alias("n_words"), matches.alias("found")))
     t = t.select("row", "n_near", F.inline(one))
+    nothing = [F.lit(None).cast(t.schema[c].dataType).alias(c) for c in ("n_near", "found")]
+    t = t.unionByName(far.select("row", nothing[0], "n_words", nothing[1]))
     found = F.col("found")
     hits = F.flatten(F.transform(found, lambda m: F.transform(m["starts"], lambda s: F.struct(
         (m["shift"] + s).alias("start"), m["span"].alias("length")))))

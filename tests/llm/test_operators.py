@@ -301,3 +301,25 @@ def test_mixture_deals_out_a_unit_of_very_many_rows(spark):
     one = spark.createDataFrame([(1, "s", 3, 25_000, 0, 11_000), (2, "s", 3, 2, 1, 1)], "doc_id long, source string, size long, m long, whole long, extra long")
     got = mixture.rows_of(one, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("taken").alias("t")).collect()
     same(got, [(1, 25_000, 11_000), (2, 2, 3)])
+
+
+def test_words_are_lower_cased_one_by_one(spark):
+    """The lower case of a letter can depend on what stands behind its word; windows differ in A-Z only."""
+    items = [(2, "ΟΔΟΣ.Α"), (3, "Σ"), (4, "İstanbul-ΣΑΣ K"), (5, "ΟΔΟΣ a")]
+    rows = [(1, "ΟΔΟΣ Α"), (2, "οδοσ α"), (3, "ΟΔΟΣ-a"), (4, "x İstanbul ΣΑΣ k"), (5, "Σ"), (6, "AΣ Σ.A"), (None, "ΟΔΟΣ Α"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = leaks(df, edge_rows.benchmark(spark, items))
+    same(got, brute.contamination(rows, items))
+    assert {d: n for d, _, n, _, _ in got if d in (1, 3, 4)} == {1: 2, 3: 2, 4: 3}
+
+
+def test_texts_without_a_candidate_do_not_move(spark):
+    df, _ = corpus(spark, "small")
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    plan = decontamination.decontaminate(df, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 1 and "bitmap_construct_agg" in plan
+    keys = df.select(F.xxhash64("doc_id").alias("key"))
+    some = keys.filter(F.col("key") % 50 == 0)
+    marked = {r["key"]: r["marked"] for r in decontamination._marked(keys, some).collect()}
+    assert all(marked[r["key"]] for r in some.collect()) and sum(marked.values()) <= some.count() + 1
+    assert not any(r["marked"] for r in decontamination._marked(keys, keys.limit(0)).collect())
