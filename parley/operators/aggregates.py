@@ -238,3 +238,59 @@ def latency_stats(r: DataFrame, limit_ms: float = K.LATENCY_TARGET_MS, by: Seque
                   "share_under_limit": F.round(F.try_divide(F.sum(F.when(v < F.lit(limit_ms), c).otherwise(0)), seen), 6)}
         out = exact_percentiles(r, by, "response_ms", ps, max_rows=max_rows, extra=counts)
     return out.select(*by, *counts, *[F.round(F.col(n), 6).alias(n) for n in ps])
+
+
+#: Sketch sizes: HyperLogLog with 2**14 registers (relative standard error 0.8 %), KLL with k = 800 (rank error below 0.5 %).
+HLL_LOG_SIZE, KLL_SIZE = 14, 800
+
+
+def user_sketches(m: DataFrame) -> DataFrame:
+    """A8 (stored form): day and a mergeable sketch of its distinct users, one small row a day."""
+    return m.groupBy(F.to_date("created_at").alias("day")).agg(F.hll_sketch_agg("user_id", HLL_LOG_SIZE).alias("users"))
+
+
+def active_users_rollup(sketches: DataFrame, period: str = "month") -> DataFrame:
+    """Distinct users of whole periods from the days' sketches; the messages are not read again."""
+    return (sketches.groupBy(F.trunc("day", period).alias("period"))
+            .agg(F.count(F.lit(1)).alias("days"), F.hll_sketch_estimate(F.hll_union_agg("users")).alias("active_users")))
+
+
+def latency_sketches(r: DataFrame, limit_ms: float = K.LATENCY_TARGET_MS, by: Sequence[str] = ("kind",)) -> DataFrame:
+    """A10 (stored form): per day and group the count, sum, requests under the limit and a mergeable quantile sketch."""
+    ms = F.col("response_ms").cast("double")
+    return r.groupBy(F.to_date("ts").alias("day"), *by).agg(
+        F.count(ms).alias("requests"), F.sum(ms).alias("total_ms"), F.count_if(ms < F.lit(limit_ms)).alias("under"),
+        F.kll_sketch_agg_double(ms, KLL_SIZE).alias("sketch"))
+
+
+def latency_rollup(sketches: DataFrame, by: Sequence[str] = ("kind",)) -> DataFrame:
+    """A10 over any days from their sketches: exact count, mean and share, percentiles within the sketch's rank error."""
+    merged = sketches.groupBy(*by).agg(F.sum("requests").alias("requests"), F.sum("total_ms").alias("_total"),
+                                       F.sum("under").alias("_under"), F.kll_merge_agg_double("sketch").alias("_sketch"))
+    ps = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    some = F.col("requests") > 0
+    return merged.select(*by, "requests", F.round(F.try_divide("_total", "requests"), 6).alias("mean_ms"),
+                         F.round(F.try_divide("_under", "requests"), 6).alias("share_under_limit"),
+                         *[F.when(some, F.kll_sketch_get_quantile_double("_sketch", F.lit(p))).alias(n) for n, p in ps.items()])
+
+
+def active_users_rollup_check(m: DataFrame, period: str = "month", bound: float = 0.03) -> DataFrame:
+    """The roll-up beside the exact number: ``close`` where they differ by at most ``bound`` (over three standard errors)."""
+    exact = m.groupBy(F.trunc(F.to_date("created_at"), period).alias("_period")).agg(F.count_distinct("user_id").alias("exact"))
+    rolled = active_users_rollup(user_sketches(m), period).join(exact, F.col("period").eqNullSafe(F.col("_period")))
+    return rolled.select("period", "days", "exact", (F.abs(F.col("active_users") - F.col("exact")) <= F.ceil(F.col("exact") * bound)).alias("close"))
+
+
+def latency_rollup_check(r: DataFrame, by: Sequence[str] = ("kind",), bound: float = 0.01) -> DataFrame:
+    """The roll-up's counts, and for each percentile whether its exact rank is within ``bound`` of the one asked for."""
+    ps = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    rolled = latency_rollup(latency_sketches(r, by=by), by)
+    estimates = rolled.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], *ps)
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
+    ms = F.col("response_ms").cast("double")
+    ranks = r.filter(ms.isNotNull()).join(estimates, same).groupBy(*by).agg(*[
+        ((F.count_if(ms < F.col(n)) <= (p + bound) * F.count(ms)) & (F.count_if(ms <= F.col(n)) >= (p - bound) * F.count(ms))).alias(n.replace("_ms", "_close"))
+        for n, p in ps.items()])
+    kept = [F.col(f"r.{c}").eqNullSafe(F.col(f"x.{c}")) for c in by]
+    return rolled.alias("r").join(ranks.alias("x"), kept, "left").select(
+        *[F.col(f"r.{c}") for c in by], "r.requests", "r.mean_ms", "r.share_under_limit", *[f"x.{n.replace('_ms', '_close')}" for n in ps])

@@ -26,17 +26,18 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
 
 
-def register_users(u: DataFrame, reg: DataFrame, id_col: str = "reg_id") -> tuple[DataFrame, DataFrame]:
+def register_users(u: DataFrame, reg: DataFrame, id_col: str = "reg_id", everyone: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """M1: validate, keep the first registration per email in the batch, refuse
     emails already present (exact match), add the rest with store defaults.
 
     Returns (next users snapshot, rejected registrations with ``reasons``).
-    The new user's id is the registration's ``id_col``.
+    The new user's id is the registration's ``id_col``. ``everyone``: all users, where ``u`` is a part of
+    them (``sources.buckets``).
     """
     checked = check(reg, "registration")
     first = (checked.filter(F.size("reasons") == 0).groupBy("email")
                     .agg(F.min_by(F.col(id_col), F.struct("ts", id_col)).alias("_first")))
-    known = u.select("email").distinct().withColumn("_known", F.lit(True))
+    known = (u if everyone is None else everyone).select("email").distinct().withColumn("_known", F.lit(True))
     judged = checked.join(first, "email", "left").join(known, "email", "left").withColumn(
         "reasons", F.when(F.size("reasons") > 0, F.col("reasons"))
         .when(F.col(id_col) != F.col("_first"), F.array(F.lit("email repeated in batch")))
@@ -56,7 +57,7 @@ def register_users(u: DataFrame, reg: DataFrame, id_col: str = "reg_id") -> tupl
     return users, rejected
 
 
-def patch_users(u: DataFrame, patches: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def patch_users(u: DataFrame, patches: DataFrame, as_of, everyone: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """M2: partial profile updates.
 
     ``patches`` has patch_id, user_id, ts, ``fields`` (names being set) and one
@@ -69,9 +70,10 @@ def patch_users(u: DataFrame, patches: DataFrame, as_of) -> tuple[DataFrame, Dat
     by time, then patch_id). The accepted patches of a user take effect one after the
     other, by time, then patch_id: each field ends with the value of the last patch that lists it.
     All fields merge in one map-side combined aggregation, so a user with very many patches is not one task's list.
+    ``everyone``: all users, where ``u`` is the part of them that the patches touch (``sources.buckets``).
     Returns (next users snapshot, rejected patches with ``reasons``).
     """
-    owners = u.select(F.col("id").alias("_owner"), F.col("email").alias("_email"))
+    owners = (u if everyone is None else everyone).select(F.col("id").alias("_owner"), F.col("email").alias("_email"))
     known = u.select(F.col("id").alias("user_id"), F.lit(True).alias("_known"))
     p = patches.join(known, "user_id", "left")
     p = p.join(owners, p["email"] == owners["_email"], "left")

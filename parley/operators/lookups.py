@@ -25,6 +25,18 @@ def _keys(df: DataFrame, keys, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+#: Listed keys up to which Parquet compares each with a row group's Bloom filter (Spark's default threshold).
+FEW_KEYS = 10
+
+
+def _few(df: DataFrame, keys, on: str, at: int | None = None) -> DataFrame:
+    """``df`` less row groups that cannot hold the keys, where these are a short list: a filter that reaches the scan."""
+    if isinstance(keys, DataFrame) or len(keys) > FEW_KEYS:
+        return df
+    values = {(k[at] if at is not None else k[0] if isinstance(k, (tuple, list)) else k) for k in keys}
+    return df.filter(F.col(on).isin([v for v in values if v is not None]))
+
+
 def public_profile(u: DataFrame) -> DataFrame:
     """The documented public profile, never the password hash."""
     return u.select(*PUBLIC_PROFILE)
@@ -34,12 +46,13 @@ def lookup_users(u: DataFrame, keys, on: str = "id") -> DataFrame:
     """Users by id or by exact, case-sensitive email."""
     if on not in ("id", "email"):
         raise ValueError("on must be 'id' or 'email'")
-    return u.join(_keys(u, keys, [on]), on, "left_semi")
+    return _few(u, keys, on).join(_keys(u, keys, [on]), on, "left_semi")
 
 
 def owned_conversations(c: DataFrame, keys) -> DataFrame:
     """Conversations matching (conversation_id, user_id); ``is_active`` ignored."""
-    return c.join(_keys(c, keys, ["conversation_id", "user_id"]), ["conversation_id", "user_id"], "left_semi")
+    few = _few(c, keys, "conversation_id", 0)
+    return few.join(_keys(c, keys, ["conversation_id", "user_id"]), ["conversation_id", "user_id"], "left_semi")
 
 
 def active_conversations(c: DataFrame, user_id=None) -> DataFrame:

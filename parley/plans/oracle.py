@@ -340,6 +340,11 @@ ORACLE: dict[str, str] = {
   round(count(*) FILTER (WHERE response_ms < 200.0) / count(response_ms), 6) AS share_under_limit,
   {_pct('response_ms', 0.5, 'p50_ms')}, {_pct('response_ms', 0.95, 'p95_ms')}, {_pct('response_ms', 0.99, 'p99_ms')}
  FROM requests GROUP BY kind""", "requests"),
+    "active_users_rollup_check": with_views("""SELECT strftime(date_trunc('month', created_at), '%Y-%m-%d') AS period,
+  count(DISTINCT CAST(created_at AS DATE)) AS days, count(DISTINCT user_id) AS exact, true AS close FROM messages GROUP BY 1""", "messages"),
+    "latency_rollup_check": with_views("""SELECT kind, count(response_ms) AS requests, round(avg(response_ms), 6) AS mean_ms,
+  round(count(*) FILTER (WHERE response_ms < 200.0) / count(response_ms), 6) AS share_under_limit,
+  true AS p50_close, true AS p95_close, true AS p99_close FROM requests GROUP BY kind""", "requests"),
     # 2.6
     "message_history": _with(_HISTORY, "SELECT message_id, conversation_id, user_id, role, content, ai_model, created_at, token_count, n AS ordinal FROM h", "messages"),
     "exchanges": _with(_EXCHANGES, "SELECT * FROM x", "messages"),

@@ -215,6 +215,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = _q(
     user_breakdown=lambda s, d: A.user_breakdown(fx.users(s, d)),
     latency_stats=lambda s, d: A.latency_stats(fx.requests(s, d)),
     latency_stats_approx=lambda s, d: A.latency_stats(fx.requests(s, d), approx=True),
+    active_users_rollup_check=lambda s, d: _portable(A.active_users_rollup_check(_msgs(s, d))),
+    latency_rollup_check=lambda s, d: A.latency_rollup_check(fx.requests(s, d)),
     # 2.6 windows
     message_history=lambda s, d: W.message_history(_msgs(s, d)),
     exchanges=lambda s, d: W.exchanges(_msgs(s, d)),
