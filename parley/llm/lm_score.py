@@ -5,9 +5,9 @@ The model is the corpus itself: counts of all n-grams up to ``order`` over all d
 least ``min_count`` times, else ``alpha`` times the score under the context less its first
 word; at one word ``count(w) / words``. A document's score is its mean log score.
 
-1. Documents are dealt into batches by hash. A batch explodes its texts into n-gram
-   hashes and keeps each distinct one with its count (so a word or pair that is
-   everywhere leaves a batch once).
+1. Rows are dealt into batches by a hash of their place in the input, so rows that repeat are spread;
+   their texts travel compressed. A batch explodes its texts into n-gram hashes and keeps
+   each distinct one with its count (so a word or pair that is everywhere leaves a batch once).
 2. The distinct n-grams go to ``parts`` by the top bits of their hash, packed as one block
    for each (batch, part): about six bytes a hash (sorted, so only the gaps) and its count.
    A part is one hash partition of the count table: it adds up the counts of equal hashes.
@@ -27,6 +27,7 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from parley.llm.common import WORD_BYTES, text_of, written
 
 #: Words of an n-gram, discount of a backoff step, and the least count of an n-gram that is used.
-ORDER, ALPHA, MIN_COUNT = 2, 0.4, 2
+ORDER, ALPHA, MIN_COUNT = 3, 0.4, 2
 _LOW = np.uint64((1 << 56) - 1)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -129,11 +130,21 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count:
     """doc_id, n_words, n_backoff (steps taken), log_score (sum of natural logs) and score (mean, null without words)."""
     n_batches = max(8, order * docs.rdd.getNumPartitions())    # a batch's n-grams are as many at any order
     parts = n_batches
-    t = docs.select("doc_id", text_of().alias("text")).withColumn(
-        "batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_batches)).cast("int")).repartition(n_batches, "batch")
+
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([zlib.compress(x.as_buffer(), 1) for x in b.column("text")], pa.binary()),
+                                              b.column("batch")], names=["doc_id", "text", "batch"])
+
+    at = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_batches)).cast("int")
+    t = (docs.select("doc_id", text_of().alias("text"), at.alias("batch")).mapInArrow(small, "doc_id long, text binary, batch int")
+         .repartition(n_batches, "batch"))
+
+    def texts_of(group: pa.Table) -> list[str]:
+        return [zlib.decompress(x.as_buffer()).decode() for x in group.column("text")]
 
     def blocks(key: tuple, group: pa.Table) -> pa.Table:
-        _, distinct, count, _ = exploded(group.column("text").to_pylist(), order)
+        _, distinct, count, _ = exploded(texts_of(group), order)
         part = part_of(distinct, parts)
         cuts = np.searchsorted(part, np.arange(parts + 1))
         rows = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
@@ -145,15 +156,17 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count:
     def answers(group: pa.Table) -> pa.Table:
         """One hash partition of the count table: total counts, handed back block by block."""
         grams = [unpack(x) for x in group.column("grams").to_pylist()]
-        _, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+        distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
         own = np.concatenate([unsqueeze(x) for x in group.column("counts").to_pylist()])
-        total = np.bincount(inverse, weights=own)[inverse].astype(np.int64)
+        total = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(total, inverse, own)
+        total = total[inverse]
         cuts = np.cumsum([0, *map(len, grams)])
         return pa.table({"batch": group.column("batch"), "part": group.column("part"),
                          "totals": pa.array([squeeze(total[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
     def scores(texts: pa.Table, replies: pa.Table) -> pa.Table:
-        n, _, _, index = exploded(texts.column("text").to_pylist(), order)
+        n, _, _, index = exploded(texts_of(texts), order)
         by_part = sorted(zip(replies.column("part").to_pylist(), replies.column("totals").to_pylist()))
         totals = np.concatenate([*(unsqueeze(x) for _, x in by_part), np.zeros(1, dtype="<i8")])  # index -1: none
         base, singles, steps = log_scores(n, totals[index], alpha, min_count)

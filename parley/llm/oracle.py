@@ -78,17 +78,20 @@ FROM x GROUP BY r, doc_id
 
 OP6 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS.format('text')} AS w FROM documents),
-x AS (SELECT r, p, w[p] AS b, CASE WHEN p > 1 THEN w[p - 1] END AS a
+x AS (SELECT r, p, w[p] AS c, CASE WHEN p > 1 THEN w[p - 1] END AS b, CASE WHEN p > 2 THEN w[p - 2] END AS a
       FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
-one AS (SELECT b, count(*) AS n FROM x GROUP BY b),
-two AS (SELECT a, b, count(*) AS n FROM x WHERE a IS NOT NULL GROUP BY a, b),
+one AS (SELECT c, count(*) AS n FROM x GROUP BY c),
+two AS (SELECT b, c, count(*) AS n FROM x WHERE b IS NOT NULL GROUP BY b, c),
+three AS (SELECT a, b, c, count(*) AS n FROM x WHERE a IS NOT NULL GROUP BY a, b, c),
 total AS (SELECT count(*) AS n FROM x),
-s AS (SELECT x.r, x.a IS NOT NULL AND two.n < 2 AS backoff,
-             CASE WHEN two.n >= 2 THEN ln(two.n) - ln(ctx.n)
-                  ELSE ln(one.n) - ln(total.n) + CASE WHEN x.a IS NOT NULL THEN ln(0.4) ELSE 0 END END AS v
-      FROM x JOIN one ON x.b = one.b LEFT JOIN two ON x.a = two.a AND x.b = two.b
-      LEFT JOIN one AS ctx ON ctx.b = x.a, total),
-g AS (SELECT r, count(*) FILTER (WHERE backoff) AS n_backoff, sum(v) AS v FROM s GROUP BY r)
+s AS (SELECT x.r, CASE WHEN three.n >= 2 THEN 0 WHEN two.n >= 2 THEN (x.a IS NOT NULL)::INT
+                       ELSE (x.a IS NOT NULL)::INT + (x.b IS NOT NULL)::INT END AS steps,
+             CASE WHEN three.n >= 2 THEN ln(three.n) - ln(pair.n) WHEN two.n >= 2 THEN ln(two.n) - ln(word.n)
+                  ELSE ln(one.n) - ln(total.n) END AS v
+      FROM x JOIN one ON x.c = one.c LEFT JOIN two ON x.b = two.b AND x.c = two.c
+      LEFT JOIN three ON x.a = three.a AND x.b = three.b AND x.c = three.c
+      LEFT JOIN two AS pair ON pair.b = x.a AND pair.c = x.b LEFT JOIN one AS word ON word.c = x.b, total),
+g AS (SELECT r, sum(steps) AS n_backoff, sum(v + steps * ln(0.4)) AS v FROM s GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_backoff, 0) AS BIGINT) AS n_backoff,
        round(v / len(w), 6) AS score
 FROM d LEFT JOIN g ON d.r = g.r

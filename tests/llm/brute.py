@@ -109,18 +109,18 @@ def rule_counts(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(rep))
 
 
-def lm_scores(rows, alpha=0.4, min_count=2):
-    """(doc_id, n_words, mean log score) of rows (doc_id, text), two-word model."""
+def lm_scores(rows, alpha=0.4, min_count=2, order=3):
+    """(doc_id, n_words, mean log score) of rows (doc_id, text): the longest n-gram seen often enough, a factor a step."""
     docs = [(d, item_words(t)) for d, t in rows]
-    one, two = Counter(x for _, w in docs for x in w), Counter(x for _, w in docs for x in zip(w, w[1:]))
-    total, out = sum(one.values()), []
+    counts = Counter(tuple(w[i:i + k]) for _, w in docs for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    total, out = sum(len(w) for _, w in docs), []
     for d, w in docs:
         s = 0.0
-        for i, x in enumerate(w):
-            if i and two[w[i - 1], x] >= min_count:
-                s += np.log(two[w[i - 1], x] / one[w[i - 1]])
-            else:
-                s += np.log(one[x] / total) + (np.log(alpha) if i else 0)
+        for i in range(len(w)):
+            k = min(order, i + 1)
+            while k > 1 and counts[tuple(w[i - k + 1:i + 1])] < min_count:
+                s, k = s + np.log(alpha), k - 1
+            s += np.log(counts[tuple(w[i - k + 1:i + 1])] / (counts[tuple(w[i - k + 1:i])] if k > 1 else total))
         out.append((d, len(w), round(s / len(w), 6) if w else None))
     return out
 

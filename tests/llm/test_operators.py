@@ -323,3 +323,17 @@ def test_texts_without_a_candidate_do_not_move(spark):
     marked = {r["key"]: r["marked"] for r in decontamination._marked(keys, some).collect()}
     assert all(marked[r["key"]] for r in some.collect()) and sum(marked.values()) <= some.count() + 1
     assert not any(r["marked"] for r in decontamination._marked(keys, keys.limit(0)).collect())
+
+
+def test_repeats_of_one_row_are_many_batches(spark):
+    df = spark.createDataFrame([(1, "the same few words again")] * 400 + [(2, "the other")], "doc_id long, text string").repartition(4)
+    got = lm_score.score(df).select("doc_id", "n_words", F.round("score", 6)).collect()
+    same(got, brute.lm_scores([tuple(r) for r in df.collect()]))
+
+
+def test_totals_are_summed_as_integers(spark):
+    """Counts above 2**53 would lose their last digits in floating point."""
+    big = np.array([2 ** 53, 1, 1], dtype=np.int64)
+    total = np.zeros(1, dtype=np.int64)
+    np.add.at(total, np.zeros(3, dtype=np.int64), lm_score.unsqueeze(lm_score.squeeze(big)))
+    assert total[0] == 2 ** 53 + 2
