@@ -238,10 +238,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
     spark = docs.sparkSession
     path = path or shared_dir(spark, "token-files")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    t = docs.select("doc_id", text_of().alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
-    # the range cut needs doc_id alone, so the sampling pass does not tokenize
-    dealt = t.repartitionByRange(n, order[0]).sortWithinPartitions(*order)
+    t = docs.select("doc_id", text_of().alias("text"), F.xxhash64(F.monotonically_increasing_id()).alias("salt"))
+    # cut inside a doc_id too: rows without an id, or with one id, may be a third of all
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("salt")]
+    dealt = t.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("salt")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -300,7 +300,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
             for part, before, data in zip(batch.column("part").to_pylist(), batch.column("before").to_pylist(),
                                           batch.column("data")):
                 s = Segment(data.as_py())
-                ends = s.ends.values()
+                ends = np.array([s.ends.select(i) for i in range(s.n_docs)], dtype=np.int64)
                 begins = np.concatenate([[0], ends[:-1]])
                 wide = s.ids.astype("<u4")
                 crc = [zlib.crc32(wide[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]

@@ -337,3 +337,14 @@ def test_totals_are_summed_as_integers(spark):
     total = np.zeros(1, dtype=np.int64)
     np.add.at(total, np.zeros(3, dtype=np.int64), lm_score.unsqueeze(lm_score.squeeze(big)))
     assert total[0] == 2 ** 53 + 2
+
+
+def test_documents_of_one_id_are_many_tasks(spark):
+    rows = [(None, f"text number {i}") for i in range(300)] + [(5, "the same row")] * 300 + [(i, "x") for i in range(100, 120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = token_files.write_tokens(df, tokenizer_path("byte_bpe_50k.json"), segment_ids=100)
+    parts = spark.read.parquet(path).groupBy("part").agg(F.sum("n_docs").alias("n")).collect()
+    assert len(parts) >= 6 and max(r["n"] for r in parts) <= 200
+    got = [tuple(r) for r in token_files.read_index(spark, path).orderBy("start").collect()]
+    assert [r[0] for r in got] == [5] * 300 + list(range(100, 120)) + [None] * 300
+    assert [r[1] for r in got] == np.cumsum([0, *[r[2] for r in got[:-1]]]).tolist()
