@@ -204,8 +204,8 @@ def rows_of(c: DataFrame, *names: str) -> DataFrame:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` (all columns), every row as often as the mix takes it."""
-    c = written(copies(docs, **options).filter("copies > 0").select(
-        F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("size").alias("k_size"), "whole", "extra", "m"), "mix-copies")
+    c = copies(docs, **options).filter("copies > 0").select(
+        F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("size").alias("k_size"), "whole", "extra", "m")
     t = docs.select(as_row(docs), size_of(text_of()).alias("size"))
     t = t.join(c, t["row"]["doc_id"].eqNullSafe(c["k_id"]) & t["row"]["source"].eqNullSafe(c["k_source"])
                & (t["size"] == c["k_size"]))
