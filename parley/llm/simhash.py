@@ -6,11 +6,13 @@
    table; a fingerprint falls into one bucket per table, and every close pair shares a
    bucket. More distinct fingerprints call for more ranges (``key_plan``), so buckets
    stay small at any size; the pairs found are the same.
-3. ``links``: a bucket is one shard, or several when it is larger than ``shard_rows``.
-   Each shard's members form a BK-tree (children keyed by their Hamming distance to
-   the parent; a search follows only edges within the radius). The bucket's
-   fingerprints are sent to each of its shards by the shuffle, not through the
-   driver, and searched there. A shard returns a star per connected set, not pairs.
+   A bucket of more than ``shard_rows`` members (templated texts) is cut again: the bits in which its own
+   members differ are divided into ranges in the same way, until every bucket is one shard. So a crowded
+   bucket costs a few copies of its members, not one for each pair of shards.
+3. ``links``: the members of a bucket form one BK-tree (children keyed by their Hamming distance
+   to the parent; a search follows only edges within the radius). The shuffle brings them
+   together, not the driver, which must not hold all fingerprints. A shard returns a
+   star per connected set, not pairs.
 4. ``components``: large-star / small-star contraction of the links, each round a
    written table.
 
@@ -27,6 +29,7 @@ stay in ``keep_one``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, groupby
 
 import numpy as np
@@ -39,7 +42,7 @@ from parley.llm.common import as_row, from_row, give_back, text_of, written
 
 SHINGLE = 4
 RADIUS = 4
-#: Members of one BK-tree; larger buckets are split into several.
+#: Members of one BK-tree, at most; larger buckets are cut on further bits.
 SHARD_ROWS = 2048
 #: Distinct fingerprints a bucket should hold on average, at most.
 BUCKET_ROWS = 64
@@ -81,29 +84,60 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return written(docs.select("doc_id", fingerprint_column(text_of(), shingle).alias("fp")), "fingerprints")
 
 
-def key_plan(n: int, radius: int = RADIUS) -> list[int]:
-    """Bit masks of the bucket tables for ``n`` distinct fingerprints."""
+def _masks(bits: list[int], n: int, radius: int, target: int) -> list[int]:
+    """Masks over ``bits`` (their positions) of which fingerprints that differ elsewhere in none, and within
+    ``radius`` bits here, agree on at least one; as many ranges as leave ``target`` of ``n`` in a bucket."""
     agree = 1
-    while n > BUCKET_ROWS * 2 ** (64 * agree / (radius + agree)) and agree < 5:
+    while n > target * 2 ** (len(bits) * agree / (radius + agree)) and agree < 5 and radius + agree < len(bits):
         agree += 1
     parts = radius + agree
-    edges = [64 * i // parts for i in range(parts + 1)]
-    ranges = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+    edges = [len(bits) * i // parts for i in range(parts + 1)]
+    ranges = [sum(1 << x for x in bits[a:b]) for a, b in zip(edges, edges[1:])]
     return [sum(c) for c in combinations(ranges, agree)]
 
 
-def buckets(nodes: DataFrame, masks: list[int], shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """t, key, shard, fp, member: each fingerprint in its bucket of every table, once for each of the
-    bucket's shards; ``member`` marks the shard whose tree holds it."""
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    spread = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed]))
-                          .alias("t", "key"))
-    large = (spread.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > shard_rows)
-             .select(F.col("t").alias("lt"), F.col("key").alias("lkey"), F.ceil(F.col("n") / shard_rows).alias("shards")))
-    s = spread.join(large, (F.col("t") == F.col("lt")) & (F.col("key") == F.col("lkey")), "left")
-    s = s.withColumn("shards", F.coalesce("shards", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("fp"), "shards"))
-    return s.select("t", "key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")).select(
-        "t", "key", "shard", (F.col("own") == F.col("shard")).alias("member"), "fp")
+def key_plan(n: int, radius: int = RADIUS) -> list[int]:
+    """Bit masks of the bucket tables for ``n`` distinct fingerprints."""
+    return _masks(list(range(64)), n, radius, BUCKET_ROWS)
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def finer_masks(varying: Column, n: Column, radius: int, target: int) -> Column:
+    """The masks that cut a crowded bucket of ``n`` members, over the bits in which these differ."""
+    @F.arrow_udf("array<long>")
+    def masks(v: pa.Array, count: pa.Array) -> pa.Array:
+        return pa.array([[_signed(m) for m in _masks([b for b in range(64) if x >> b & 1], c, radius, target)]
+                         for x, c in zip(v.to_pylist(), count.to_pylist())], pa.list_(pa.int64()))
+
+    return masks(varying, n)
+
+
+def buckets(nodes: DataFrame, masks: list[int], radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """bucket, fp: each fingerprint in its bucket of every table, none with more than ``shard_rows`` members.
+
+    A bucket is named by a hash; two that share a name are one larger bucket, which only adds candidates.
+    Members differ in fewer bits at every level, so the loop ends. Distinct fingerprints that differ
+    in at most ``radius`` bits are within the radius of each other anyway and stay together.
+    """
+    cut = F.array(*[F.lit(_signed(m)).cast("long") for m in masks])
+    key = lambda *outer: F.xxhash64(*outer, "i", F.col("fp").bitwiseAND(F.col("mask")))
+    level = nodes.select("fp", F.posexplode(cut).alias("i", "mask")).select(key().alias("bucket"), "fp")
+    done = []
+    while True:
+        crowded = (level.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"),
+                                               F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("varying"))
+                   .filter((F.col("n") > shard_rows) & (F.bit_count("varying") > radius)))
+        crowded = written(crowded.select(F.col("bucket").alias("of"), finer_masks(
+            F.col("varying"), F.col("n"), radius, max(1, shard_rows // 4)).alias("masks")), "crowded-buckets")
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionByName, done, level)
+        split = written(level.join(crowded, F.col("bucket") == F.col("of"), "left").select(
+            "bucket", "fp", F.posexplode_outer("masks").alias("i", "mask")), "split-buckets")
+        done.append(split.filter("i is null").select("bucket", "fp"))
+        level = split.filter("i is not null").select(key("bucket").alias("bucket"), "fp")
 
 
 class BKTree:
@@ -141,8 +175,8 @@ class BKTree:
         return new
 
 
-def shard_links(rows, radius: int) -> Iterator[tuple[int, int]]:
-    """Links of one shard from its (member, fp) rows, members first: a star per connected set."""
+def shard_links(values, radius: int) -> Iterator[tuple[int, int]]:
+    """Links among the fingerprints of one shard: a star per connected set."""
     tree, up = BKTree(), []
 
     def root(i: int) -> int:
@@ -151,19 +185,12 @@ def shard_links(rows, radius: int) -> Iterator[tuple[int, int]]:
             i = up[i]
         return i
 
-    for member, fp in rows:
+    for fp in values:
         near = tree.near(fp, radius)
-        if member:
-            i = tree.add(fp)
-            up.append(i)
-            near.append(i)
-        if not near:
-            continue
-        first = root(near[0])
-        for other in near[1:]:
-            up[root(other)] = first
-        if not member:
-            yield fp, tree.values[near[0]]
+        i = tree.add(fp)
+        up.append(i)
+        for other in near:
+            up[root(other)] = i
     for i, fp in enumerate(tree.values):
         if (r := root(i)) != i:
             yield fp, tree.values[r]
@@ -171,14 +198,12 @@ def shard_links(rows, radius: int) -> Iterator[tuple[int, int]]:
 
 def links(shards: DataFrame, radius: int = RADIUS) -> DataFrame:
     """u, v: fingerprints within the radius, as stars that connect what the close pairs connect."""
-    dealt = shards.repartition("t", "key", "shard").sortWithinPartitions("t", "key", "shard", F.desc("member"), "fp")
+    dealt = shards.repartition("bucket").sortWithinPartitions("bucket", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for b in batches:
-                t, key, shard, member, fp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-                yield from zip(t.tolist(), key.tolist(), shard.tolist(), member.tolist(),
-                               fp.astype(np.int64).view(np.uint64).tolist())
+                yield from zip(b.column("bucket").to_pylist(), b.column("fp").to_numpy().view(np.uint64).tolist())
 
         out: list[tuple[int, int]] = []
 
@@ -187,13 +212,13 @@ def links(shards: DataFrame, radius: int = RADIUS) -> DataFrame:
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["u", "v"])
 
-        for _, group in groupby(rows(), key=lambda r: r[:3]):
-            out.extend(shard_links(((m, f) for *_, m, f in group), radius))
+        for _, group in groupby(rows(), key=lambda r: r[0]):
+            out.extend(shard_links((f for _, f in group), radius))
             if len(out) >= 65536:
                 yield batch()
         yield batch()
 
-    return dealt.select("t", "key", "shard", "member", "fp").mapInArrow(run, "u long, v long").distinct()
+    return dealt.select("bucket", "fp").mapInArrow(run, "u long, v long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -221,7 +246,7 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(prints: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """fp, root of every distinct fingerprint of ``prints`` that has a neighbour."""
     nodes = written(prints.select("fp").distinct(), "fingerprint-nodes")
-    return components(links(buckets(nodes, key_plan(nodes.count(), radius), shard_rows), radius))
+    return components(links(buckets(nodes, key_plan(nodes.count(), radius), radius, shard_rows), radius))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

@@ -72,6 +72,41 @@ def test_simhash_split_buckets_give_the_same_components(spark):
     same(whole, split)
 
 
+def crowd(n, rng, base=0x0123456789ABCDEF, width=24):
+    """``n`` fingerprints that differ from ``base`` only in the lowest ``width`` bits, a tenth beside another one."""
+    low = rng.choice(1 << width, n, replace=False)
+    low[: n // 10] = low[n // 10:n // 10 * 2] ^ 5
+    return sorted({base ^ int(x) for x in low})
+
+
+def signed_frame(spark, values):
+    return spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long")
+
+
+def test_simhash_crowded_bucket_is_sent_a_few_times(spark):
+    sent = {}
+    for n in (20000, 60000):
+        nodes = signed_frame(spark, crowd(n, np.random.default_rng(3)))
+        split = simhash.buckets(nodes, simhash.key_plan(n))
+        largest, total = split.groupBy("bucket").count().selectExpr("max(count)", "sum(count)").first()
+        assert largest <= simhash.SHARD_ROWS
+        sent[n] = total / nodes.count()
+    # two tables as they are and fifteen finer ones for each of the three that are one bucket
+    assert sent[20000] <= 47 and sent[60000] <= 47
+
+
+def test_simhash_crowded_bucket_keeps_every_link(spark):
+    values = crowd(1500, np.random.default_rng(4), width=16)
+    got = {(r["fp"], r["root"]) for r in simhash.linked(signed_frame(spark, values), shard_rows=40).collect()}
+    names = brute.groups(values)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    least = {}
+    for v, name in zip(signed, names):
+        least[name] = min(v, least.get(name, v))
+    linked = {v: least[name] for v, name in zip(signed, names) if names.count(name) > 1}
+    assert dict(got) == linked
+
+
 def test_secrets(docs):
     df, rows = docs
     kinds = {r.kind for r in secrets.BASE_RULES}
