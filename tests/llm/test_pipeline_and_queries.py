@@ -219,3 +219,13 @@ def test_quality_stage_keeps_the_good_and_drops_the_bad(spark):
     good, bad = ({d for d in ids if truth.get(d) == q} for q in (1, 0))
     assert len(good) > 10 and len(good - kept) <= 0.1 * len(good)
     assert len(bad) > 10 and len(bad & kept) <= 0.1 * len(bad)
+
+
+def test_quality_scores_and_the_stage_equal_a_plain_fit(spark):
+    rows_, truth = small(spark), [(r["doc_id"], r["quality"]) for r in table(spark, SF, "labels").collect()]
+    scores = dict(zip([d for d, _, _ in rows_], brute.quality_scores([r[:2] for r in rows_], truth)))
+    assert len(scores) == len(rows_)
+    got_ = {r["doc_id"]: r["score"] for r in QUERIES["op7_quality"](spark, SF).collect()}
+    assert got_ == pytest.approx(scores, abs=1e-6)
+    kept = dict(corpus_pipeline.STAGES)["quality classifier"](spark, table(spark, SF, "documents"), SF)
+    assert {r[0] for r in rows(kept)} == {d for d, x in scores.items() if x >= 0.5}
