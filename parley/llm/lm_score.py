@@ -16,7 +16,10 @@ word; at one word ``count(w) / words``. A document's score is its mean log score
    scores every word and sums per document.
 
 Packed blocks stand for rows because one row per (batch, n-gram) costs about three times
-the bytes. Batches and parts grow with the input, so neither gets larger.
+the bytes. A batch is cut into at most ``fan`` blocks. With more batches than that, step 2 goes on in levels
+(``answered``): the blocks that ``fan`` batches sent to one part are merged into what is one batch for the next, finer level,
+and its answers come back the same way. So blocks grow with the input, not with its square, and
+neither batches nor parts get larger; any ``fan`` gives the same scores.
 Hashes have at least 56 bits plus the part's; two n-grams that share one are counted together.
 
 Defined results: words are lower-cased (A-Z); null or empty text has no words, log score 0 and
@@ -39,6 +42,8 @@ from parley.llm.common import WORD_BYTES, text_of, written
 
 #: Words of an n-gram, discount of a backoff step, and the least count of an n-gram that is used.
 ORDER, ALPHA, MIN_COUNT = 3, 0.4, 2
+#: Blocks a batch is cut into, at most; a level of merging more for each further factor.
+FAN = 1024
 _LOW = np.uint64((1 << 56) - 1)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -76,9 +81,10 @@ def exploded(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.n
     return n, distinct, count, index
 
 
-def part_of(distinct: np.ndarray, parts: int) -> np.ndarray:
-    """The hash partition of each n-gram, by its top bits (sorted hashes give sorted parts)."""
-    return ((distinct >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+def part_of(distinct: np.ndarray, parts: int, level: int = 0) -> np.ndarray:
+    """The hash partition of each n-gram: by its top bits (sorted hashes give sorted parts), or by a hash of its own at finer levels."""
+    bits = (_mix(distinct * _K1 + np.uint64(level)) if level else distinct) >> np.uint64(40)
+    return (bits * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
 def pack(distinct: np.ndarray) -> bytes:
@@ -126,10 +132,71 @@ def log_scores(n: np.ndarray, counts: np.ndarray, alpha: float, min_count: int)
     return tuple(np.bincount(doc, weights=x, minlength=len(n)) for x in (total, single, steps))
 
 
-def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
+BLOCKS, TOTALS = "part long, batch int, grams binary, counts binary", "batch int, part long, totals binary"
+
+
+def added_up(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks of a group together: distinct n-grams, sorted, with their counts; the place there of every
+    n-gram of the blocks one after the other, and where each block begins and ends."""
+    grams = [unpack(x) for x in group.column("grams").to_pylist()]
+    distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+    total = np.zeros(len(distinct), dtype=np.int64)
+    np.add.at(total, inverse, np.concatenate([unsqueeze(x) for x in group.column("counts").to_pylist()]))
+    return distinct, total, inverse, np.cumsum([0, *map(len, grams)])
+
+
+def cut_up(distinct: np.ndarray, count: np.ndarray, part: np.ndarray, parts: int, batch: int, first: int = 0) -> pa.Table:
+    """Blocks of n-grams that lie in the order of their parts; part 0 is named ``first``."""
+    cuts = np.searchsorted(part, np.arange(parts + 1))
+    rows = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+    return pa.table({"part": pa.array([first + p for p, _, _ in rows], pa.int64()),
+                     "batch": pa.array([batch] * len(rows), pa.int32()),
+                     "grams": pa.array([pack(distinct[a:b]) for _, a, b in rows], pa.binary()),
+                     "counts": pa.array([squeeze(count[a:b]) for _, a, b in rows], pa.binary())})
+
+
+def replies(group: pa.Table, total: np.ndarray, inverse: np.ndarray, cuts: np.ndarray) -> pa.Table:
+    """The totals of every block of a group."""
+    total = total[inverse]
+    return pa.table({"batch": group.column("batch"), "part": group.column("part"),
+                     "totals": pa.array([squeeze(total[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())})
+
+
+def answered(asked: DataFrame, batches: int, fan: int, level: int = 1) -> DataFrame:
+    """batch, part, totals: the corpus counts of every block of ``asked``, whose parts each have blocks of up to ``batches`` batches."""
+    if batches <= fan:
+        def answers(group: pa.Table) -> pa.Table:
+            """One hash partition of the count table: total counts, handed back block by block."""
+            _, total, inverse, cuts = added_up(group)
+            return replies(group, total, inverse, cuts)
+
+        return asked.groupBy("part").applyInArrow(answers, TOTALS)
+
+    teams = -(-batches // fan)
+    parts = min(teams, fan)
+
+    def merge(key: tuple, group: pa.Table) -> pa.Table:
+        distinct, total, _, _ = added_up(group)
+        part = part_of(distinct, parts, level)
+        order = np.argsort(part, kind="stable")
+        return cut_up(distinct[order], total[order], part[order], parts, key[1].as_py(), key[0].as_py() * fan)
+
+    def hand_back(group: pa.Table, told: pa.Table) -> pa.Table:
+        distinct, total, inverse, cuts = added_up(group)
+        by_part = sorted(zip(told.column("finer").to_pylist(), told.column("totals").to_pylist()))
+        total[np.argsort(part_of(distinct, parts, level), kind="stable")] = np.concatenate([unsqueeze(x) for _, x in by_part])
+        return replies(group, total, inverse, cuts)
+
+    asked = written(asked, "lm-blocks").withColumn("team", F.expr(f"cast(batch div {fan} as int)"))
+    told = answered(asked.groupBy("part", "team").applyInArrow(merge, BLOCKS), teams, fan, level + 1)
+    told = told.select(F.expr(f"part div {fan}").alias("part"), F.col("batch").alias("team"), F.col("part").alias("finer"), "totals")
+    return asked.groupBy("part", "team").cogroup(told.groupBy("part", "team")).applyInArrow(hand_back, TOTALS)
+
+
+def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count: int = MIN_COUNT, fan: int = FAN) -> DataFrame:
     """doc_id, n_words, n_backoff (steps taken), log_score (sum of natural logs) and score (mean, null without words)."""
     n_batches = max(8, order * docs.rdd.getNumPartitions())    # a batch's n-grams are as many at any order
-    parts = n_batches
+    parts = min(n_batches, fan)
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,37 +212,18 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count:
 
     def blocks(key: tuple, group: pa.Table) -> pa.Table:
         _, distinct, count, _ = exploded(texts_of(group), order)
-        part = part_of(distinct, parts)
-        cuts = np.searchsorted(part, np.arange(parts + 1))
-        rows = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-        return pa.table({"part": pa.array([p for p, _, _ in rows], pa.int32()),
-                         "batch": pa.array([key[0].as_py()] * len(rows), pa.int32()),
-                         "grams": pa.array([pack(distinct[a:b]) for _, a, b in rows], pa.binary()),
-                         "counts": pa.array([squeeze(count[a:b]) for _, a, b in rows], pa.binary())})
-
-    def answers(group: pa.Table) -> pa.Table:
-        """One hash partition of the count table: total counts, handed back block by block."""
-        grams = [unpack(x) for x in group.column("grams").to_pylist()]
-        distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-        own = np.concatenate([unsqueeze(x) for x in group.column("counts").to_pylist()])
-        total = np.zeros(len(distinct), dtype=np.int64)
-        np.add.at(total, inverse, own)
-        total = total[inverse]
-        cuts = np.cumsum([0, *map(len, grams)])
-        return pa.table({"batch": group.column("batch"), "part": group.column("part"),
-                         "totals": pa.array([squeeze(total[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())})
-
-    def scores(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        return cut_up(distinct, count, part_of(distinct, parts), parts, key[0].as_py())
+
+    def scores(texts: pa.Table, told: pa.Table) -> pa.Table:
         n, _, _, index = exploded(texts_of(texts), order)
-        by_part = sorted(zip(replies.column("part").to_pylist(), replies.column("totals").to_pylist()))
+        by_part = sorted(zip(told.column("part").to_pylist(), told.column("totals").to_pylist()))
         totals = np.concatenate([*(unsqueeze(x) for _, x in by_part), np.zeros(1, dtype="<i8")])  # index -1: none
         base, singles, steps = log_scores(n, totals[index], alpha, min_count)
         return pa.table({"doc_id": texts.column("doc_id"), "n_words": pa.array(n, pa.int64()),
                          "n_backoff": pa.array(steps.astype(np.int64)), "base": pa.array(base, pa.float64()),
                          "n_single": pa.array(singles.astype(np.int64))})
 
-    asked = t.groupBy("batch").applyInArrow(blocks, "part int, batch int, grams binary, counts binary")
-    told = asked.groupBy("part").applyInArrow(answers, "batch int, part int, totals binary")
+    told = answered(t.groupBy("batch").applyInArrow(blocks, BLOCKS), n_batches, fan)
     done = written(t.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(
         scores, "doc_id long, n_words long, n_backoff long, base double, n_single long"), "lm-scores")
     words = done.agg(F.sum("n_words")).first()[0] or 1

@@ -205,7 +205,7 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` (all columns) in a struct ``row``, beside their ``score``."""
-    model = train(features(docs), labels)
-    t = docs.select(as_row(docs), statistics_column(text_of()).alias("f"))
+    """``docs`` (all columns) in a struct ``row``, beside their ``score``. Rows and statistics are written once, for the fit and the scores."""
+    t = written(docs.select(as_row(docs), statistics_column(text_of()).alias("f")), "quality-rows-scored")
+    model = train(t.select("row.doc_id", "f"), labels)
     return t.select("row", score_column(model, F.col("f")).alias("score"))
