@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from parley.llm import (decontamination, host_rules, licences, line_dedup, lm_score, mixture, quality, secrets, simhash,
                         token_files)
-from parley.llm.common import table, tokenizer_path
+from parley.llm.common import table, tokenizer_path, written
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -366,6 +366,40 @@ def test_repeats_of_one_row_are_many_batches(spark):
     same(got, brute.lm_scores([tuple(r) for r in df.collect()]))
 
 
+def levels_of_blocks(df, monkeypatch, **settings):
+    """The score rows, and the number of blocks that each level of merging read."""
+    read = []
+
+    def watched(t, name):
+        t = written(t, name)
+        if name == "lm-blocks":
+            read.append(t.count())
+        return t
+
+    monkeypatch.setattr(lm_score, "written", watched)
+    return lm_score.score(df, **settings).select("doc_id", "n_words", F.round("score", 6)).collect(), read
+
+
+@pytest.mark.parametrize("fan", [2, 3, 5, 1024])
+def test_any_fan_gives_the_same_scores(spark, monkeypatch, fan):
+    df, rows = corpus(spark, "edge")
+    got, read = levels_of_blocks(df.repartition(4), monkeypatch, fan=fan)
+    same(got, brute.lm_scores([r[:2] for r in rows]))
+    assert len(read) == {2: 3, 3: 2, 5: 1, 1024: 0}[fan]
+
+
+def test_blocks_grow_with_the_input_not_with_its_square(spark, monkeypatch):
+    df = table(spark, SF, "documents").select("doc_id", "text")
+    blocks = []
+    for n in (8, 16):                       # 24 and 48 batches
+        big = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(n // 8)))).repartition(n)
+        got, read = levels_of_blocks(big, monkeypatch, fan=4)
+        assert len(got) == big.count()
+        assert read[0] == 3 * n * 4         # every batch is cut into four, however many there are
+        blocks.append(sum(read))
+    assert blocks[1] <= 2.2 * blocks[0]
+
+
 def test_totals_are_summed_as_integers(spark):
     """Counts above 2**53 would lose their last digits in floating point."""
     big = np.array([2 ** 53, 1, 1], dtype=np.int64)
