@@ -149,3 +149,69 @@ def test_packed_prompt_contexts_hold_the_rows(spark):
             "conversation_id", "message_id", F.posexplode("context").alias("pos", "c")).select(
             "conversation_id", "message_id", "pos", "c.role", "c.content")
         assert rows(packed) == rows(A.prompt_context_rows(m, max_turns=turns))
+
+
+def _members_by_brute_force(events, kinds, include_sender):
+    """(event_id, recipient_id) pairs, walking each room's events in (ts, event_id) order."""
+    here, pairs = {}, []
+    for i, room, who, kind, _ in sorted(events, key=lambda x: (x[4], x[0])):
+        if kind == "join":
+            here.setdefault(room, set()).add(who)
+        elif kind == "leave":
+            here.get(room, set()).discard(who)
+        elif kind in kinds:
+            pairs += [(i, m) for m in here.get(room, ()) if include_sender or m != who]
+    return sorted(pairs)
+
+
+def _churn(n):
+    """Rooms of very different length: members who stay, come and go, or are there for one message."""
+    import random
+    rng, out = random.Random(7), []
+    for i in range(n):
+        room = rng.choice([1, 1, 1, 1, 1, 1, 2, 2, 3])
+        who = rng.choice([rng.randrange(6), rng.randrange(6, 40)])
+        kind = rng.choice(["message"] * 4 + ["typing_on", "typing_off", "join"] + (["leave"] if who >= 3 else []))
+        out.append((i, room, who, kind, T0 + timedelta(seconds=i // 3)))
+    return out
+
+
+def _copied(df):
+    """Rows that the plan's Generate nodes (the copies into blocks) made while ``df`` was collected."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Generate":
+            total += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def _stayers(n, members, kind="message"):
+    """``members`` clients join a room before its ``n`` events and stay."""
+    joins = [(i, 1, i, "join", T0) for i in range(members)]
+    return joins + [(members + i, 1, 0, kind, T0 + timedelta(seconds=1 + i)) for i in range(n)]
+
+
+def _without_aqe(spark, make):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return _copied(make())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_fan_out_equals_brute_force_at_any_block(spark):
+    data = _churn(3000)
+    e = spark.createDataFrame(data, EV)
+    want = _members_by_brute_force(data, {"message"}, True)
+    for block, most in ((1, None), (2, 50), (5, None), (512, None)):
+        assert rows(R.fan_out(e, block=block, max_rows=most).select("event_id", "recipient_id")) == want, block
+
+
+def test_fan_out_copies_grow_with_the_input(spark):
+    """Members who stay were copied into every block of the room: members x messages / block rows."""
+    for n in (1000, 4000):
+        e = spark.createDataFrame(_stayers(n, 50), EV)
+        assert _without_aqe(spark, lambda: R.fan_out(e, block=n // 250)) <= 2 * n + 18 * 50
