@@ -215,3 +215,16 @@ def test_fan_out_copies_grow_with_the_input(spark):
     for n in (1000, 4000):
         e = spark.createDataFrame(_stayers(n, 50), EV)
         assert _without_aqe(spark, lambda: R.fan_out(e, block=n // 250)) <= 2 * n + 18 * 50
+
+
+def test_typing_fan_out_equals_brute_force_at_any_block(spark):
+    data = _churn(3000)
+    e = spark.createDataFrame(data, EV)
+    want = _members_by_brute_force(data, {"typing_on", "typing_off"}, False)
+    for block, most in ((1, None), (2, 50), (512, None)):
+        assert rows(R.typing_fan_out(e, block=block, max_rows=most).select("event_id", "recipient_id")) == want, block
+
+
+def test_typing_fan_out_copies_grow_with_the_input(spark):
+    e = spark.createDataFrame(_stayers(1000, 50, "typing_on"), EV)
+    assert _without_aqe(spark, lambda: R.typing_fan_out(e, block=4)) <= 2 * 1000 + 18 * 50
