@@ -228,3 +228,23 @@ def test_typing_fan_out_equals_brute_force_at_any_block(spark):
 def test_typing_fan_out_copies_grow_with_the_input(spark):
     e = spark.createDataFrame(_stayers(1000, 50, "typing_on"), EV)
     assert _without_aqe(spark, lambda: R.typing_fan_out(e, block=4)) <= 2 * 1000 + 18 * 50
+
+
+def test_fan_out_step_equals_brute_force(spark):
+    data = _churn(3000)
+    e = spark.createDataFrame(data, EV)
+    for cut in (0, 300, 700):     # seconds: three events each
+        at = F.lit(T0 + timedelta(seconds=cut)).cast("timestamp_ntz")
+        out, members = R.fan_out_step(R.presence(e.filter(F.col("ts") < at)), e.filter(F.col("ts") >= at))
+        late = {x[0] for x in data if x[4] >= T0 + timedelta(seconds=cut)}
+        want = [p for p in _members_by_brute_force(data, {"message"}, True) if p[0] in late]
+        assert rows(out.select("event_id", "recipient_id")) == want, cut
+        assert rows(members) == rows(R.presence(e)), cut
+
+
+def test_fan_out_step_copies_grow_with_the_input(spark):
+    n = 40 * 512                  # the step has the default block
+    e = spark.createDataFrame(_stayers(n, 2500), EV)
+    at = F.lit(T0 + timedelta(seconds=1)).cast("timestamp_ntz")
+    step = lambda: R.fan_out_step(R.presence(e.filter(F.col("ts") < at)), e.filter(F.col("ts") >= at))[0].groupBy().count()
+    assert _without_aqe(spark, step) <= 2 * n + 18 * 2500
