@@ -230,6 +230,34 @@ def test_typing_fan_out_copies_grow_with_the_input(spark):
     assert _without_aqe(spark, lambda: R.typing_fan_out(e, block=4)) <= 2 * 1000 + 18 * 50
 
 
+def _shuffled(df):
+    """Bytes that the plan's Exchange nodes wrote while ``df`` was collected (AQE off)."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_typing_fan_out_shuffles_short_rows(spark):
+    """A copied interval is cut to its block: copies of one block differ by the recipient alone, and kinds travel as numbers."""
+    import random
+
+    rng, n, members = random.Random(11), 16 * 512, 20_000
+    data = [(i, 1, rng.randrange(1 << 40), "join", T0 + timedelta(microseconds=rng.randrange(1 << 33))) for i in range(members)]
+    data += [(members + i, 1, 1, rng.choice(["typing_on", "typing_off"]), T0 + timedelta(microseconds=rng.randrange(1 << 33))) for i in range(n)]
+    e = spark.createDataFrame(data, EV).coalesce(1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        wrote = _shuffled(R.typing_fan_out(e).groupBy().count())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert wrote < 2_000_000      # 1.83 million; 2.17 with whole intervals and kinds as text
+
+
 def test_fan_out_step_equals_brute_force(spark):
     data = _churn(3000)
     e = spark.createDataFrame(data, EV)
