@@ -276,3 +276,29 @@ def test_fan_out_step_copies_grow_with_the_input(spark):
     at = F.lit(T0 + timedelta(seconds=1)).cast("timestamp_ntz")
     step = lambda: R.fan_out_step(R.presence(e.filter(F.col("ts") < at)), e.filter(F.col("ts") >= at))[0].groupBy().count()
     assert _without_aqe(spark, step) <= 2 * n + 18 * 2500
+
+
+def test_fan_out_step_query_places_cuts_without_the_members(spark, monkeypatch):
+    """Both running passes computed the members before the step to count them and to place their cuts."""
+    from parley.plans import registry
+    rows_made, plain = spark.sparkContext.accumulator(0), R.presence
+    made = F.udf(lambda x: rows_made.add(1) is None, "boolean")
+    monkeypatch.setattr(R, "presence", lambda e: plain(e).filter(made("since_id")))
+    data = _churn(3000)
+    e = spark.createDataFrame(data, EV)
+    at = T0 + timedelta(seconds=300)
+    monkeypatch.setattr(registry, "STEP_AT", str(at))
+    out = registry._second_half(e)[0].select("event_id", "recipient_id")
+    assert rows_made.value == 0
+    late = {x[0] for x in data if x[4] >= at}
+    assert rows(out) == [p for p in _members_by_brute_force(data, {"message"}, True) if p[0] in late]
+
+
+def test_fan_out_step_takes_any_rows_to_place_the_cuts(spark):
+    data = _churn(1500)
+    e = spark.createDataFrame(data, EV)
+    at = F.lit(T0 + timedelta(seconds=200)).cast("timestamp_ntz")
+    before, after = R.presence(e.filter(F.col("ts") < at)), e.filter(F.col("ts") >= at)
+    want = rows(R.fan_out_step(before, after)[0])
+    for like in (e, after, e.limit(200), e.limit(0)):
+        assert rows(R.fan_out_step(before, after, max_rows=50, like=like)[0]) == want
