@@ -19,7 +19,10 @@ Packed blocks stand for rows because one row per (batch, n-gram) costs about thr
 the bytes. A batch is cut into at most ``fan`` blocks. With more batches than that, step 2 goes on in levels
 (``answered``): the blocks that ``fan`` batches sent to one part are merged into what is one batch for the next, finer level,
 and its answers come back the same way. So blocks grow with the input, not with its square, and
-neither batches nor parts get larger; any ``fan`` gives the same scores.
+neither batches nor parts get larger; any ``fan`` gives the same scores. A level writes and moves all blocks once more,
+so ``fan`` is as large as blocks of a few kilobytes allow.
+A worker holds eight bytes for each n-gram of its batch or part: equal hashes are put together range by
+range (``runs``), texts are hashed and scored chunk by chunk, and freed memory goes back to the system.
 Hashes have at least 56 bits plus the part's; two n-grams that share one are counted together.
 
 Defined results: words are lower-cased (A-Z); null or empty text has no words, log score 0 and
@@ -38,12 +41,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import WORD_BYTES, text_of, written
+from parley.llm.common import WORD_BYTES, give_back, text_of, written
 
 #: Words of an n-gram, discount of a backoff step, and the least count of an n-gram that is used.
 ORDER, ALPHA, MIN_COUNT = 3, 0.4, 2
 #: Blocks a batch is cut into, at most; a level of merging more for each further factor.
-FAN = 1024
+FAN = 8192
+#: Words of the texts that are hashed or scored at once, and n-grams that are sorted at once, about.
+CHUNK, RUN = 1 << 16, 1 << 19
 _LOW = np.uint64((1 << 56) - 1)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -58,27 +63,54 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
 
 
-def exploded(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The batch's n-grams: words of each text; distinct hashes, sorted, with their counts; and for
-    every order and word the index of the n-gram that ends there (-1 where there is none)."""
-    docs = [word_hashes(t) for t in texts]
-    n = np.array([len(d) for d in docs], dtype=np.int64)
-    words = np.concatenate([*docs, np.zeros(0, dtype=np.uint64)])
-    place = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)    # of a word in its text
-    grams, at, h = [], [], words
-    for k in range(1, order + 1):
-        if k > 1:
-            h = np.concatenate([np.zeros(1, dtype=np.uint64), _mix(h[:-1] * _K1 + words[1:] + np.uint64(k))]) if len(h) else h
-        ends = np.flatnonzero(place >= k - 1)
-        at.append(ends)
-        grams.append(_mix(h[ends] + np.uint64(k)))
-    distinct, inverse, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-    index = np.full((order, len(words)), -1, dtype=np.int64)
-    begin = 0
-    for k, ends in enumerate(at):
-        index[k, ends] = inverse[begin:begin + len(ends)]
-        begin += len(ends)
-    return n, distinct, count, index
+def chunked(texts: list[str]) -> Iterator[list[np.ndarray]]:
+    """The words of the texts, so many texts together that they have ``CHUNK`` words."""
+    docs, size = [], 0
+    for text in texts:
+        docs.append(word_hashes(text))
+        size += len(docs[-1])
+        if size >= CHUNK:
+            yield docs
+            docs, size = [], 0
+    yield docs
+
+
+def ends_of(n: np.ndarray, order: int) -> list[np.ndarray]:
+    """For every order the words, of texts of ``n`` words, at which an n-gram ends."""
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)    # of a word in its text
+    return [np.flatnonzero(place >= k) for k in range(order)]
+
+
+def exploded(texts: list[str], order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The batch's n-grams: words of each text, by chunk; hashes of a chunk's words, then of its pairs and so on, chunk after chunk."""
+    sizes, used = [], 0
+    grams = np.empty(order * sum((len(t) + 1) // 2 for t in texts), dtype=np.uint64)    # at most; only what is filled takes memory
+    for docs in chunked(texts):
+        n = np.array([len(d) for d in docs], dtype=np.int64)
+        words = np.concatenate([*docs, np.zeros(0, dtype=np.uint64)])
+        h = words
+        for k, ends in enumerate(ends_of(n, order), 1):
+            if k > 1:
+                h = np.concatenate([np.zeros(1, dtype=np.uint64), _mix(h[:-1] * _K1 + words[1:] + np.uint64(k))]) if len(h) else h
+            grams[used:used + len(ends)] = _mix(h[ends] + np.uint64(k))
+            used += len(ends)
+        sizes.append(n)
+    return sizes, grams[:used]
+
+
+def runs(values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The values in ranges of about ``RUN``, in ascending order: the places of a range's values, its distinct values, sorted,
+    the index there of each, and their counts. Places of earlier ranges may be overwritten meanwhile."""
+    n = min(255, 1 + len(values) // RUN)
+    sample = np.sort(values[::max(1, len(values) // (256 * n))])
+    cuts = sample[np.arange(1, n) * len(sample) // n]
+    run = np.empty(len(values), dtype=np.uint8)
+    for a in range(0, len(values), RUN):
+        run[a:a + RUN] = np.searchsorted(cuts, values[a:a + RUN], side="right")
+    for r in range(n):
+        at = np.flatnonzero(run == r)
+        if len(at):
+            yield at, *np.unique(values[at], return_inverse=True, return_counts=True)
 
 
 def part_of(distinct: np.ndarray, parts: int, level: int = 0) -> np.ndarray:
@@ -135,14 +167,37 @@ def log_scores(n: np.ndarray, counts: np.ndarray, alpha: float, min_count: int)
 BLOCKS, TOTALS = "part long, batch int, grams binary, counts binary", "batch int, part long, totals binary"
 
 
+def unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams and counts of a group's blocks one after the other, and where each block begins and ends."""
+    packed = [x.as_buffer() for x in group.column("grams")]
+    grams, cuts = np.empty(sum(map(len, packed)) // 5, dtype=np.uint64), [0]    # an n-gram takes more than five bytes
+    for x in packed:
+        block = unpack(x)
+        cuts.append(cuts[-1] + len(block))
+        grams[cuts[-2]:cuts[-1]] = block
+    counts = np.empty(cuts[-1], dtype=np.int64)
+    for a, b, x in zip(cuts, cuts[1:], group.column("counts")):
+        counts[a:b] = unsqueeze(x.as_buffer())
+    return grams[:cuts[-1]], counts, np.array(cuts)
+
+
+def totals_of(inverse: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    total = np.zeros(n, dtype=np.int64)
+    np.add.at(total, inverse, counts)
+    return total
+
+
 def added_up(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The blocks of a group together: distinct n-grams, sorted, with their counts; the place there of every
     n-gram of the blocks one after the other, and where each block begins and ends."""
-    grams = [unpack(x) for x in group.column("grams").to_pylist()]
-    distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-    total = np.zeros(len(distinct), dtype=np.int64)
-    np.add.at(total, inverse, np.concatenate([unsqueeze(x) for x in group.column("counts").to_pylist()]))
-    return distinct, total, inverse, np.cumsum([0, *map(len, grams)])
+    grams, counts, cuts = unpacked(group)
+    distinct, total, place, n = [grams[:0]], [counts[:0]], counts, 0
+    for at, values, inverse, _ in runs(grams):
+        distinct.append(values)
+        total.append(totals_of(inverse, counts[at], len(values)))
+        place[at] = n + inverse    # these counts have been used
+        n += len(values)
+    return np.concatenate(distinct), np.concatenate(total), place, cuts
 
 
 def cut_up(distinct: np.ndarray, count: np.ndarray, part: np.ndarray, parts: int, batch: int, first: int = 0) -> pa.Table:
@@ -155,9 +210,9 @@ def cut_up(distinct: np.ndarray, count: np.ndarray, part: np.ndarray, parts: int
                      "counts": pa.array([squeeze(count[a:b]) for _, a, b in rows], pa.binary())})
 
 
-def replies(group: pa.Table, total: np.ndarray, inverse: np.ndarray, cuts: np.ndarray) -> pa.Table:
-    """The totals of every block of a group."""
-    total = total[inverse]
+def replies(group: pa.Table, total: np.ndarray, cuts: np.ndarray) -> pa.Table:
+    """The totals of every block of a group; ``total``: of all its n-grams."""
+    give_back()
     return pa.table({"batch": group.column("batch"), "part": group.column("part"),
                      "totals": pa.array([squeeze(total[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
@@ -167,8 +222,11 @@ def answered(asked: DataFrame, batches: int, fan: int, level: int = 1) -> DataFr
     if batches <= fan:
         def answers(group: pa.Table) -> pa.Table:
             """One hash partition of the count table: total counts, handed back block by block."""
-            _, total, inverse, cuts = added_up(group)
-            return replies(group, total, inverse, cuts)
+            grams, counts, cuts = unpacked(group)
+            for at, distinct, inverse, _ in runs(grams):
+                counts[at] = totals_of(inverse, counts[at], len(distinct))[inverse]
+            del grams
+            return replies(group, counts, cuts)
 
         return asked.groupBy("part").applyInArrow(answers, TOTALS)
 
@@ -179,13 +237,14 @@ def answered(asked: DataFrame, batches: int, fan: int, level: int = 1) -> DataFr
         distinct, total, _, _ = added_up(group)
         part = part_of(distinct, parts, level)
         order = np.argsort(part, kind="stable")
+        give_back()
         return cut_up(distinct[order], total[order], part[order], parts, key[1].as_py(), key[0].as_py() * fan)
 
     def hand_back(group: pa.Table, told: pa.Table) -> pa.Table:
         distinct, total, inverse, cuts = added_up(group)
         by_part = sorted(zip(told.column("finer").to_pylist(), told.column("totals").to_pylist()))
         total[np.argsort(part_of(distinct, parts, level), kind="stable")] = np.concatenate([unsqueeze(x) for _, x in by_part])
-        return replies(group, total, inverse, cuts)
+        return replies(group, total[inverse], cuts)
 
     asked = written(asked, "lm-blocks").withColumn("team", F.expr(f"cast(batch div {fan} as int)"))
     told = answered(asked.groupBy("part", "team").applyInArrow(merge, BLOCKS), teams, fan, level + 1)
@@ -211,14 +270,31 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, min_count:
         return [zlib.decompress(x.as_buffer()).decode() for x in group.column("text")]
 
     def blocks(key: tuple, group: pa.Table) -> pa.Table:
-        _, distinct, count, _ = exploded(texts_of(group), order)
+        found = [(distinct, count) for _, distinct, _, count in runs(exploded(texts_of(group), order)[1])]
+        distinct, count = (np.concatenate([np.zeros(0, dtype=t), *x]) for t, x in zip((np.uint64, np.int64), [*zip(*found)] or [(), ()]))
+        del found
+        give_back()
         return cut_up(distinct, count, part_of(distinct, parts), parts, key[0].as_py())
 
     def scores(texts: pa.Table, told: pa.Table) -> pa.Table:
-        n, _, _, index = exploded(texts_of(texts), order)
-        by_part = sorted(zip(told.column("part").to_pylist(), told.column("totals").to_pylist()))
-        totals = np.concatenate([*(unsqueeze(x) for _, x in by_part), np.zeros(1, dtype="<i8")])  # index -1: none
-        base, singles, steps = log_scores(n, totals[index], alpha, min_count)
+        by_part = sorted(zip(told.column("part").to_pylist(), told.column("totals")), key=lambda x: x[0])
+        totals = np.concatenate([np.zeros(0, dtype="<i8"), *(unsqueeze(x.as_buffer()) for _, x in by_part)])
+        sizes, grams = exploded(texts_of(texts), order)
+        counts, begin = grams.view(np.int64), 0
+        for at, distinct, inverse, _ in runs(grams):
+            counts[at] = totals[begin:begin + len(distinct)][inverse]
+            begin += len(distinct)
+        del totals
+        done, begin = [], 0
+        for n in sizes:
+            by_order = np.zeros((order, n.sum()), dtype=np.int64)
+            for k, ends in enumerate(ends_of(n, order)):
+                by_order[k, ends] = counts[begin:begin + len(ends)]
+                begin += len(ends)
+            done.append(log_scores(n, by_order, alpha, min_count))
+        n, base, singles, steps = (np.concatenate(x) for x in (sizes, *zip(*done)))
+        del grams, counts
+        give_back()
         return pa.table({"doc_id": texts.column("doc_id"), "n_words": pa.array(n, pa.int64()),
                          "n_backoff": pa.array(steps.astype(np.int64)), "base": pa.array(base, pa.float64()),
                          "n_single": pa.array(singles.astype(np.int64))})

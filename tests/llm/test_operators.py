@@ -2,16 +2,21 @@
 
 import hashlib
 import re
+import tracemalloc
+import zlib
 from collections import Counter, defaultdict
 
 import brute
 import edge_rows
 import numpy as np
+import pyarrow as pa
 import pytest
 from parley.llm import (decontamination, host_rules, licences, line_dedup, lm_score, mixture, quality, secrets, simhash,
                         token_files)
 from parley.llm.common import table, tokenizer_path, written
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 SF = "/root/testdata/sf0.001"
 
@@ -400,6 +405,51 @@ def test_blocks_grow_with_the_input_not_with_its_square(spark, monkeypatch):
     assert blocks[1] <= 2.2 * blocks[0]
 
 
+def test_the_blocks_of_some_thousand_batches_are_not_written_again(spark, monkeypatch):
+    """6 GB have 1,152 batches; a level of merging would write and move all their blocks once more."""
+    def none(t, name):
+        raise AssertionError(f"{name} written")
+
+    gram = np.array([5], dtype=np.uint64)
+    block = lm_score.cut_up(gram, np.array([3]), np.array([0]), 1, 0).to_pylist()[0]
+    asked = spark.createDataFrame([(0, b, bytes(block["grams"]), bytes(block["counts"])) for b in (0, 1151)], lm_score.BLOCKS)
+    monkeypatch.setattr(lm_score, "written", none)
+    told = lm_score.answered(asked, 1152, lm_score.FAN).collect()
+    assert sorted((r["batch"], lm_score.unsqueeze(r["totals"]).tolist()) for r in told) == [(0, [6]), (1151, [6])]
+
+
+def test_a_worker_holds_few_bytes_for_each_ngram(spark, monkeypatch):
+    """Two workers of an executor share what its heap leaves; a batch has some seven million n-grams."""
+    made = {}
+    for kind in (GroupedData, PandasCogroupedOps):
+        def kept(self, f, schema, apply=kind.applyInArrow):
+            made[f.__name__] = f
+            return apply(self, f, schema)
+        monkeypatch.setattr(kind, "applyInArrow", kept)
+    lm_score.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    words = np.random.default_rng(6).zipf(1.3, 1_000_000) % 50_000
+    texts = [" ".join(map(str, words[a:a + 500])) for a in range(0, len(words), 500)]
+    batch = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array([zlib.compress(t.encode(), 1) for t in texts], pa.binary())})
+    n_grams = sum(3 * 500 - 3 for _ in texts)
+
+    def peak(f, *args):
+        tracemalloc.start()
+        try:
+            out = f(*args)
+            return out, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    blocks, a = peak(made["blocks"], (pa.scalar(0, pa.int32()),), batch)
+    told = made["answers"](blocks)
+    _, b = peak(made["answers"], pa.concat_tables([blocks] * 5))
+    scored, c = peak(made["scores"], batch, told)
+    n_asked = 5 * sum(len(lm_score.unsqueeze(x)) for x in told.column("totals").to_pylist())
+    assert a <= 40 * n_grams and b <= 45 * n_asked and c <= 40 * n_grams
+    mean = (np.array(scored.column("base")) - np.array(scored.column("n_single")) * np.log(len(words))) / 500
+    assert mean == pytest.approx([x for _, _, x in brute.lm_scores([*enumerate(texts)])], abs=1e-5)
+
+
 def test_totals_are_summed_as_integers(spark):
     """Counts above 2**53 would lose their last digits in floating point."""
     big = np.array([2 ** 53, 1, 1], dtype=np.int64)
